@@ -48,9 +48,9 @@ def densify(panel: DataFrame, keys: Sequence[str], value_cols: Sequence[str], st
     that follow (partitioned by the same keys) need no further shuffle.
     """
     keys = list(keys)
-    dense = spine(panel.select(*keys).distinct(), start, end, months, date_col)
-    filled = dense.select(*keys, date_col, *(F.lit(None).cast("double").alias(v) for v in value_cols))
     body = panel.filter(F.col(date_col).between(to_date(start), to_date(end))).select(*keys, date_col, *value_cols)
+    dense = spine(body.select(*keys).distinct(), start, end, months, date_col)
+    filled = dense.select(*keys, date_col, *(F.lit(None).cast("double").alias(v) for v in value_cols))
     return (
         filled.unionByName(body)
         .repartition(*keys)

@@ -44,15 +44,15 @@ def add_months(d: dt.date, n: int) -> dt.date:
 
 
 def monthly_features(dense_m: DataFrame, profile: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """d12 and rolling-mean features, long: (entity, indicator, feature, features_type, window, date, value)."""
+    """d12 and rolling-mean features, long: (entity, indicator, feature, features_type, width, date, value)."""
     rolled = rolling_means(yoy_diff(dense_m, profile), "d12", windows)
-    items = [F.struct(F.lit("d12").alias("features_type"), F.lit(0).alias("window"),
+    items = [F.struct(F.lit("d12").alias("features_type"), F.lit(0).alias("width"),
                       F.col("feature").alias("feature"), F.col("d12").alias("value"))]
-    items += [F.struct(F.lit("rolling").alias("features_type"), F.lit(k).alias("window"),
+    items += [F.struct(F.lit("rolling").alias("features_type"), F.lit(k).alias("width"),
                        F.concat(F.col("feature"), F.lit(f"_roll_mean_{k}")).alias("feature"),
                        F.col(f"roll_{k}").alias("value")) for k in windows]
     return rolled.select("entity", "indicator", "date", F.explode(F.array(*items)).alias("f")).select(
-        "entity", "indicator", "f.feature", "f.features_type", "f.window", "date", "f.value")
+        "entity", "indicator", "f.feature", "f.features_type", "f.width", "date", "f.value")
 
 
 def to_quarterly(monthly_feats: DataFrame, first_quarter: dt.date) -> DataFrame:
@@ -65,16 +65,19 @@ def to_quarterly(monthly_feats: DataFrame, first_quarter: dt.date) -> DataFrame:
     return monthly_feats.select(
         "entity", "indicator", F.col("feature").alias("base_feature"),
         F.concat(F.col("feature"), F.lit("_m"), miq.cast("string")).alias("feature"),
-        "features_type", "window", miq.alias("availability"),
+        "features_type", "width", miq.alias("availability"),
         F.trunc("date", "quarter").alias("date"), "value",
     ).filter(F.col("date") >= to_date(first_quarter))
 
 
-def quarter_pivot(monthly_feats: DataFrame, first_quarter: dt.date) -> DataFrame:
-    """J3 as a wide-by-month pivot: (entity, feature, features_type, date, m1, m2, m3)."""
+def quarter_pivot(monthly_feats: DataFrame, first_quarter: dt.date, last_quarter: dt.date) -> DataFrame:
+    """J3 as a wide-by-month pivot: (entity, feature, features_type, date, m1, m2, m3).
+
+    Explicit pivot values: no extra job to discover them, fixed plan width.
+    """
     q = monthly_feats.select("entity", "feature", "features_type", month_in_quarter("date").alias("miq"),
                              F.trunc("date", "quarter").alias("date"), "value")
-    return (q.filter(F.col("date") >= to_date(first_quarter))
+    return (q.filter(F.col("date").between(to_date(first_quarter), to_date(last_quarter)))
             .groupBy("entity", "feature", "features_type", "date")
             .pivot("miq", [1, 2, 3]).agg(F.max("value"))
             .withColumnsRenamed({"1": "m1", "2": "m2", "3": "m3"}))
@@ -163,12 +166,18 @@ class PanelBuild:
     def market_m(self) -> DataFrame:
         return adapters.market_m(self.spark, self.sf_dir, self.params)
 
-    def dense_m(self) -> DataFrame:
+    def spine_m(self) -> DataFrame:
+        """The order panel on its dense monthly spine."""
         lo, hi = self.month_bounds
         return densify(self.panel_m(), SERIES_KEYS, ["value"], lo, hi, 1)
 
+    def dense_m(self) -> DataFrame:
+        """Both monthly sources on the order spine (dates outside it are dropped)."""
+        lo, hi = self.month_bounds
+        return densify(self.panel_m().unionByName(self.market_m()), SERIES_KEYS, ["value"], lo, hi, 1)
+
     def profile(self) -> DataFrame:
-        return positivity_profile(self.panel_m())
+        return positivity_profile(self.dense_m())
 
     def monthly_features(self) -> DataFrame:
         return monthly_features(self.dense_m(), self.profile(), self.params.windows)

@@ -43,3 +43,130 @@ def naive_rmse_by_target_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo, hi = b.test_bounds()
     nr = naive_rmse(b.actuals(), range(1, b.params.horizon + 1), lo, hi)
     return nr.select("target", "horizon", r6("rmse_naive"), "n_obs")
+
+
+# Step 2: monthly panel and transforms -------------------------------------
+
+@query
+def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order indicators as a long monthly panel (entity, indicator, date, value)."""
+    return build(spark, sf_dir).panel_m().select("entity", "indicator", "date", r6("value"))
+
+
+@query
+def monthly_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order panel on a dense monthly spine between global bounds."""
+    return build(spark, sf_dir).spine_m().select("entity", "indicator", "date", r6("value"))
+
+
+@query
+def join_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and shipment sources together, restricted to the order spine dates."""
+    return build(spark, sf_dir).dense_m().select("entity", "indicator", "date", r6("value"))
+
+
+@query
+def positivity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, U4: non-positive counts per indicator and the transform they imply."""
+    return build(spark, sf_dir).profile()
+
+
+@query
+def chain_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-on-month revenue index rebuilt into a level by chaining."""
+    from panelcast.operators.series import chain_index as chain
+    from panelcast.sources.adapters import index_m
+
+    c = chain(index_m(build(spark, sf_dir).spine_m()))
+    return c.select("entity", "indicator", "date", r6("value"), F.round("level", 4).alias("level"))
+
+
+def _d12(spark: SparkSession, sf_dir: str, transform: str) -> DataFrame:
+    mf = build(spark, sf_dir).monthly_features()
+    suffix = "_log_d12" if transform == "log" else "_d12"
+    keep = (F.col("features_type") == "d12") & F.col("feature").endswith(suffix)
+    if transform != "log":
+        keep = keep & ~F.col("feature").endswith("_log_d12")
+    return mf.filter(keep).select("entity", "indicator", "feature", "date", r6("value"))
+
+
+@query
+def yoy_log_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ln(x) - ln(x 12 months earlier) for indicators that are never <= 0."""
+    return _d12(spark, sf_dir, "log")
+
+
+@query
+def yoy_level_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X - x 12 months earlier for the other indicators."""
+    return _d12(spark, sf_dir, "level")
+
+
+@query
+def rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-frame 3/6/12-month means of every d12 series."""
+    mf = build(spark, sf_dir).monthly_features().filter(F.col("features_type") == "rolling")
+    return mf.select("entity", "feature", "width", "date", r6("value"))
+
+
+# Step 3: quarterly features ----------------------------------------------
+
+@query
+def month_of_quarter_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month 1/2/3 values of each feature side by side per quarter."""
+    from panelcast.operators.features import quarter_pivot
+
+    b = build(spark, sf_dir)
+    qp = quarter_pivot(b.monthly_features(), b.first_quarter, b.anchor)
+    return qp.select("entity", "feature", "features_type", "date", r6("m1"), r6("m2"), r6("m3"))
+
+
+@query
+def quarterly_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly targets joined to the quarters that have monthly features."""
+    b = build(spark, sf_dir)
+    fq = b.feat_q().filter(F.col("features_type") == "d12")
+    counts = fq.groupBy("entity", "date").agg(
+        *(F.count(F.when(F.col("availability") == a, F.col("value"))).alias(f"n_m{a}") for a in (1, 2, 3)))
+    j = b.targets().join(counts, ["entity", "date"])
+    return j.select("entity", "target", "date", r6("y"), "n_m1", "n_m2", "n_m3")
+
+
+@query
+def feature_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every quarterly feature lagged 0..H-1 quarters (start filter after the lags)."""
+    from panelcast.operators.features import feature_lags as lags
+
+    b = build(spark, sf_dir)
+    fl = lags(b.feat_q(), range(b.params.horizon))
+    fl = fl.filter(F.col("date") >= F.lit(b.params.start_date))
+    return fl.select("entity", "feature", "features_type", "availability", "date", "lag", r6("value"))
+
+
+@query
+def target_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each target lagged 1..H quarters on the aligned quarters."""
+    from panelcast.operators.features import target_lags as lags
+
+    b = build(spark, sf_dir)
+    h = b.params.horizon
+    tl = lags(b.aligned_targets(), range(1, h + 1)).filter(F.col("date") >= F.lit(b.params.start_date))
+    return tl.select("entity", "target", "date", r6("y"), *(r6(f"y_lag{k}") for k in range(1, h + 1)))
+
+
+# One representative cell of the grid for the design plans.
+CELL = dict(features_type="d12", availability=2, target="gmv_log_d4", horizon=2)
+
+
+@query
+def cell_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1, B2: design rows of one cell (month-2 d12 features lagged h-1, target lag h, label)."""
+    d = build(spark, sf_dir).cell(**CELL)
+    return d.select("entity", "date", "column", r6("value"))
+
+
+@query
+def cumulative_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strategy 'all' - months 1..a of the quarter enter the design together."""
+    d = build(spark, sf_dir).cell(**{**CELL, "horizon": 1}, strategy="all")
+    return d.select("entity", "date", "column", r6("value"))

@@ -27,3 +27,104 @@ SELECT target, horizon, round(sqrt(avg(power(y - pred, 2))), 6) AS rmse_naive,
        count(power(y - pred, 2)) AS n_obs
 FROM nf, fb WHERE nf.date BETWEEN fb.test_lo AND fb.anchor
 GROUP BY target, horizon""", "act", "fb")
+
+ORACLE["monthly_panel"] = sql("""
+SELECT entity, indicator, date, round(value, 6) AS value FROM pm""", "pm")
+
+ORACLE["monthly_spine"] = sql("""
+SELECT entity, indicator, date, round(value, 6) AS value FROM md""", "md")
+
+ORACLE["join_sources"] = sql("""
+SELECT entity, indicator, date, round(value, 6) AS value FROM mj""", "mj")
+
+ORACLE["positivity_profile"] = sql("""
+SELECT indicator, n_nonpos, transform FROM prof""", "prof")
+
+ORACLE["chain_index"] = sql("""
+, ix AS (
+  SELECT entity, 'revenue_idx' AS indicator, date,
+         round(100 * value / lag(value, 1) OVER (PARTITION BY entity ORDER BY date), 6) AS value
+  FROM md WHERE indicator = 'revenue'
+)
+SELECT entity, indicator, date, round(value, 6) AS value,
+       round(CASE WHEN value IS NOT NULL THEN 100 * product(value / 100) OVER (
+         PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END, 4) AS level
+FROM ix""", "md")
+
+ORACLE["yoy_log_diff"] = sql("""
+SELECT entity, indicator, feature, date, round(value, 6) AS value
+FROM mf WHERE features_type = 'd12' AND feature LIKE '%\\_log\\_d12' ESCAPE '\\'""", "mf")
+
+ORACLE["yoy_level_diff"] = sql("""
+SELECT entity, indicator, feature, date, round(value, 6) AS value
+FROM mf WHERE features_type = 'd12' AND NOT feature LIKE '%\\_log\\_d12' ESCAPE '\\'""", "mf")
+
+ORACLE["rolling_means"] = sql("""
+SELECT entity, feature, width, date, round(value, 6) AS value FROM mf WHERE features_type = 'rolling'""", "mf")
+
+ORACLE["month_of_quarter_pivot"] = sql("""
+, q AS (
+  SELECT entity, feature, features_type, CAST((month(date) - 1) % 3 + 1 AS INTEGER) AS miq,
+         CAST(date_trunc('quarter', date) AS DATE) AS date, value FROM mf
+)
+SELECT entity, feature, features_type, q.date,
+       round(max(value) FILTER (WHERE miq = 1), 6) AS m1,
+       round(max(value) FILTER (WHERE miq = 2), 6) AS m2,
+       round(max(value) FILTER (WHERE miq = 3), 6) AS m3
+FROM q, fb WHERE q.date BETWEEN fb.first_q AND fb.anchor
+GROUP BY entity, feature, features_type, q.date""", "mf", "fb")
+
+ORACLE["quarterly_join"] = sql("""
+, c AS (
+  SELECT entity, date,
+         count(value) FILTER (WHERE availability = 1) AS n_m1,
+         count(value) FILTER (WHERE availability = 2) AS n_m2,
+         count(value) FILTER (WHERE availability = 3) AS n_m3
+  FROM fq WHERE features_type = 'd12' GROUP BY entity, date
+)
+SELECT t.entity, t.target, t.date, round(t.y, 6) AS y, c.n_m1, c.n_m2, c.n_m3
+FROM tq t JOIN c ON t.entity = c.entity AND t.date = c.date""", "tq", "fq")
+
+ORACLE["feature_lags"] = sql(f"""
+, fl AS (
+  {" UNION ALL ".join(
+      f"SELECT entity, feature, features_type, availability, date, {k} AS lag, "
+      + ("value" if k == 0 else f"lag(value, {k}) OVER (PARTITION BY entity, feature ORDER BY date)")
+      + " AS value FROM fq" for k in range(H))}
+)
+SELECT entity, feature, features_type, availability, date, lag, round(value, 6) AS value
+FROM fl WHERE date >= DATE '{P.start_date.isoformat()}'""", "fq")
+
+ORACLE["target_lags"] = sql(f"""
+SELECT entity, target, date, round(y, 6) AS y,
+       {", ".join(f"round(lag(y, {k}) OVER (PARTITION BY entity, target ORDER BY date), 6) AS y_lag{k}" for k in range(1, H + 1))}
+FROM al
+QUALIFY date >= DATE '{P.start_date.isoformat()}'""", "al")
+
+
+def _cell_sql(features_type: str, availability: int, target: str, horizon: int, strategy: str = "avail_only") -> str:
+    months = f"availability = {availability}" if strategy == "avail_only" or features_type == "rolling" \
+        else f"availability <= {availability}"
+    k = horizon - 1
+    col = f"feature || '_lag{k}'" if k else "feature"
+    val = f"lag(value, {k}) OVER (PARTITION BY entity, feature ORDER BY date)" if k else "value"
+    return sql(f"""
+, feats AS (
+  SELECT entity, date, {col} AS "column", {val} AS value
+  FROM fq WHERE features_type = '{features_type}' AND {months}
+), t AS (SELECT * FROM al WHERE target = '{target}'),
+rows_t AS (
+  SELECT entity, date, '{target}_lag{horizon}' AS "column",
+         lag(y, {horizon}) OVER (PARTITION BY entity, target ORDER BY date) AS value FROM t
+  UNION ALL SELECT entity, date, 'y', y FROM t
+), u AS (
+  SELECT * FROM feats f WHERE EXISTS (SELECT 1 FROM t WHERE t.entity = f.entity AND t.date = f.date)
+  UNION ALL
+  SELECT * FROM rows_t r WHERE EXISTS (SELECT 1 FROM feats f WHERE f.entity = r.entity AND f.date = r.date)
+)
+SELECT entity, date, "column", round(value, 6) AS value FROM u WHERE date >= DATE '{P.start_date.isoformat()}'""",
+               "fq", "al")
+
+
+ORACLE["cell_features"] = _cell_sql("d12", 2, "gmv_log_d4", 2)
+ORACLE["cumulative_availability"] = _cell_sql("d12", 2, "gmv_log_d4", 1, "all")

@@ -24,7 +24,7 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
         f"THEN avg(d12) OVER (PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END AS roll_{k}"
         for k in win)
     roll_union = "\n  UNION ALL ".join(
-        f"SELECT entity, indicator, feature || '_roll_mean_{k}' AS feature, 'rolling' AS features_type, {k} AS window, date, roll_{k} AS value FROM ys"
+        f"SELECT entity, indicator, feature || '_roll_mean_{k}' AS feature, 'rolling' AS features_type, {k} AS width, date, roll_{k} AS value FROM ys"
         for k in win)
     c = {
         "ent": ("""SELECT c.c_custkey AS custkey, CAST(n.n_regionkey AS VARCHAR) || '|' || c.c_mktsegment AS entity
@@ -47,18 +47,22 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
         "md": ("""SELECT k.entity, k.indicator, c.date, p.value
   FROM (SELECT DISTINCT entity, indicator FROM pm) k CROSS JOIN mcal c
   LEFT JOIN pm p ON p.entity = k.entity AND p.indicator = k.indicator AND p.date = c.date""", ("pm", "mcal")),
+        "src": ("""SELECT * FROM pm UNION ALL SELECT * FROM mk""", ("pm", "mk")),
+        "mj": ("""SELECT k.entity, k.indicator, c.date, p.value
+  FROM (SELECT DISTINCT s.entity, s.indicator FROM src s, mb WHERE s.date BETWEEN mb.lo AND mb.hi) k CROSS JOIN mcal c
+  LEFT JOIN src p ON p.entity = k.entity AND p.indicator = k.indicator AND p.date = c.date""", ("src", "mcal", "mb")),
         "prof": ("""SELECT indicator, count(*) FILTER (WHERE value <= 0) AS n_nonpos,
     CASE WHEN count(*) FILTER (WHERE value <= 0) = 0 THEN 'log' ELSE 'level' END AS transform
-  FROM pm GROUP BY indicator""", ("pm",)),
+  FROM mj GROUP BY indicator""", ("mj",)),
         "yx": ("""SELECT md.entity, md.indicator, md.date, md.value, pr.transform,
     CASE WHEN pr.transform = 'log' THEN (CASE WHEN md.value > 0 THEN ln(md.value) END) ELSE md.value END AS x,
     md.indicator || CASE WHEN pr.transform = 'log' THEN '_log_d12' ELSE '_d12' END AS feature
-  FROM md JOIN prof pr ON md.indicator = pr.indicator""", ("md", "prof")),
+  FROM mj md JOIN prof pr ON md.indicator = pr.indicator""", ("mj", "prof")),
         "yd": ("""SELECT *, x - lag(x, 12) OVER (PARTITION BY entity, indicator ORDER BY date) AS d12 FROM yx""", ("yx",)),
         "ys": (f"""SELECT *,
   {roll_cols}
   FROM yd""", ("yd",)),
-        "mf": (f"""SELECT entity, indicator, feature, 'd12' AS features_type, 0 AS window, date, d12 AS value FROM ys
+        "mf": (f"""SELECT entity, indicator, feature, 'd12' AS features_type, 0 AS width, date, d12 AS value FROM ys
   UNION ALL {roll_union}""", ("ys",)),
         "lq": (f"""SELECT l_orderkey, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date,
     SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS gmv_c,
@@ -103,7 +107,7 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
         "act": (f"""SELECT * FROM al WHERE date >= DATE '{p.start_date.isoformat()}'""", ("al",)),
         "fq": ("""SELECT mf.entity, mf.indicator, mf.feature AS base_feature,
     mf.feature || '_m' || CAST((month(mf.date) - 1) % 3 + 1 AS VARCHAR) AS feature,
-    mf.features_type, mf.window, CAST((month(mf.date) - 1) % 3 + 1 AS INTEGER) AS availability,
+    mf.features_type, mf.width, CAST((month(mf.date) - 1) % 3 + 1 AS INTEGER) AS availability,
     CAST(date_trunc('quarter', mf.date) AS DATE) AS date, mf.value
   FROM mf, fb
   WHERE CAST(date_trunc('quarter', mf.date) AS DATE) BETWEEN fb.first_q AND fb.anchor""", ("mf", "fb")),
