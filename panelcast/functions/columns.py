@@ -123,7 +123,7 @@ def crps_gaussian(y: str | Column, mu: str | Column, sigma: str | Column) -> Col
 # The reference keeps only digits, comma, dot and minus, then
 # reads the comma as the decimal point.
 KEEP_NUMERIC_CHARS = r"[^0-9,.\-]"
-FOOTNOTE_SUFFIX = r"\s*[0-9]+\)\s*$"
+FOOTNOTE_SUFFIX = r"\s+[0-9]{1,2}\)\s*$"
 
 
 def clean_numeric_text(cell: str | Column, strict_reference: bool = False) -> Column:

@@ -128,3 +128,30 @@ SELECT entity, date, "column", round(value, 6) AS value FROM u WHERE date >= DAT
 
 ORACLE["cell_features"] = _cell_sql("d12", 2, "gmv_log_d4", 2)
 ORACLE["cumulative_availability"] = _cell_sql("d12", 2, "gmv_log_d4", 1, "all")
+
+ORACLE["grid_headers"] = sql("""
+SELECT sheet, row_no, trim(c0) AS title FROM gh WHERE is_header""", "gh")
+
+ORACLE["grid_long"] = sql(r"""
+SELECT sheet, indicator, row_no, CAST(year_text AS INTEGER) AS year, month, raw
+FROM gc WHERE regexp_matches(year_text, '^[0-9]+$') AND length(year_text) <= 4""", "gc")
+
+ORACLE["grid_clean_values"] = sql("""
+SELECT sheet, indicator, row_no, date, round(value, 6) AS value, round(value_strict, 6) AS value_strict
+FROM grk WHERE dup_rank = 1""", "grk")
+
+ORACLE["grid_pivot"] = sql("""
+SELECT sheet, date,
+  round(max(value) FILTER (WHERE indicator = 'AUTOMOBILE'), 6) AS automobile,
+  round(max(value) FILTER (WHERE indicator = 'BUILDING'), 6) AS building,
+  round(max(value) FILTER (WHERE indicator = 'FURNITURE'), 6) AS furniture,
+  round(max(value) FILTER (WHERE indicator = 'HOUSEHOLD'), 6) AS household,
+  round(max(value) FILTER (WHERE indicator = 'MACHINERY'), 6) AS machinery
+FROM grk WHERE dup_rank = 1 GROUP BY sheet, date""", "grk")
+
+ORACLE["grid_rejects"] = sql("""
+SELECT sheet, row_no, indicator, month, raw,
+  CASE WHEN NOT year_ok THEN 'bad_year' WHEN date IS NULL THEN 'bad_date' ELSE 'bad_value' END AS reason
+FROM gp WHERE NOT year_ok OR date IS NULL OR value IS NULL
+UNION ALL
+SELECT sheet, row_no, indicator, month, raw, 'duplicate' FROM grk WHERE dup_rank > 1""", "gp", "grk")

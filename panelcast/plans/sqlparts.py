@@ -131,3 +131,67 @@ def sql(body: str, *names: str, p: Params = TEST_PARAMS) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(f"{n} AS (\n  {defs[n][0]}\n)" for n in order) + "\n" + body
+
+
+MONTHS = [f"c{m}" for m in range(1, 13)]
+_M = ", ".join(MONTHS)
+_NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in MONTHS)
+_COMMA = r"regexp_replace(replace(printf('%.2f', v), '.', ','), '^(-?[0-9]+)([0-9]{3}),', '\1 \2,')"
+_KEPT = r"replace(regexp_replace({src}, '[^0-9,.\-]', '', 'g'), ',', '.')"
+_NUM = r"CASE WHEN regexp_matches({k}, '^-?([0-9]+\.?[0-9]*|\.[0-9]+)$') THEN TRY_CAST({k} AS DOUBLE) END"
+
+
+def _clean(raw: str, strict: bool) -> str:
+    src = raw if strict else rf"regexp_replace({raw}, '\s+[0-9]{{1,2}}\)\s*$', '')"
+    return _NUM.format(k=_KEPT.format(src=src))
+
+
+GRID_CTES = {
+    "gcells": (f"""SELECT 'region_' || split_part(entity, '|', 1) AS sheet, split_part(entity, '|', 2) AS segment,
+    CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(rev_c AS DOUBLE) / 100 AS v
+  FROM om""", ("om",)),
+    "gtxt": (f"""SELECT sheet, segment, year, month,
+    CASE (year * 12 + month) % 6 WHEN 0 THEN printf('%.2f', v) WHEN 1 THEN {_COMMA}
+      WHEN 2 THEN {_COMMA} || ' 1)' WHEN 3 THEN '(' || printf('%.2f', v) || ')'
+      WHEN 4 THEN '…' ELSE ' ' || printf('%.2f', v) || ' ' END AS text
+  FROM gcells""", ("gcells",)),
+    "gyrs": ("SELECT sheet, segment, year, " + ", ".join(f"max(text) FILTER (WHERE month = {m}) AS c{m}" for m in range(1, 13))
+             + " FROM gtxt GROUP BY sheet, segment, year", ("gtxt",)),
+    "gblocks": ("""SELECT sheet, segment, dense_rank() OVER (PARTITION BY sheet ORDER BY segment) AS block
+  FROM (SELECT DISTINCT sheet, segment FROM gyrs)""", ("gyrs",)),
+    "gyb": ("""SELECT y.*, b.block, s.y0, s.y1 FROM gyrs y JOIN gblocks b USING (sheet, segment)
+  JOIN (SELECT sheet, segment, min(year) AS y0, max(year) AS y1 FROM gyrs GROUP BY sheet, segment) s USING (sheet, segment)""",
+            ("gyrs", "gblocks")),
+    "grid": (f"""SELECT sheet, CAST(block * 1000 + 10 + year - 1990 AS INTEGER) AS row_no, CAST(year AS VARCHAR) AS c0, {_M} FROM gyb
+  UNION ALL SELECT sheet, CAST(block * 1000 + 900 AS INTEGER), CAST(year AS VARCHAR) || '*', {_M} FROM gyb WHERE year = y0
+  UNION ALL SELECT sheet, CAST(block * 1000 + 950 AS INTEGER), CAST(year AS VARCHAR), {_M} FROM gyb WHERE year = y1
+  UNION ALL SELECT sheet, CAST(block * 1000 AS INTEGER), '  ' || segment || ' ', {_NULLS} FROM gblocks
+  UNION ALL SELECT sheet, CAST(block * 1000 + 1 AS INTEGER), CAST(NULL AS VARCHAR), {_NULLS} FROM gblocks
+  UNION ALL SELECT sheet, 0, 'Monthly revenue by segment', 'source: orders', {", ".join(f"CAST(NULL AS VARCHAR)" for _ in range(11))}
+    FROM gblocks WHERE block = 1""", ("gyb", "gblocks")),
+    "gh": (rf"""SELECT *, (c0 IS NOT NULL AND trim(c0) <> '' AND NOT regexp_matches(c0, '^\s*[0-9]+(\.0)?\s*$')
+      AND coalesce({_M}) IS NULL) AS is_header FROM grid""", ("grid",)),
+    "gs": ("""SELECT *, last_value(CASE WHEN is_header THEN trim(c0) END IGNORE NULLS) OVER (
+      PARTITION BY sheet ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS indicator FROM gh""", ("gh",)),
+    "gc": (f"""SELECT sheet, indicator, row_no, c0 AS year_text, CAST(substr(mcol, 2) AS INTEGER) AS month, raw
+  FROM (UNPIVOT (SELECT sheet, indicator, row_no, c0, {_M} FROM gs
+                 WHERE indicator IS NOT NULL AND NOT is_header AND coalesce(c0, {_M}) IS NOT NULL)
+        ON {_M} INTO NAME mcol VALUE raw)
+  WHERE c0 IS NOT NULL AND raw IS NOT NULL""", ("gs",)),
+    "gp": (rf"""SELECT *, regexp_matches(year_text, '^[0-9]+$') AND length(year_text) <= 4 AS year_ok,
+    CASE WHEN regexp_matches(year_text, '^[0-9]+$') AND length(year_text) <= 4
+          AND CAST(year_text AS INTEGER) BETWEEN 1 AND 9999
+         THEN make_date(CAST(year_text AS INTEGER), month, 1) END AS date,
+    {_clean('raw', False)} AS value, {_clean('raw', True)} AS value_strict
+  FROM gc""", ("gc",)),
+    "grk": ("""SELECT *, row_number() OVER (PARTITION BY sheet, indicator, date ORDER BY row_no) AS dup_rank
+  FROM gp WHERE year_ok AND date IS NOT NULL AND value IS NOT NULL""", ("gp",)),
+}
+
+_base_ctes = ctes
+
+
+def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:  # noqa: F811
+    c = _base_ctes(p)
+    c.update(GRID_CTES)
+    return c
