@@ -209,6 +209,11 @@ class PanelBuild:
         return cell_design(self.feat_q(), self.aligned_targets(), features_type, availability, target, horizon,
                            strategy, start=self.params.start_date)
 
+    def split_bounds(self):
+        from panelcast.operators.split import SplitBounds
+
+        return SplitBounds.of(self.anchor, self.params)
+
     def test_bounds(self) -> tuple[dt.date, dt.date]:
         """B3 anchor window: last ``test_len`` quarters ending at the anchor."""
         hi = self.anchor

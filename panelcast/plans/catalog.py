@@ -227,3 +227,121 @@ def grid_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.operators.grid import rejects
 
     return rejects(_grid(spark, sf_dir))
+
+
+# Step 5: splits, vintages, profiles ---------------------------------------
+
+@query
+def chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start filter, then train/valid/test as a column."""
+    from panelcast.operators.split import chrono_split as split
+
+    b = build(spark, sf_dir)
+    s = split(b.aligned_targets(), b.split_bounds(), b.params.start_date)
+    return s.select("entity", "target", "date", r6("y"), "split")
+
+
+@query
+def rolling_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T+H-1 forecast windows over the distinct back-test dates, horizon numbered."""
+    from panelcast.operators.split import rolling_origins as origins
+
+    b = build(spark, sf_dir)
+    dates = b.actuals().select("date").distinct()
+    return origins(dates, b.anchor, b.params.test_len, b.params.horizon).select(
+        "origin_id", "origin", "window_end", "date", "horizon")
+
+
+def _monthly_for_var(b) -> DataFrame:
+    """Joined monthly sources from the start year, trimmed to the last target quarter."""
+    from panelcast.operators.split import trim_to_quarter_end
+
+    m = b.dense_m().filter(F.col("date") >= F.lit(b.params.start_date))
+    return trim_to_quarter_end(m, b.anchor)
+
+
+@query
+def vintage_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vintage, the data still visible (targets drop tp+1 quarters, indicators 3*tp months)."""
+    from panelcast.operators.features import add_months
+    from panelcast.operators.split import vintages
+
+    b = build(spark, sf_dir)
+    n = b.params.test_len + b.params.horizon + 1
+    m_last = add_months(b.anchor, 2)
+    mv, qv = vintages(_monthly_for_var(b), b.actuals(), b.anchor, m_last, n)
+    ms = mv.groupBy("vintage", "entity").agg(F.count("value").alias("n_m"))
+    qs = qv.groupBy("vintage", "entity").agg(F.count("y").alias("n_q"))
+    out = ms.join(qs, ["vintage", "entity"])
+    return out.select(
+        "vintage", "entity",
+        F.expr(f"add_months(DATE'{m_last.isoformat()}', -3 * vintage)").alias("m_end"),
+        F.expr(f"add_months(DATE'{b.anchor.isoformat()}', -3 * (vintage + 1))").alias("q_end"),
+        "n_m", "n_q")
+
+
+@query
+def ragged_edge_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Availability a < 3 hides the last 3-a months of the latest vintage."""
+    from panelcast.operators.features import add_months
+
+    b = build(spark, sf_dir)
+    m_end = add_months(b.anchor, 2)
+    m = _monthly_for_var(b).withColumn("availability", F.explode(F.array(*(F.lit(a) for a in (1, 2, 3)))))
+    cutoff = F.expr(f"add_months(DATE'{m_end.isoformat()}', -(3 - availability))")
+    masked = m.withColumn("value", F.when(F.col("date") <= cutoff, F.col("value")))
+    return masked.groupBy("availability", "entity", "indicator").agg(
+        F.count("value").alias("n_values"), F.max(F.when(F.col("value").isNotNull(), F.col("date"))).alias("last_date"))
+
+
+@query
+def null_threshold_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL count per monthly (<=12) and quarterly (<=4) series; which series are kept."""
+    from panelcast.operators.profile import null_counts
+
+    b = build(spark, sf_dir)
+    m = null_counts(_monthly_for_var(b), ["entity", "indicator"], "value", b.params.max_nulls_m)
+    q = null_counts(b.actuals(), ["entity", "target"], "y", b.params.max_nulls_q)
+    m = m.select(F.lit("m").alias("kind"), "entity", F.col("indicator").alias("series"), "n_null", "n_rows", "keep")
+    q = q.select(F.lit("q").alias("kind"), "entity", F.col("target").alias("series"), "n_null", "n_rows", "keep")
+    return m.unionByName(q)
+
+
+@query
+def complete_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months where every kept indicator of the entity has a value."""
+    from panelcast.operators.profile import complete_cases as cc
+    from panelcast.operators.profile import keep_series, null_counts
+
+    b = build(spark, sf_dir)
+    m = _monthly_for_var(b)
+    kept = keep_series(m, null_counts(m, ["entity", "indicator"], "value", b.params.max_nulls_m), ["entity", "indicator"])
+    return cc(kept, ["entity", "date"]).select("entity", "date", "n_values")
+
+
+def _split_design(b, **cell) -> DataFrame:
+    from panelcast.operators.split import split_column
+
+    return b.cell(**cell).withColumn("split", split_column(b.split_bounds()))
+
+
+PROFILE_CELL = dict(features_type="d12", availability=1, target="gmv_log_d4", horizon=1)
+
+
+@query
+def null_free_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Design columns without NULLs over train and valid rows."""
+    from panelcast.operators.profile import null_free
+
+    return null_free(_split_design(build(spark, sf_dir), **PROFILE_CELL)).select("column", "n_null", "n_rows", "null_free")
+
+
+@query
+def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z-scores with mean / population std from the training rows only."""
+    from panelcast.operators.profile import scale_stats
+    from panelcast.operators.profile import standardise as z
+
+    d = _split_design(build(spark, sf_dir), **PROFILE_CELL).filter(F.col("column") != "y")
+    out = z(d, scale_stats(d))
+    return out.select("entity", "date", "column", "split", r6("z"))

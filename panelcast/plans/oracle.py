@@ -155,3 +155,96 @@ SELECT sheet, row_no, indicator, month, raw,
 FROM gp WHERE NOT year_ok OR date IS NULL OR value IS NULL
 UNION ALL
 SELECT sheet, row_no, indicator, month, raw, 'duplicate' FROM grk WHERE dup_rank > 1""", "gp", "grk")
+
+_SPLIT = """CASE WHEN date BETWEEN fb.test_lo AND fb.anchor THEN 'test'
+            WHEN date BETWEEN fb.valid_lo AND fb.valid_hi THEN 'valid'
+            WHEN date < fb.valid_lo THEN 'train' END"""
+START = f"DATE '{P.start_date.isoformat()}'"
+
+ORACLE["chrono_split"] = sql(f"""
+SELECT entity, target, date, round(y, 6) AS y, {_SPLIT} AS split
+FROM al, fb WHERE date >= {START}""", "al", "fb")
+
+ORACLE["rolling_origins"] = sql(f"""
+, o AS (
+  SELECT i AS origin_id,
+         CAST(fb.anchor - to_months(CAST(3 * ({P.test_len - 2 + H} - i) AS INTEGER)) AS DATE) AS origin,
+         CAST(fb.anchor - to_months(CAST(3 * ({P.test_len - 1} - i) AS INTEGER)) AS DATE) AS window_end
+  FROM fb, (SELECT range AS i FROM range(0, {P.test_len + H - 1}))
+), d AS (SELECT DISTINCT date FROM act)
+SELECT o.origin_id, o.origin, o.window_end, d.date,
+       row_number() OVER (PARTITION BY o.origin_id ORDER BY d.date) AS horizon
+FROM o JOIN d ON d.date BETWEEN o.origin AND o.window_end""", "act", "fb")
+
+_MV = f"""mv AS (
+  SELECT mj.* FROM mj, fb WHERE mj.date >= {START} AND mj.date <= CAST(fb.anchor + INTERVAL 2 MONTH AS DATE)
+)"""
+
+ORACLE["vintage_cut"] = sql(f"""
+, {_MV}, v AS (SELECT range AS vintage FROM range(0, {P.test_len + H + 1})),
+ms AS (
+  SELECT v.vintage, mv.entity, count(mv.value) AS n_m FROM mv, v, fb
+  WHERE mv.date <= CAST(fb.anchor + INTERVAL 2 MONTH - to_months(CAST(3 * v.vintage AS INTEGER)) AS DATE)
+  GROUP BY 1, 2
+), qs AS (
+  SELECT v.vintage, act.entity, count(act.y) AS n_q FROM act, v, fb
+  WHERE act.date <= CAST(fb.anchor - to_months(CAST(3 * (v.vintage + 1) AS INTEGER)) AS DATE)
+  GROUP BY 1, 2
+)
+SELECT ms.vintage, ms.entity,
+  CAST(fb.anchor + INTERVAL 2 MONTH - to_months(CAST(3 * ms.vintage AS INTEGER)) AS DATE) AS m_end,
+  CAST(fb.anchor - to_months(CAST(3 * (ms.vintage + 1) AS INTEGER)) AS DATE) AS q_end,
+  ms.n_m, qs.n_q
+FROM ms JOIN qs ON ms.vintage = qs.vintage AND ms.entity = qs.entity, fb""", "mj", "act", "fb")
+
+ORACLE["ragged_edge_mask"] = sql(f"""
+, {_MV}, mm AS (
+  SELECT a.availability, mv.entity, mv.indicator, mv.date,
+    CASE WHEN mv.date <= CAST(fb.anchor + INTERVAL 2 MONTH - to_months(3 - a.availability) AS DATE) THEN mv.value END AS value
+  FROM mv, fb, (VALUES (1), (2), (3)) a(availability)
+)
+SELECT availability, entity, indicator, count(value) AS n_values,
+       max(CASE WHEN value IS NOT NULL THEN date END) AS last_date
+FROM mm GROUP BY 1, 2, 3""", "mj", "fb")
+
+ORACLE["null_threshold_columns"] = sql(f"""
+, {_MV}
+SELECT 'm' AS kind, entity, indicator AS series, count(*) FILTER (WHERE value IS NULL) AS n_null,
+       count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) <= {P.max_nulls_m} AS keep
+FROM mv GROUP BY entity, indicator
+UNION ALL
+SELECT 'q', entity, target, count(*) FILTER (WHERE y IS NULL), count(*),
+       count(*) FILTER (WHERE y IS NULL) <= {P.max_nulls_q}
+FROM act GROUP BY entity, target""", "mj", "act", "fb")
+
+ORACLE["complete_cases"] = sql(f"""
+, {_MV}, keep AS (
+  SELECT entity, indicator FROM mv GROUP BY 1, 2 HAVING count(*) FILTER (WHERE value IS NULL) <= {P.max_nulls_m}
+), k AS (SELECT mv.* FROM mv JOIN keep USING (entity, indicator))
+SELECT entity, date, count(value) AS n_values FROM k GROUP BY entity, date HAVING count(value) = count(*)""",
+                               "mj", "fb")
+
+
+def _split_cell_sql(features_type: str, availability: int, target: str, horizon: int) -> str:
+    body = _cell_sql(features_type, availability, target, horizon)
+    # the cell twin ends with a SELECT over u: wrap it to add the split column
+    head, _, _ = body.rpartition("SELECT entity, date, \"column\", round(value, 6) AS value FROM u")
+    return head + f"""SELECT u.entity, u.date, u."column", u.value, {_SPLIT} AS split
+FROM u, fb WHERE u.date >= {START}"""
+
+
+_PC = _split_cell_sql("d12", 1, "gmv_log_d4", 1)
+ORACLE["null_free_features"] = _PC.replace("SELECT u.entity, u.date", ", sd AS (SELECT u.entity, u.date", 1) + """)
+SELECT "column", count(*) FILTER (WHERE value IS NULL) AS n_null, count(*) AS n_rows,
+       count(*) FILTER (WHERE value IS NULL) = 0 AS null_free
+FROM sd WHERE split IN ('train', 'valid') GROUP BY "column\""""
+
+ORACLE["standardise"] = _PC.replace("SELECT u.entity, u.date", ", sd AS (SELECT u.entity, u.date", 1) + """)
+, d AS (SELECT * FROM sd WHERE "column" <> 'y'),
+st AS (
+  SELECT "column", avg(value) AS mu,
+         CASE WHEN stddev_pop(value) > 0 THEN stddev_pop(value) ELSE 1.0 END AS sigma
+  FROM d WHERE split = 'train' GROUP BY "column"
+)
+SELECT d.entity, d.date, d."column", d.split, round((d.value - st.mu) / st.sigma, 6) AS z
+FROM d LEFT JOIN st USING ("column")"""

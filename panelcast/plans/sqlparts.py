@@ -100,7 +100,10 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
         "fb": (f"""SELECT greatest(CASE WHEN CAST(date_trunc('quarter', mb.lo) AS DATE) = mb.lo THEN mb.lo
                      ELSE CAST(date_trunc('quarter', mb.lo) + INTERVAL 3 MONTH AS DATE) END, qb.lo) AS first_q,
     least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) AS anchor,
-    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) - INTERVAL {3 * (p.test_len - 1)} MONTH AS DATE) AS test_lo
+    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) - INTERVAL {3 * (p.test_len - 1)} MONTH AS DATE) AS test_lo,
+    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) - INTERVAL {3 * p.test_len} MONTH AS DATE) AS valid_hi,
+    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi)
+         - INTERVAL {3 * (p.test_len + p.valid_len - 1)} MONTH AS DATE) AS valid_lo
   FROM mb, qb""", ("mb", "qb")),
         "al": ("""SELECT tq.entity, tq.target, tq.date, tq.level, tq.y FROM tq, fb
   WHERE tq.date BETWEEN fb.first_q AND fb.anchor""", ("tq", "fb")),
