@@ -38,6 +38,9 @@ METRICS_COLUMNS = ("horizon", "availability", "features_type", "rmse", "target",
 
 CELL_KEYS = ("model", "target", "features_type", "availability", "horizon")
 
+# Fixed value: standard normal quantile of 0.84, half-width of a 68% central band.
+Z68 = 0.994457883209753
+
 
 def squared_error(pred: str = "pred", y: str = "y"):
     return F.pow(F.col(pred) - F.col(y), 2)
@@ -89,27 +92,45 @@ def pseudo_forecasts(actuals: DataFrame, horizons: Sequence[int], availabilities
     """Deterministic benchmark forecasts in the uniform record.
 
     ``naive`` = y(t-h); ``snaive`` = y(t-4*ceil(h/4)); ``mean4`` = full mean of
-    y(t-h-3..t-h).  They are tagged over the (availability, features_type)
-    grid so scoring and the leaderboard run over a complete grid.
+    y(t-h-3..t-h) with a band of +-1 population std of the same four values.
+    They are tagged over the (availability, features_type) grid so scoring
+    and the leaderboard run over a complete grid.
     """
     w = Window.partitionBy(*TARGET_KEYS).orderBy("date")
+    four = w.rowsBetween(-3, Window.currentRow)
+    base = actuals.withColumn("m4", full_frame_mean("y", w, 4)).withColumn(
+        "s4", F.when(F.count("y").over(four) == 4, F.stddev_pop("y").over(four)))
+    none = F.lit(None).cast("double")
+    lags = []
     cols = []
     for h in horizons:
         s = 4 * ((h + 3) // 4)
-        cols += [F.struct(F.lit("naive").alias("model"), F.lit(h).alias("horizon"), F.lag("y", h).over(w).alias("pred")),
-                 F.struct(F.lit("snaive").alias("model"), F.lit(h).alias("horizon"), F.lag("y", s).over(w).alias("pred")),
-                 F.struct(F.lit("mean4").alias("model"), F.lit(h).alias("horizon"),
-                          F.lag(full_frame_mean("y", w, 4), h).over(w).alias("pred"))]
+        lags += [F.lag("y", h).over(w).alias(f"n{h}"), F.lag("y", s).over(w).alias(f"s{h}"),
+                 F.lag("m4", h).over(w).alias(f"m{h}"), F.lag("s4", h).over(w).alias(f"d{h}")]
+        m4, s4 = F.col(f"m{h}"), F.col(f"d{h}")
+        cols += [F.struct(F.lit("naive").alias("model"), F.lit(h).alias("horizon"), F.col(f"n{h}").alias("pred"),
+                          none.alias("lo"), none.alias("hi")),
+                 F.struct(F.lit("snaive").alias("model"), F.lit(h).alias("horizon"), F.col(f"s{h}").alias("pred"),
+                          none.alias("lo"), none.alias("hi")),
+                 F.struct(F.lit("mean4").alias("model"), F.lit(h).alias("horizon"), m4.alias("pred"),
+                          (m4 - Z68 * s4).alias("lo"), (m4 + Z68 * s4).alias("hi"))]
+    base = base.select(*TARGET_KEYS, "date", *lags)
     grid = [F.struct(F.lit(a).alias("availability"), F.lit(ft).alias("features_type"))
             for a in availabilities for ft in features_types]
-    f = actuals.select(*TARGET_KEYS, "date", F.explode(F.array(*cols)).alias("f"))
+    f = base.select(*TARGET_KEYS, "date", F.explode(F.array(*cols)).alias("f"))
     f = f.filter(F.col("date").between(to_date(test_lo), to_date(test_hi)))
     return f.select(
         F.lit("bench").alias("run_id"), "f.model", "entity", "target",
-        F.explode(F.array(*grid)).alias("g"), "f.horizon", "date", "f.pred",
+        F.explode(F.array(*grid)).alias("g"), "f.horizon", "date", "f.pred", "f.lo", "f.hi",
     ).select("run_id", "model", "entity", "target", "g.features_type", "g.availability", "horizon",
-             F.expr("add_months(date, -3 * horizon)").alias("origin"), "date", "pred",
-             F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+             F.expr("add_months(date, -3 * horizon)").alias("origin"), "date", "pred", "lo", "hi")
+
+
+def shift_forecast_dates(records: DataFrame, months: int = -2) -> DataFrame:
+    """Quarter-end dated forecast records (fcst_date, median, variable) -> uniform, date moved by ``months``."""
+    return records.select(
+        F.add_months(F.col("fcst_date"), months).alias("date"), F.col("median").alias("pred"),
+        F.col("variable").alias("target"), *(c for c in records.columns if c not in ("fcst_date", "median", "variable", "p")))
 
 
 def metrics_table(forecasts: DataFrame, actuals: DataFrame, horizons: Sequence[int],
@@ -123,7 +144,6 @@ def metrics_table(forecasts: DataFrame, actuals: DataFrame, horizons: Sequence[i
 
 def crps_table(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str] = CELL_KEYS) -> DataFrame:
     """Mean Gaussian CRPS per cell for forecasts carrying a band (sigma from lo/hi)."""
-    z68 = 0.994457883209753  # Fixed value: standard normal quantile of 0.84 (68% central band).
-    s = join_actuals(forecasts, actuals).withColumn("sigma", (F.col("hi") - F.col("lo")) / (2 * z68))
+    s = join_actuals(forecasts, actuals).withColumn("sigma", (F.col("hi") - F.col("lo")) / (2 * Z68))
     s = s.filter(F.col("sigma") > 0)
     return s.groupBy(*keys).agg(F.avg(crps_gaussian("y", "pred", "sigma")).alias("crps"), F.count("*").alias("n_obs"))

@@ -345,3 +345,154 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _split_design(build(spark, sf_dir), **PROFILE_CELL).filter(F.col("column") != "y")
     out = z(d, scale_stats(d))
     return out.select("entity", "date", "column", "split", r6("z"))
+
+
+# Step 6: scoring ------------------------------------------------------------
+
+AVAILABILITIES = (1, 2, 3)
+FEATURE_TYPES = ("d12", "rolling")
+
+
+def _bench(b) -> DataFrame:
+    """Benchmark forecasts (naive, seasonal naive, 4-quarter mean) over the cell grid."""
+    from panelcast.operators.score import pseudo_forecasts
+
+    lo, hi = b.test_bounds()
+    return pseudo_forecasts(b.actuals(), range(1, b.params.horizon + 1), AVAILABILITIES, FEATURE_TYPES, lo, hi)
+
+
+def _quarter_end_records(b) -> DataFrame:
+    """Forecast records dated at quarter end for horizons 1..H+1 (the extra horizon has no naive twin)."""
+    from pyspark.sql import Window
+
+    from panelcast.functions.columns import full_frame_mean
+
+    lo, hi = b.test_bounds()
+    w = Window.partitionBy("entity", "target").orderBy("date")
+    base = b.actuals().withColumn("m4", full_frame_mean("y", w, 4))
+    hs = range(1, b.params.horizon + 2)
+    base = base.select("entity", "target", "date", *(F.lag("m4", h).over(w).alias(f"m{h}") for h in hs))
+    steps = [F.struct(F.lit(h).alias("horizon"), F.col(f"m{h}").alias("median")) for h in hs]
+    r = base.select("entity", "target", "date", F.explode(F.array(*steps)).alias("s"))
+    r = r.filter(F.col("date").between(F.lit(lo), F.lit(hi)) & F.col("s.median").isNotNull())
+    return r.select("entity", F.add_months("date", 2).alias("fcst_date"), F.col("s.median").alias("median"),
+                    F.col("target").alias("variable"), F.col("s.horizon").alias("horizon"),
+                    F.lit(b.params.var_lags).alias("p"),
+                    F.explode(F.array(*(F.lit(a) for a in AVAILABILITIES))).alias("availability"))
+
+
+def _metrics(b) -> DataFrame:
+    """Benchmark models (left join to naive) plus quarter-end records (inner join: drops horizon H+1)."""
+    from panelcast.operators.score import (METRICS_COLUMNS, join_actuals, metrics_table, naive_rmse, relative, rmse,
+                                           shift_forecast_dates)
+
+    lo, hi = b.test_bounds()
+    hs = range(1, b.params.horizon + 1)
+    ml = metrics_table(_bench(b), b.actuals(), hs, lo, hi)
+    test_dates = b.actuals().filter(F.col("date").between(F.lit(lo), F.lit(hi))).select("date").distinct()
+    shifted = shift_forecast_dates(_quarter_end_records(b)).join(test_dates, "date", "left_semi")
+    scored = join_actuals(shifted.withColumn("model", F.lit("mfvar")).withColumn("features_type", F.lit("d12")), b.actuals())
+    var = relative(rmse(scored), naive_rmse(b.actuals(), hs, lo, hi), how="inner").select(*METRICS_COLUMNS)
+    return ml.unionByName(var)
+
+
+@query
+def rmse_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of every benchmark model and cell in one join and one aggregate."""
+    from panelcast.operators.score import join_actuals, rmse
+
+    b = build(spark, sf_dir)
+    m = rmse(join_actuals(_bench(b), b.actuals()))
+    return m.select("model", "target", "features_type", "availability", "horizon", r6("rmse"), "n_obs")
+
+
+@query
+def rel_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE relative to the random walk of the same target and horizon."""
+    from panelcast.operators.score import join_actuals, naive_rmse, relative, rmse
+
+    b = build(spark, sf_dir)
+    lo, hi = b.test_bounds()
+    m = relative(rmse(join_actuals(_bench(b), b.actuals())), naive_rmse(b.actuals(), range(1, b.params.horizon + 1), lo, hi))
+    return m.select("model", "target", "features_type", "availability", "horizon", r6("rmse"), r6("rmse_naive"),
+                    r6("rel_rmse_naive"))
+
+
+@query
+def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 8-column metrics record for all model families."""
+    m = _metrics(build(spark, sf_dir))
+    return m.select("horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),
+                    r6("rel_rmse_naive"))
+
+
+@query
+def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best model and feature type per (target, horizon, availability); NULL never wins."""
+    from panelcast.operators.score import leaderboard as board
+
+    m = _metrics(build(spark, sf_dir)).withColumn("rel_rmse_naive", F.round("rel_rmse_naive", 6))
+    return board(m)
+
+
+@query
+def crps_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 scoring rule: mean closed-form Gaussian CRPS of the banded 4-quarter-mean forecast."""
+    from panelcast.operators.score import crps_table
+
+    b = build(spark, sf_dir)
+    f = _bench(b).filter((F.col("model") == "mean4") & (F.col("availability") == 1) & (F.col("features_type") == "d12"))
+    return crps_table(f, b.actuals(), ["target", "horizon"]).select("target", "horizon", r6("crps"), "n_obs")
+
+
+@query
+def forecast_date_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarter-end dated records moved to quarter start, kept on test dates only."""
+    from panelcast.operators.score import shift_forecast_dates
+
+    b = build(spark, sf_dir)
+    lo, hi = b.test_bounds()
+    test_dates = b.actuals().filter(F.col("date").between(F.lit(lo), F.lit(hi))).select("date").distinct()
+    s = shift_forecast_dates(_quarter_end_records(b)).join(test_dates, "date", "left_semi")
+    return s.select("entity", "target", "availability", "horizon", "date", r6("pred"))
+
+
+@query
+def top_h_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a longer forecast path per origin keep the first H steps (row number by date)."""
+    from pyspark.sql import Window
+
+    b = build(spark, sf_dir)
+    lo, hi = b.test_bounds()
+    h = b.params.horizon
+    o = b.actuals().filter(F.col("date").between(F.lit(lo), F.lit(hi)) & F.col("y").isNotNull())
+    path = o.select("entity", "target", F.col("date").alias("origin"), F.col("y").alias("pred"),
+                    F.explode(F.sequence(F.lit(1), F.lit(h + 3))).alias("k"))
+    path = path.withColumn("date", F.expr("add_months(origin, 3 * k)"))
+    w = Window.partitionBy("entity", "target", "origin").orderBy("date")
+    top = path.withColumn("horizon", F.row_number().over(w)).filter(F.col("horizon") <= h)
+    return top.select("entity", "target", "origin", "date", "horizon", r6("pred"))
+
+
+@query
+def unpivot_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide per-target table (explicit pivot values) back to (entity, date, target, y)."""
+    b = build(spark, sf_dir)
+    targets = [f"{t}_log_d4" for t in ("gmv", "net_sales", "qty")]
+    wide = b.actuals().groupBy("entity", "date").pivot("target", targets).agg(F.max("y"))
+    long = wide.unpivot(["entity", "date"], targets, "target", "y").filter(F.col("y").isNotNull())
+    return long.select("entity", "date", "target", r6("y"))
+
+
+@query
+def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared raw levels (monthly joined sources, quarterly targets) without transforms."""
+    from panelcast.operators.calendar import densify
+    from panelcast.operators.series import TARGET_KEYS
+
+    b = build(spark, sf_dir)
+    m = b.dense_m().select(F.lit("m").alias("freq"), "entity", F.col("indicator").alias("series"), "date", "value")
+    lo, hi = b.quarter_bounds
+    q = densify(b.panel_q(), TARGET_KEYS, ["level"], lo, hi, 3).select(
+        F.lit("q").alias("freq"), "entity", F.col("target").alias("series"), "date", F.col("level").alias("value"))
+    return m.unionByName(q).select("freq", "entity", "series", "date", r6("value"))

@@ -248,3 +248,126 @@ st AS (
 )
 SELECT d.entity, d.date, d."column", d.split, round((d.value - st.mu) / st.sigma, 6) AS z
 FROM d LEFT JOIN st USING ("column")"""
+
+Z68 = 0.994457883209753
+_W = "PARTITION BY entity, target ORDER BY date"
+_W4 = f"{_W} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW"
+_PF = "pfb AS (SELECT *, CASE WHEN count(y) OVER (" + _W4 + ") = 4 THEN avg(y) OVER (" + _W4 + """) END AS m4,
+    CASE WHEN count(y) OVER (""" + _W4 + ") = 4 THEN stddev_pop(y) OVER (" + _W4 + """) END AS s4 FROM act),
+pf0 AS (
+  """ + "\n  UNION ALL ".join(
+    f"SELECT 'naive' AS model, entity, target, date, {h} AS horizon, lag(y, {h}) OVER ({_W}) AS pred, "
+    f"CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi FROM pfb"
+    f"\n  UNION ALL SELECT 'snaive', entity, target, date, {h}, lag(y, {4 * ((h + 3) // 4)}) OVER ({_W}), NULL, NULL FROM pfb"
+    f"\n  UNION ALL SELECT 'mean4', entity, target, date, {h}, lag(m4, {h}) OVER ({_W}), "
+    f"lag(m4, {h}) OVER ({_W}) - {Z68} * lag(s4, {h}) OVER ({_W}), lag(m4, {h}) OVER ({_W}) + {Z68} * lag(s4, {h}) OVER ({_W}) FROM pfb"
+    for h in range(1, H + 1)) + """
+), pf AS (
+  SELECT pf0.*, g.availability, g.features_type FROM pf0, fb,
+    (VALUES (1, 'd12'), (1, 'rolling'), (2, 'd12'), (2, 'rolling'), (3, 'd12'), (3, 'rolling')) g(availability, features_type)
+  WHERE pf0.date BETWEEN fb.test_lo AND fb.anchor
+), nr AS (
+  SELECT target, horizon, sqrt(avg(power(y - pred, 2))) AS rmse_naive FROM (
+    """ + "\n    UNION ALL ".join(
+    f"SELECT entity, target, date, {h} AS horizon, y, lag(y, {h}) OVER ({_W}) AS pred FROM act" for h in range(1, H + 1)) + """
+  ) n, fb WHERE n.date BETWEEN fb.test_lo AND fb.anchor GROUP BY target, horizon
+), rm AS (
+  SELECT model, target, features_type, availability, horizon, sqrt(avg(power(pf.pred - act.y, 2))) AS rmse,
+         count(power(pf.pred - act.y, 2)) AS n_obs
+  FROM pf JOIN act USING (entity, target, date) GROUP BY 1, 2, 3, 4, 5
+), ml AS (
+  SELECT rm.horizon, rm.availability, rm.features_type, rm.rmse, rm.target, rm.model, nr.rmse_naive,
+         CASE WHEN nr.rmse_naive <> 0 THEN rm.rmse / nr.rmse_naive END AS rel_rmse_naive
+  FROM rm LEFT JOIN nr USING (target, horizon)
+), qe AS (
+  SELECT entity, CAST(date + INTERVAL 2 MONTH AS DATE) AS fcst_date, median, target AS variable, horizon, 3 AS p, a.availability
+  FROM (""" + "\n    UNION ALL ".join(
+    f"SELECT entity, target, date, {h} AS horizon, lag(m4, {h}) OVER ({_W}) AS median FROM pfb" for h in range(1, H + 2)) + """
+  ) r, fb, (VALUES (1), (2), (3)) a(availability)
+  WHERE r.date BETWEEN fb.test_lo AND fb.anchor AND r.median IS NOT NULL
+), sh AS (
+  SELECT CAST(fcst_date - INTERVAL 2 MONTH AS DATE) AS date, median AS pred, variable AS target, entity, horizon, availability
+  FROM qe WHERE CAST(fcst_date - INTERVAL 2 MONTH AS DATE) IN (SELECT date FROM act, fb WHERE date BETWEEN fb.test_lo AND fb.anchor)
+), vr AS (
+  SELECT sh.horizon, sh.availability, 'd12' AS features_type, sqrt(avg(power(sh.pred - act.y, 2))) AS rmse,
+         sh.target, 'mfvar' AS model
+  FROM sh JOIN act USING (entity, target, date) GROUP BY sh.horizon, sh.availability, sh.target
+), mt AS (
+  SELECT * FROM ml
+  UNION ALL
+  SELECT vr.horizon, vr.availability, vr.features_type, vr.rmse, vr.target, vr.model, nr.rmse_naive,
+         CASE WHEN nr.rmse_naive <> 0 THEN vr.rmse / nr.rmse_naive END
+  FROM vr JOIN nr USING (target, horizon)
+)"""
+
+
+def _score_sql(body: str) -> str:
+    return sql(", " + _PF + "\n" + body, "act", "fb")
+
+
+ORACLE["rmse_long"] = _score_sql("""
+SELECT model, target, features_type, availability, horizon, round(rmse, 6) AS rmse, n_obs FROM rm""")
+
+ORACLE["rel_rmse"] = _score_sql("""
+SELECT rm.model, rm.target, rm.features_type, rm.availability, rm.horizon, round(rm.rmse, 6) AS rmse,
+       round(nr.rmse_naive, 6) AS rmse_naive,
+       round(CASE WHEN nr.rmse_naive <> 0 THEN rm.rmse / nr.rmse_naive END, 6) AS rel_rmse_naive
+FROM rm LEFT JOIN nr USING (target, horizon)""")
+
+ORACLE["metrics_table"] = _score_sql("""
+SELECT horizon, availability, features_type, round(rmse, 6) AS rmse, target, model,
+       round(rmse_naive, 6) AS rmse_naive, round(rel_rmse_naive, 6) AS rel_rmse_naive FROM mt""")
+
+ORACLE["leaderboard"] = _score_sql("""
+, rk AS (
+  SELECT target, horizon, availability, round(rel_rmse_naive, 6) AS rel, model, features_type,
+         row_number() OVER (PARTITION BY target, horizon, availability
+                            ORDER BY round(rel_rmse_naive, 6), model, features_type) AS rn
+  FROM mt WHERE rel_rmse_naive IS NOT NULL AND NOT isnan(rel_rmse_naive)
+)
+SELECT target, horizon, availability, rel AS best_rel_rmse_naive, model AS best_model,
+       features_type AS best_features_type
+FROM rk WHERE rn = 1""")
+
+_CDF = """CASE WHEN z >= 0 THEN 1 - ({pdf_abs}) * ({poly}) ELSE ({pdf_abs}) * ({poly}) END"""
+
+
+def _crps_sql() -> str:
+    az = "abs(z)"
+    t = f"(1 / (1 + 0.2316419 * {az}))"
+    poly = (f"{t} * (0.31938153 + {t} * (-0.356563782 + {t} * (1.781477937 + {t} * "
+            f"(-1.821255978 + {t} * 1.330274429))))")
+    pdf = lambda x: f"(exp(-0.5 * {x} * {x}) / sqrt(2 * 3.141592653589793))"
+    cdf = _CDF.format(pdf_abs=pdf(az), poly=poly)
+    return _score_sql(f"""
+, cs AS (
+  SELECT pf.target, pf.horizon, act.y, pf.pred, (pf.hi - pf.lo) / (2 * {Z68}) AS sigma
+  FROM pf JOIN act USING (entity, target, date)
+  WHERE pf.model = 'mean4' AND pf.availability = 1 AND pf.features_type = 'd12'
+), cz AS (SELECT *, (y - pred) / sigma AS z FROM cs WHERE sigma > 0)
+SELECT target, horizon,
+  round(avg(sigma * (z * (2 * ({cdf}) - 1) + 2 * {pdf('z')} - 1 / sqrt(3.141592653589793))), 6) AS crps,
+  count(*) AS n_obs
+FROM cz GROUP BY target, horizon""")
+
+
+ORACLE["crps_gaussian"] = _crps_sql()
+
+ORACLE["forecast_date_shift"] = _score_sql("""
+SELECT entity, target, availability, horizon, date, round(pred, 6) AS pred FROM sh""")
+
+ORACLE["top_h_steps"] = sql(f"""
+, path AS (
+  SELECT entity, target, date AS origin, y AS pred, k, CAST(date + to_months(CAST(3 * k AS INTEGER)) AS DATE) AS date
+  FROM act, fb, (SELECT range AS k FROM range(1, {H + 4}))
+  WHERE act.date BETWEEN fb.test_lo AND fb.anchor AND y IS NOT NULL
+), r AS (SELECT *, row_number() OVER (PARTITION BY entity, target, origin ORDER BY date) AS horizon FROM path)
+SELECT entity, target, origin, date, horizon, round(pred, 6) AS pred FROM r WHERE horizon <= {H}""", "act", "fb")
+
+ORACLE["unpivot_targets"] = sql("""
+SELECT entity, date, target, round(y, 6) AS y FROM act WHERE y IS NOT NULL""", "act")
+
+ORACLE["raw_export"] = sql("""
+SELECT 'm' AS freq, entity, indicator AS series, date, round(value, 6) AS value FROM mj
+UNION ALL
+SELECT 'q', entity, target, date, round(level, 6) FROM qd""", "mj", "qd")
