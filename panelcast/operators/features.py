@@ -142,6 +142,20 @@ class PanelBuild:
     spark: SparkSession
     sf_dir: str
     params: Params
+    frozen: dict = dataclasses.field(default_factory=dict, repr=False)
+
+    def freeze(self) -> "PanelBuild":
+        """Materialise the feature table and the aligned targets once (reliable checkpoint).
+
+        A model grid reads them once per cell; without this every cell
+        would re-run the whole feature build from the source tables.
+        """
+        from panelcast.session import cut_lineage
+
+        if not self.frozen:
+            self.frozen["feat_q"] = cut_lineage(self.feat_q())
+            self.frozen["aligned_targets"] = cut_lineage(self.aligned_targets())
+        return self
 
     @cached_property
     def month_bounds(self) -> tuple[dt.date, dt.date]:
@@ -183,6 +197,8 @@ class PanelBuild:
         return monthly_features(self.dense_m(), self.profile(), self.params.windows)
 
     def feat_q(self) -> DataFrame:
+        if "feat_q" in self.frozen:
+            return self.frozen["feat_q"]
         return to_quarterly(self.monthly_features(), self.first_quarter).filter(
             F.col("date") <= to_date(self.anchor))
 
@@ -198,6 +214,8 @@ class PanelBuild:
 
     def aligned_targets(self) -> DataFrame:
         """Targets on the quarters that also have monthly features (lags are taken after this)."""
+        if "aligned_targets" in self.frozen:
+            return self.frozen["aligned_targets"]
         return self.targets().filter(F.col("date").between(to_date(self.first_quarter), to_date(self.anchor)))
 
     def actuals(self) -> DataFrame:

@@ -496,3 +496,47 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = densify(b.panel_q(), TARGET_KEYS, ["level"], lo, hi, 3).select(
         F.lit("q").alias("freq"), "entity", F.col("target").alias("series"), "date", F.col("level").alias("value"))
     return m.unionByName(q).select("freq", "entity", "series", "date", r6("value"))
+
+
+# Step 7: model jobs (rows-only checks: no SQL twin) ------------------------
+
+# Model grid run by the registered model queries: both feature types, the
+# last month of the quarter, every horizon, one target.  The library runs any
+# grid (``panelcast.models.runner.grid``); this one keeps a check to minutes.
+MODEL_TARGETS = ("gmv_log_d4",)
+MODEL_AVAILABILITIES = (3,)
+
+
+def _model_query(spark: SparkSession, sf_dir: str, fit, run_id: str) -> DataFrame:
+    from panelcast.models.runner import grid, run_grid
+    from panelcast.params import MODEL_TEST_PARAMS
+
+    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
+    cells = grid(FEATURE_TYPES, MODEL_AVAILABILITIES, MODEL_TARGETS, range(1, b.params.horizon + 1))
+    f = run_grid(b, cells, fit, run_id)
+    return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
+                    r6("pred"), r6("lo"), r6("hi"))
+
+
+@query
+def forecast_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M7, M8: pooled gradient-boosted trees per cell, patience early stopping, refit on train+valid."""
+    from panelcast.models.boosted import fit_boosted
+
+    return _model_query(spark, sf_dir, fit_boosted, "boosted")
+
+
+@query
+def forecast_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: Gaussian two-stage boosting (mean + log-variance), sigma scale chosen by CRPS on valid."""
+    from panelcast.models.gaussian import fit_gaussian
+
+    return _model_query(spark, sf_dir, fit_gaussian, "gaussian")
+
+
+@query
+def forecast_sparse_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elastic net on null-free standardised columns, penalty chosen on valid."""
+    from panelcast.models.sparse_linear import fit_sparse_linear
+
+    return _model_query(spark, sf_dir, fit_sparse_linear, "sparse_linear")
