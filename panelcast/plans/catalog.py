@@ -540,3 +540,21 @@ def forecast_sparse_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.models.sparse_linear import fit_sparse_linear
 
     return _model_query(spark, sf_dir, fit_sparse_linear, "sparse_linear")
+
+
+FACTOR_STRATEGIES = ("avail_only", "all")
+
+
+@query
+def forecast_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PCA factors per rolling origin, direct regressions of every target on factors + own lag."""
+    from functools import reduce
+
+    from panelcast.models.factor import fit_factor
+    from panelcast.params import MODEL_TEST_PARAMS
+
+    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
+    parts = [fit_factor(b, "d12", a, s, "factor") for s in FACTOR_STRATEGIES for a in MODEL_AVAILABILITIES]
+    f = reduce(DataFrame.unionByName, parts)
+    return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
+                    r6("pred"), r6("lo"), r6("hi"))
