@@ -558,3 +558,19 @@ def forecast_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = reduce(DataFrame.unionByName, parts)
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
                     r6("pred"), r6("lo"), r6("hi"))
+
+
+@query
+def forecast_mfvar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stacked mixed-frequency Minnesota VAR per rolling origin, ragged-edge nowcast, 68% band."""
+    from panelcast.models.mfvar import fit_mfvar
+    from panelcast.params import MODEL_TEST_PARAMS
+    from panelcast.sources.adapters import QUARTERLY_TARGETS
+
+    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
+    targets = [f"{t}_log_d4" for t in QUARTERLY_TARGETS]
+    from functools import reduce
+
+    f = reduce(DataFrame.unionByName, [fit_mfvar(b, a, targets, "mfvar") for a in AVAILABILITIES])
+    return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
+                    r6("pred"), r6("lo"), r6("hi"), "status")
