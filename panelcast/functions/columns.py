@@ -68,15 +68,33 @@ def nan_to_null(x: str | Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+EXACT_SUM_TYPE = "decimal(38,12)"
+
+
+def round_fixed(x: str | Column, digits: int = 6) -> Column:
+    """Round half away from zero through ``DECIMAL(38,12)``, then back to double.
+
+    Rounding a double directly breaks ties differently from one engine to
+    the next (and a sum can land one ulp either side of ``...5``); going
+    through a 12-digit decimal first makes the tie exact, so every engine
+    rounds it the same way.
+    """
+    return F.round(col(x).try_cast(EXACT_SUM_TYPE), digits).cast("double")
+
+
 def full_frame_mean(x: str | Column, w: WindowSpec, width: int) -> Column:
     """Trailing mean over ``width`` rows, NULL unless all ``width`` values exist.
 
     Plain ``avg`` over a ROWS frame emits means of partial frames at the start
     of a series and across gaps; the count guard keeps only full frames.
+    The sum runs over ``DECIMAL(38,12)``, so it is exact and independent of
+    the order in which a window implementation adds the rows; only the final
+    division is floating point.
     """
     x = col(x)
     frame = w.rowsBetween(-(width - 1), Window.currentRow)
-    return F.when(F.count(x).over(frame) == width, F.avg(x).over(frame))
+    exact = F.sum(x.cast(EXACT_SUM_TYPE)).over(frame).cast("double")
+    return F.when(F.count(x).over(frame) == width, exact / width)
 
 
 def running_chain(x: str | Column, w: WindowSpec) -> Column:

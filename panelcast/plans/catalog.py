@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions.columns import round_fixed
 from panelcast.operators.features import PanelBuild
 from panelcast.operators.score import naive_rmse
 from panelcast.params import TEST_PARAMS, Params
@@ -27,7 +28,7 @@ def query(fn: QueryFn) -> QueryFn:
 
 
 def r6(c: str, name: str | None = None):
-    return F.round(F.col(c), 6).alias(name or c)
+    return round_fixed(c, 6).alias(name or c)
 
 
 def build(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> PanelBuild:
@@ -78,7 +79,7 @@ def chain_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.sources.adapters import index_m
 
     c = chain(index_m(build(spark, sf_dir).spine_m()))
-    return c.select("entity", "indicator", "date", r6("value"), F.round("level", 4).alias("level"))
+    return c.select("entity", "indicator", "date", r6("value"), round_fixed("level", 4).alias("level"))
 
 
 def _d12(spark: SparkSession, sf_dir: str, transform: str) -> DataFrame:
@@ -431,7 +432,7 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best model and feature type per (target, horizon, availability); NULL never wins."""
     from panelcast.operators.score import leaderboard as board
 
-    m = _metrics(build(spark, sf_dir)).withColumn("rel_rmse_naive", F.round("rel_rmse_naive", 6))
+    m = _metrics(build(spark, sf_dir)).withColumn("rel_rmse_naive", round_fixed("rel_rmse_naive", 6))
     return board(m)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from panelcast.params import TEST_PARAMS
-from panelcast.plans.sqlparts import sql
+from panelcast.plans.sqlparts import fixed_rounds, sql
 
 P = TEST_PARAMS
 H = P.horizon
@@ -252,7 +252,7 @@ FROM d LEFT JOIN st USING ("column")"""
 Z68 = 0.994457883209753
 _W = "PARTITION BY entity, target ORDER BY date"
 _W4 = f"{_W} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW"
-_PF = "pfb AS (SELECT *, CASE WHEN count(y) OVER (" + _W4 + ") = 4 THEN avg(y) OVER (" + _W4 + """) END AS m4,
+_PF = "pfb AS (SELECT *, CASE WHEN count(y) OVER (" + _W4 + ") = 4 THEN CAST(sum(CAST(y AS DECIMAL(38,12))) OVER (" + _W4 + """) AS DOUBLE) / 4 END AS m4,
     CASE WHEN count(y) OVER (""" + _W4 + ") = 4 THEN stddev_pop(y) OVER (" + _W4 + """) END AS s4 FROM act),
 pf0 AS (
   """ + "\n  UNION ALL ".join(
@@ -371,3 +371,6 @@ ORACLE["raw_export"] = sql("""
 SELECT 'm' AS freq, entity, indicator AS series, date, round(value, 6) AS value FROM mj
 UNION ALL
 SELECT 'q', entity, target, date, round(level, 6) FROM qd""", "mj", "qd")
+
+# Same tie-exact rounding as the Spark plans (``round_fixed``).
+ORACLE = {k: fixed_rounds(v) for k, v in ORACLE.items()}

@@ -21,7 +21,7 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
     win = p.windows
     roll_cols = ",\n  ".join(
         f"CASE WHEN count(d12) OVER (PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) = {k} "
-        f"THEN avg(d12) OVER (PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END AS roll_{k}"
+        f"THEN CAST(sum(CAST(d12 AS DECIMAL(38,12))) OVER (PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS DOUBLE) / {k} END AS roll_{k}"
         for k in win)
     roll_union = "\n  UNION ALL ".join(
         f"SELECT entity, indicator, feature || '_roll_mean_{k}' AS feature, 'rolling' AS features_type, {k} AS width, date, roll_{k} AS value FROM ys"
@@ -118,6 +118,39 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
     return c
 
 
+_FIXED = "CAST(round(TRY_CAST({e} AS DECIMAL(38,12)), {d}) AS DOUBLE)"
+
+
+def fixed_rounds(text: str) -> str:
+    """Every ``round(<expr>, d)`` of a twin -> the tie-exact rounding of ``round_fixed``."""
+    out, i = [], 0
+    while True:
+        j = text.find("round(", i)
+        if j < 0 or (j > 0 and (text[j - 1].isalnum() or text[j - 1] == "_")):
+            if j < 0:
+                out.append(text[i:])
+                return "".join(out)
+            out.append(text[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = text[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        if comma < 0:  # round(x): to an integer, no tie question for the cent amounts it is used on
+            out.append(text[i:j] + "round(" + fixed_rounds(text[j + 6:k - 1]) + ")")
+        else:
+            inner, digits = text[j + 6:comma], text[comma + 1:k - 1].strip()
+            out.append(text[i:j] + _FIXED.format(e=fixed_rounds(inner), d=digits))
+        i = k
+
+
 def sql(body: str, *names: str, p: Params = TEST_PARAMS) -> str:
     defs = ctes(p)
     order: list[str] = []

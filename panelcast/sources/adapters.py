@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.columns import before_day_after, cents, from_cents, month_start, quarter_start
+from panelcast.functions.columns import before_day_after, cents, from_cents, month_start, quarter_start, round_fixed
 from panelcast.params import Params
 from panelcast.sources.tables import read_table
 
@@ -70,7 +70,7 @@ def panel_m(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
         "entity", "date",
         from_cents("rev_c").alias("revenue"),
         F.col("n_orders").cast("double").alias("orders"),
-        F.round(from_cents("rev_c") / F.col("n_orders"), 6).alias("avg_ticket"),
+        round_fixed(from_cents("rev_c") / F.col("n_orders"), 6).alias("avg_ticket"),
         from_cents("flow_c").alias("net_flow"),
     )
     return w.unpivot(["entity", "date"], list(ORDER_INDICATORS), "indicator", "value").select(
@@ -99,7 +99,7 @@ def market_m(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
     w = _lines_by_order(spark, sf_dir, params, month_start).select(
         "entity", "date",
         F.col("qty").cast("double").alias("shipped_qty"),
-        F.round(F.col("ret_qty").cast("double") / F.col("qty"), 6).alias("return_share"),
+        round_fixed(F.col("ret_qty").cast("double") / F.col("qty"), 6).alias("return_share"),
     )
     return w.unpivot(["entity", "date"], list(MARKET_INDICATORS), "indicator", "value").select(
         "entity", "indicator", "date", "value")
@@ -123,7 +123,7 @@ def index_m(spine_m: DataFrame) -> DataFrame:
     w = Window.partitionBy("entity", "indicator").orderBy("date")
     return rev.select(
         "entity", F.lit("revenue_idx").alias("indicator"), "date",
-        F.round(100 * F.col("value") / F.lag("value", 1).over(w), 6).alias("value"),
+        round_fixed(100 * F.col("value") / F.lag("value", 1).over(w), 6).alias("value"),
     )
 
 
