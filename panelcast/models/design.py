@@ -13,6 +13,7 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,15 @@ def cell_frame(build, cell: Cell, checkpoint: bool = True) -> tuple[DataFrame, l
 
 def impute_and_assemble(train: DataFrame, frames: dict[str, DataFrame], feats: list[str],
                         flags: bool = True) -> dict[str, DataFrame]:
-    """Mean imputation fitted on ``train`` only (+ missing flags); MLlib trees reject NaN/NULL."""
+    """Mean imputation fitted on ``train`` only (+ missing flags); MLlib trees reject NaN/NULL.
+
+    Columns never observed in ``train`` carry nothing to learn from and have
+    no mean; they are left out (one aggregate row decides, bounded by width).
+    """
+    seen = train.agg(*(F.count(F.col(c)).alias(c) for c in feats)).first()
+    feats = [c for c in feats if seen[c] > 0]
+    if not feats:
+        return {k: v.withColumn("features", array_to_vector(F.array(F.lit(0.0)))) for k, v in frames.items()}
     flag_cols = [f"{c}__na" for c in feats] if flags else []
 
     def add_flags(df: DataFrame) -> DataFrame:

@@ -109,6 +109,9 @@ def forecast_rows(now: DataFrame, coefs: dict, cols: list[str], observed: list[i
                 o = rd["origin"]
                 key = o.isoformat() if hasattr(o, "isoformat") else str(o)
                 if key not in coefs:
+                    for h in range(1, horizon + 1):
+                        for t in target_idx:
+                            out.append((o, rd["entity"], cols[t], h, None, None, "no_fit"))
                     continue
                 c, A, S = coefs[key]
                 z = np.array([rd[c_] for c_ in lag_cols], dtype=float)
@@ -141,11 +144,25 @@ def forecast_rows(now: DataFrame, coefs: dict, cols: list[str], observed: list[i
     return now.select("origin", "entity", *cols, *lag_cols).mapInPandas(per_task, OUT_SCHEMA)
 
 
+def keep_components(wide: DataFrame, cols: list[str], always: set[str], max_nulls: int) -> list[str]:
+    """A stacked component stays if it has at most ``max_nulls`` NULL quarters per entity on average.
+
+    One aggregate row (bounded by the number of components) decides; the
+    targets always stay.
+    """
+    r = wide.agg(F.countDistinct("entity").alias("_e"),
+                 *(F.count_if(F.col(c).isNull()).alias(c) for c in cols)).first()
+    n_ent = max(r["_e"], 1)
+    return [c for c in cols if c in always or r[c] / n_ent <= max_nulls]
+
+
 def fit_mfvar(build, availability: int, target_names: list[str], run_id: str) -> DataFrame:
     p = build.freeze().params
     H = p.horizon
     origins = origin_dates(build.anchor, p.test_len, H)
     wide, cols = stacked_panel(build, target_names)
+    cols = keep_components(wide.filter(F.col("date") >= to_date(p.start_date)), cols,
+                           {safe_name(t) for t in target_names}, p.max_nulls_q)
     K = len(cols)
     w = Window.partitionBy("entity").orderBy("date")
     lagged = wide.select("entity", "date", *cols, *(F.lag(c, 1).over(w).alias(f"lag_{c}") for c in cols))

@@ -56,11 +56,15 @@ def standardiser(train: DataFrame, cols: list[str]):
 def fit_sparse_linear(build, cell: Cell, run_id: str) -> DataFrame:
     p = build.params
     wide, feats = cell_frame(build, cell)
-    fr = split_frames(after_warmup(wide, feats))
-    cols = null_free_columns(fr["train_valid"], feats)
-    if not cols:
-        return forecast_record(fr["test"].withColumn("prediction", F.lit(None).cast("double")), "sparse_linear",
-                               cell, run_id)
+    fit_rows = split_frames(wide)["train_valid"]
+    seen = fit_rows.agg(*(F.count(F.col(c)).alias(c) for c in feats)).first()
+    observed = [c for c in feats if seen[c] > 0]
+    fr = split_frames(after_warmup(wide, observed))
+    cols = null_free_columns(fr["train_valid"], observed)
+    if not cols:  # nothing usable: intercept only (the training mean)
+        const = "_const"
+        fr = {k: v.withColumn(const, F.lit(0.0)) for k, v in fr.items()}
+        cols = [const]
     asm = VectorAssembler(inputCols=cols, outputCol="features")
     z1 = standardiser(fr["train"], cols)
     train, valid = asm.transform(z1(fr["train"])), asm.transform(z1(fr["valid"]))
