@@ -157,13 +157,32 @@ class PanelBuild:
             self.frozen["aligned_targets"] = cut_lineage(self.aligned_targets())
         return self
 
+    @cached_property
+    def order_months(self) -> DataFrame:
+        """Orders aggregated to (entity, month), computed once per build (reliable checkpoint).
+
+        Every panel, spine and bound below reads this small aggregate, so the
+        fact table is scanned and shuffled once, not once per use in a plan.
+        """
+        from panelcast.session import cut_lineage
+
+        return cut_lineage(adapters.order_months(self.spark, self.sf_dir, self.params))
+
+    @cached_property
+    def line_months(self) -> DataFrame:
+        """Line items aggregated to (entity, month), computed once per build; quarters roll up from it."""
+        from panelcast.session import cut_lineage
+
+        return cut_lineage(adapters.line_months(self.spark, self.sf_dir, self.params))
+
     @cached_property
     def month_bounds(self) -> tuple[dt.date, dt.date]:
-        return adapters.month_bounds(self.spark, self.sf_dir, self.params)
+        return adapters.bounds_of(self.order_months)
 
     @cached_property
     def quarter_bounds(self) -> tuple[dt.date, dt.date]:
-        return adapters.quarter_bounds(self.spark, self.sf_dir, self.params)
+        lo, hi = adapters.bounds_of(self.line_months)
+        return quarter_of(lo), quarter_of(hi)
 
     @property
     def first_quarter(self) -> dt.date:
@@ -175,10 +194,10 @@ class PanelBuild:
         return min(quarter_of(self.month_bounds[1]), self.quarter_bounds[1])
 
     def panel_m(self) -> DataFrame:
-        return adapters.panel_m(self.spark, self.sf_dir, self.params)
+        return adapters.panel_m(self.spark, self.sf_dir, self.params, self.order_months)
 
     def market_m(self) -> DataFrame:
-        return adapters.market_m(self.spark, self.sf_dir, self.params)
+        return adapters.market_m(self.spark, self.sf_dir, self.params, self.line_months)
 
     def spine_m(self) -> DataFrame:
         """The order panel on its dense monthly spine."""
@@ -203,7 +222,7 @@ class PanelBuild:
             F.col("date") <= to_date(self.anchor))
 
     def panel_q(self) -> DataFrame:
-        return adapters.panel_q(self.spark, self.sf_dir, self.params)
+        return adapters.panel_q(self.spark, self.sf_dir, self.params, self.line_months)
 
     def targets(self) -> DataFrame:
         """(entity, target, date, level, y) with y = 4-quarter log difference, dense."""

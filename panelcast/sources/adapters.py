@@ -64,9 +64,10 @@ def order_months(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
         F.sum("rev_c").alias("rev_c"), F.sum("n_orders").alias("n_orders"), F.sum("flow_c").alias("flow_c"))
 
 
-def panel_m(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+def panel_m(spark: SparkSession, sf_dir: str, params: Params, om: DataFrame | None = None) -> DataFrame:
     """Long monthly panel (entity, indicator, date, value) from orders."""
-    w = order_months(spark, sf_dir, params).select(
+    om = om if om is not None else order_months(spark, sf_dir, params)
+    w = om.select(
         "entity", "date",
         from_cents("rev_c").alias("revenue"),
         F.col("n_orders").cast("double").alias("orders"),
@@ -94,9 +95,27 @@ def _lines_by_order(spark: SparkSession, sf_dir: str, params: Params, bucket) ->
         *(F.sum(x).alias(x) for x in ("gmv_c", "net_c", "qty", "ret_qty")))
 
 
-def market_m(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+LINE_MEASURES = ("gmv_c", "net_c", "qty", "ret_qty")
+
+
+def line_months(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+    """Wide monthly line measures per entity: (entity, date, gmv_c, net_c, qty, ret_qty).
+
+    Every measure is an exact integer sum, so quarters roll up from months.
+    """
+    return _lines_by_order(spark, sf_dir, params, month_start)
+
+
+def line_quarters(lm: DataFrame) -> DataFrame:
+    """Monthly line measures rolled up to calendar quarters (exact sums)."""
+    return lm.groupBy("entity", quarter_start("date").alias("date")).agg(
+        *(F.sum(x).alias(x) for x in LINE_MEASURES))
+
+
+def market_m(spark: SparkSession, sf_dir: str, params: Params, lm: DataFrame | None = None) -> DataFrame:
     """Second monthly source (entity, indicator, date, value) from shipped lines."""
-    w = _lines_by_order(spark, sf_dir, params, month_start).select(
+    lm = lm if lm is not None else line_months(spark, sf_dir, params)
+    w = lm.select(
         "entity", "date",
         F.col("qty").cast("double").alias("shipped_qty"),
         round_fixed(F.col("ret_qty").cast("double") / F.col("qty"), 6).alias("return_share"),
@@ -105,9 +124,10 @@ def market_m(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
         "entity", "indicator", "date", "value")
 
 
-def panel_q(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+def panel_q(spark: SparkSession, sf_dir: str, params: Params, lm: DataFrame | None = None) -> DataFrame:
     """Long quarterly levels (entity, target, date, level) from lineitem."""
-    w = _lines_by_order(spark, sf_dir, params, quarter_start).select(
+    lq = line_quarters(lm) if lm is not None else _lines_by_order(spark, sf_dir, params, quarter_start)
+    w = lq.select(
         "entity", "date",
         from_cents("gmv_c").alias("gmv"),
         from_cents("net_c").alias("net_sales"),
@@ -139,3 +159,9 @@ def quarter_bounds(spark: SparkSession, sf_dir: str, params: Params) -> tuple[dt
     li = _lineitem(spark, sf_dir, params)
     r = li.agg(F.min(quarter_start("l_shipdate")).alias("lo"), F.max(quarter_start("l_shipdate")).alias("hi")).first()
     return r["lo"], r["hi"]
+
+
+def bounds_of(monthly: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last month of an (entity, date, ...) aggregate: two scalars back."""
+    r = monthly.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    return r["lo"], r["hi"]
