@@ -61,4 +61,5 @@ TEST_PARAMS = Params(horizon=3, valid_len=4, test_len=4, start_year=1995, cut="2
 # runs one job per tree level, so the boosting budgets are scaled down with
 # the data (the library defaults above stay the reference's).
 MODEL_TEST_PARAMS = TEST_PARAMS.replace(boost_iterations=30, boost_patience=8, boost_depth=4,
-                                        gauss_iterations=30, gauss_learning_rate=0.1, gauss_patience=8)
+                                        gauss_iterations=30, gauss_learning_rate=0.1, gauss_patience=8,
+                                        cell_parallelism=6)
