@@ -177,12 +177,12 @@ class PanelBuild:
 
     @cached_property
     def month_bounds(self) -> tuple[dt.date, dt.date]:
-        return adapters.bounds_of(self.order_months)
+        """One-column min/max scan: plans that only need targets never build the order aggregate."""
+        return adapters.month_bounds(self.spark, self.sf_dir, self.params)
 
     @cached_property
     def quarter_bounds(self) -> tuple[dt.date, dt.date]:
-        lo, hi = adapters.bounds_of(self.line_months)
-        return quarter_of(lo), quarter_of(hi)
+        return adapters.quarter_bounds(self.spark, self.sf_dir, self.params)
 
     @property
     def first_quarter(self) -> dt.date:

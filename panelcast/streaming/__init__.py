@@ -1,0 +1,7 @@
+"""Streaming surface: intentionally empty.
+
+The reference has no stream, incremental read, watermark or stateful
+operator; its only notion of time-of-arrival is data availability by month,
+which is batch masking here (``operators.split.ragged_edge``, availability
+filters in ``operators.features``).
+"""
