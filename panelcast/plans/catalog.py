@@ -575,3 +575,28 @@ def forecast_mfvar(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = reduce(DataFrame.unionByName, [fit_mfvar(b, a, targets, "mfvar") for a in AVAILABILITIES])
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
                     r6("pred"), r6("lo"), r6("hi"), "status")
+
+
+@query
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three model families fitted, stored by (model, target), read back, scored in one pass."""
+    from panelcast.models.backtest import backtest
+    from panelcast.models.factor import fit_factor
+    from panelcast.models.mfvar import fit_mfvar
+    from panelcast.models.runner import grid, run_grid
+    from panelcast.models.sparse_linear import fit_sparse_linear
+    from panelcast.params import MODEL_TEST_PARAMS
+    from panelcast.sources.adapters import QUARTERLY_TARGETS
+
+    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
+    h = range(1, b.params.horizon + 1)
+    targets = [f"{t}_log_d4" for t in QUARTERLY_TARGETS]
+    fams = {
+        "sparse_linear": lambda: run_grid(b, grid(FEATURE_TYPES, MODEL_AVAILABILITIES, MODEL_TARGETS, h),
+                                          fit_sparse_linear, "scores"),
+        "factor": lambda: fit_factor(b, "d12", MODEL_AVAILABILITIES[-1], "avail_only", "scores"),
+        "mfvar": lambda: fit_mfvar(b, MODEL_AVAILABILITIES[-1], targets, "scores"),
+    }
+    m = backtest(b, fams)
+    return m.select("horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),
+                    r6("rel_rmse_naive"))

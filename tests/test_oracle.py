@@ -41,4 +41,4 @@ def test_every_plan_is_registered_with_the_driver():
     q = e.queries()
     assert set(ORACLE) <= set(q)
     assert {"forecast_boosted", "forecast_gaussian", "forecast_sparse_linear", "forecast_factor",
-            "forecast_mfvar"} <= set(q) - set(ORACLE)
+            "forecast_mfvar", "model_scores"} <= set(q) - set(ORACLE)
