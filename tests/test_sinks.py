@@ -28,3 +28,18 @@ def test_forecasts_round_trip_and_prune(spark, tmp_path):
     assert got.columns == list(METRICS_COLUMNS)
     rel = [r["rel_rmse_naive"] for r in got.collect() if r["rel_rmse_naive"] is not None]
     assert rel and all(abs(x - 1.0) < 1e-9 for x in rel)
+
+
+def test_public_api_end_to_end(spark):
+    from panelcast import api
+    from panelcast.params import MODEL_TEST_PARAMS
+
+    b = api.build_features(spark, SMOKE, MODEL_TEST_PARAMS)
+    lags = api.add_lags(b, [0, 1])
+    assert set(r["lag"] for r in lags.select("lag").distinct().collect()) == {0, 1}
+    split = api.chrono_split(b, b.actuals())
+    assert {r["split"] for r in split.select("split").distinct().collect()} == {"train", "valid", "test"}
+    f = api.fit_cell("sparse_linear", b, api.Cell("d12", 3, "gmv_log_d4", 1))
+    board = api.leaderboard(api.score(b, f))
+    rows = board.collect()
+    assert rows and all(r["best_model"] == "sparse_linear" for r in rows)
