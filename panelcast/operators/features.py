@@ -8,6 +8,7 @@ model cell pivots only its own <= a few hundred columns with explicit values.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import datetime as dt
 from collections.abc import Sequence
 from functools import cached_property
@@ -25,6 +26,27 @@ from panelcast.sources import adapters
 FEATURE_KEYS = ("entity", "feature")
 
 
+def _memo(fn):
+    """Build a piece once per PanelBuild and hand out the same DataFrame afterwards.
+
+    Re-deriving a plan costs analysis time on the driver, and handing out
+    one object lets Spark reuse identical exchanges.  Materialised pieces
+    (``freeze``) take precedence.
+    """
+    name = fn.__name__
+
+    @functools.wraps(fn)
+    def wrapper(self):
+        if name in self.frozen:
+            return self.frozen[name]
+        cache = self.__dict__.setdefault("_memo", {})
+        if name not in cache:
+            cache[name] = fn(self)
+        return cache[name]
+
+    return wrapper
+
+
 def quarter_of(d: dt.date) -> dt.date:
     return dt.date(d.year, 3 * ((d.month - 1) // 3) + 1, 1)
 
@@ -193,37 +215,44 @@ class PanelBuild:
         """Last quarter present in both the monthly features and the targets."""
         return min(quarter_of(self.month_bounds[1]), self.quarter_bounds[1])
 
+    @_memo
     def panel_m(self) -> DataFrame:
         return adapters.panel_m(self.spark, self.sf_dir, self.params, self.order_months)
 
+    @_memo
     def market_m(self) -> DataFrame:
         return adapters.market_m(self.spark, self.sf_dir, self.params, self.line_months)
 
+    @_memo
     def spine_m(self) -> DataFrame:
         """The order panel on its dense monthly spine."""
         lo, hi = self.month_bounds
         return densify(self.panel_m(), SERIES_KEYS, ["value"], lo, hi, 1)
 
+    @_memo
     def dense_m(self) -> DataFrame:
         """Both monthly sources on the order spine (dates outside it are dropped)."""
         lo, hi = self.month_bounds
         return densify(self.panel_m().unionByName(self.market_m()), SERIES_KEYS, ["value"], lo, hi, 1)
 
+    @_memo
     def profile(self) -> DataFrame:
         return positivity_profile(self.dense_m())
 
+    @_memo
     def monthly_features(self) -> DataFrame:
         return monthly_features(self.dense_m(), self.profile(), self.params.windows)
 
+    @_memo
     def feat_q(self) -> DataFrame:
-        if "feat_q" in self.frozen:
-            return self.frozen["feat_q"]
         return to_quarterly(self.monthly_features(), self.first_quarter).filter(
             F.col("date") <= to_date(self.anchor))
 
+    @_memo
     def panel_q(self) -> DataFrame:
         return adapters.panel_q(self.spark, self.sf_dir, self.params, self.line_months)
 
+    @_memo
     def targets(self) -> DataFrame:
         """(entity, target, date, level, y) with y = 4-quarter log difference, dense."""
         lo, hi = self.quarter_bounds
@@ -231,12 +260,12 @@ class PanelBuild:
         return log_diff(dense, "level", 4).select(
             "entity", F.concat(F.col("target"), F.lit("_log_d4")).alias("target"), "date", "level", "y")
 
+    @_memo
     def aligned_targets(self) -> DataFrame:
         """Targets on the quarters that also have monthly features (lags are taken after this)."""
-        if "aligned_targets" in self.frozen:
-            return self.frozen["aligned_targets"]
         return self.targets().filter(F.col("date").between(to_date(self.first_quarter), to_date(self.anchor)))
 
+    @_memo
     def actuals(self) -> DataFrame:
         """Aligned targets from the start year on (the rows a back-test scores)."""
         return self.aligned_targets().filter(F.col("date") >= to_date(self.params.start_date))
