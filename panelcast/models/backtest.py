@@ -16,14 +16,19 @@ from pyspark.sql import DataFrame
 
 from panelcast.operators.score import metrics_table
 from panelcast.session import scratch_path
-from panelcast.sources.sinks import FORECAST_COLUMNS, read_forecasts, write_forecasts
+from panelcast.sources.sinks import FORECAST_COLUMNS, read_forecasts, read_metrics, write_forecasts, write_metrics
 
 
 def backtest(build, families: dict[str, Callable[[], DataFrame]], path: str | None = None) -> DataFrame:
-    """Run each family (a thunk returning uniform forecast records), store, score against the naive walk."""
+    """Run each family (a thunk returning uniform forecast records), store, score against the naive walk.
+
+    ``path`` is the run folder (S13): forecasts go to ``path``, metrics to ``path-metrics``.
+    """
     parts = [fn().select(*FORECAST_COLUMNS) for fn in families.values()]
     path = path or scratch_path(build.spark, f"forecasts-{uuid.uuid4().hex}")
     write_forecasts(reduce(DataFrame.unionByName, parts), path)
     stored = read_forecasts(build.spark, path)
     lo, hi = build.test_bounds()
-    return metrics_table(stored, build.actuals(), range(1, build.params.horizon + 1), lo, hi)
+    metrics = metrics_table(stored, build.actuals(), range(1, build.params.horizon + 1), lo, hi)
+    write_metrics(metrics, path + "-metrics")
+    return read_metrics(build.spark, path + "-metrics")

@@ -39,7 +39,7 @@ def build(spark: SparkSession, sf_dir: str, params: Params = TEST_PARAMS) -> Pan
 
 @query
 def naive_rmse_by_target_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random-walk back-test RMSE per target and horizon."""
+    """Random-walk back-test RMSE per target and horizon."""
     b = build(spark, sf_dir)
     lo, hi = b.test_bounds()
     nr = naive_rmse(b.actuals(), range(1, b.params.horizon + 1), lo, hi)
@@ -50,7 +50,7 @@ def naive_rmse_by_target_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order indicators as a long monthly panel (entity, indicator, date, value)."""
+    """Order indicators as a long monthly panel (entity, indicator, date, value)."""
     return build(spark, sf_dir).panel_m().select("entity", "indicator", "date", r6("value"))
 
 
@@ -74,7 +74,7 @@ def positivity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chain_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month-on-month revenue index rebuilt into a level by chaining."""
+    """Month-on-month revenue index rebuilt into a level by chaining."""
     from panelcast.operators.series import chain_index as chain
     from panelcast.sources.adapters import index_m
 
@@ -161,7 +161,7 @@ CELL = dict(features_type="d12", availability=2, target="gmv_log_d4", horizon=2)
 
 @query
 def cell_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1, B2: design rows of one cell (month-2 d12 features lagged h-1, target lag h, label)."""
+    """Design rows of one cell (month-2 d12 features lagged h-1, target lag h, label)."""
     d = build(spark, sf_dir).cell(**CELL)
     return d.select("entity", "date", "column", r6("value"))
 
@@ -263,7 +263,7 @@ def _monthly_for_var(b) -> DataFrame:
 
 @query
 def vintage_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per vintage, the data still visible (targets drop tp+1 quarters, indicators 3*tp months)."""
+    """Per vintage, the data still visible (targets drop tp+1 quarters, indicators 3*tp months)."""
     from panelcast.operators.features import add_months
     from panelcast.operators.split import vintages
 
@@ -399,7 +399,7 @@ def _metrics(b) -> DataFrame:
 
 @query
 def rmse_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RMSE of every benchmark model and cell in one join and one aggregate."""
+    """RMSE of every benchmark model and cell in one join and one aggregate."""
     from panelcast.operators.score import join_actuals, rmse
 
     b = build(spark, sf_dir)
@@ -438,7 +438,7 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def crps_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 scoring rule: mean closed-form Gaussian CRPS of the banded 4-quarter-mean forecast."""
+    """Scoring rule: mean closed-form Gaussian CRPS of the banded 4-quarter-mean forecast."""
     from panelcast.operators.score import crps_table
 
     b = build(spark, sf_dir)
@@ -521,7 +521,7 @@ def _model_query(spark: SparkSession, sf_dir: str, fit, run_id: str) -> DataFram
 
 @query
 def forecast_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1, M7, M8: pooled gradient-boosted trees per cell, patience early stopping, refit on train+valid."""
+    """Pooled gradient-boosted trees per cell, patience early stopping, refit on train+valid."""
     from panelcast.models.boosted import fit_boosted
 
     return _model_query(spark, sf_dir, fit_boosted, "boosted")
@@ -579,7 +579,7 @@ def forecast_mfvar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three model families fitted, stored by (model, target), read back, scored in one pass."""
+    """Three model families stored, read back, scored in one pass."""
     from panelcast.models.backtest import backtest
     from panelcast.models.factor import fit_factor
     from panelcast.models.mfvar import fit_mfvar
