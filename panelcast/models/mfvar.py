@@ -73,7 +73,7 @@ def partial_gram(rows: DataFrame, vec: list[str]) -> DataFrame:
         F.sum("v").alias("v"))
 
 
-def minnesota(G: np.ndarray, K: int, p, ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def minnesota(G: np.ndarray, K: int, p) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior mean (c, A) and residual covariance from the Gram of [1, x(K lagged), y(K)]."""
     N = G[0, 0]
     X_X, X_Y, Y_Y = G[: K + 1, : K + 1], G[: K + 1, K + 1:], G[K + 1:, K + 1:]
