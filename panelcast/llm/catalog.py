@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from panelcast.llm import quality
+from panelcast.llm import bpe, decontaminate, line_dedup, near_dup, quality
 
-REGISTRY = {"op10_quality_rules": quality.op10_quality_rules}
+REGISTRY = {
+    "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op6_minhash_near_dedup": near_dup.op6_minhash_near_dedup,
+    "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "op10_quality_rules": quality.op10_quality_rules,
+}
 
-ORACLE = {"op10_quality_rules": quality.OP10_SQL}
+ORACLE = {
+    "op2_line_dedup": line_dedup.OP2_SQL,
+    "op6_minhash_near_dedup": near_dup.OP6_SQL,
+    "op9_benchmark_decontamination": decontaminate.OP9_SQL,
+    "op10_quality_rules": quality.OP10_SQL,
+}
