@@ -4,8 +4,8 @@
    every ``window`` neighbouring grams the smallest is kept (the rightmost of equal ones), so any shared
    passage of ``gram + window - 1`` words shares a fingerprint.
 2. The templates' fingerprints form an inverted index (fingerprint -> template, position).  A document's
-   fingerprints that stand in it are anchors; anchors of one template whose diagonals (document position
-   less template position) differ by at most ``band`` and that lie within a template's length are one candidate.
+   fingerprints that stand in it are anchors; each diagonal (document position less template position) with an
+   anchor outside the spans found so far is a candidate, if enough of the template's words stand near it at all.
 3. Each candidate is aligned in a band around its diagonal (equal word +2, other word or gap -1, local at
    both ends).  ``coverage`` is the share of the template's words that the alignment matches, and the
    span runs from its first to its last matched word.  Overlapping spans of one template keep the best.
@@ -145,13 +145,16 @@ class Index:
         for name in sorted(anchors):
             tpl = self.words[name]
             found: list[tuple[int, int, int]] = []
-            open_: list[tuple[int, int]] = []   # diagonals with the position up to which they take anchors
+            tried: dict[int, int] = {}          # diagonal -> the position up to which it takes anchors
             for at, diagonal in sorted(anchors[name]):
-                if any(abs(diagonal - d) <= p.band and at < end for d, end in open_[-4:]):
+                if tried.get(diagonal, 0) > at or any(f[1] <= at < f[2] for f in found[-4:]):
                     continue
-                open_.append((diagonal, at + len(tpl) + p.band))
-                low = max(0, diagonal - p.band)
-                got = align(h[low:diagonal + len(tpl) + p.band + 1], tpl, diagonal - low, p.band)
+                tried[diagonal] = at + len(tpl)
+                low = max(0, diagonal - p.band, *(f[2] for f in found[-4:] if f[2] <= at))
+                near = h[low:diagonal + len(tpl) + p.band + 1]
+                if 100 * np.isin(tpl, near).sum() < p.min_coverage_pct * len(tpl):
+                    continue  # too few of its words are there at all
+                got = align(near, tpl, diagonal - low, p.band)
                 if got and 100 * got[0] >= p.min_coverage_pct * len(tpl):
                     found.append((got[0], got[1] + low, got[2] + low))
             taken: list[tuple[int, int, int]] = []

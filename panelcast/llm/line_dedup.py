@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -163,8 +164,6 @@ def dedup(docs: DataFrame, p: LineParams = LineParams(), doc_id: str = "doc_id",
 
 
 def _kept_series(min_chars: int):
-    import pandas as pd
-
     def kept(texts: pd.Series, gone: pd.Series) -> pd.Series:
         out = []
         for t, g in zip(texts, gone, strict=True):
