@@ -1,19 +1,4 @@
-"""Public entry points, one per class of the reference pipeline.
-
-| reference                        | here                                   |
-| -------------------------------- | -------------------------------------- |
-| DataE2E().run()                  | build_features(spark, sf_dir, params)  |
-| FeaturesService.get_features()   | build_features(...).monthly_features() |
-| MonthlyToQuarterlyService        | to_quarterly(build)                    |
-| LagsService.get_lags()           | add_lags(build, lags)                  |
-| TrainValTestSplit.split()        | chrono_split(build, df)                |
-| GB / NGB / TabNetModel fit+pred  | fit_cell(kind, build, cell)            |
-| DFM fit+predict                  | fit_factor(build, ...)                 |
-| mfbvar.R                         | fit_mfvar(build, ...)                  |
-| MetricsCalculator.get_metrics()  | score(build, forecasts)                |
-
-All of them return lazy DataFrames; nothing is collected.
-"""
+"""Public entry points: feature build, splits, model fits and scoring.  All return lazy DataFrames."""
 
 from __future__ import annotations
 

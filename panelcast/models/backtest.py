@@ -13,22 +13,29 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelcast.operators.score import metrics_table
 from panelcast.session import scratch_path
 from panelcast.sources.sinks import FORECAST_COLUMNS, read_forecasts, read_metrics, write_forecasts, write_metrics
 
 
-def backtest(build, families: dict[str, Callable[[], DataFrame]], path: str | None = None) -> DataFrame:
+def backtest(build, families: dict[str, Callable[[], DataFrame]], path: str | None = None,
+             run_id: str = "scores") -> DataFrame:
     """Run each family (a thunk returning uniform forecast records), store, score against the naive walk.
 
-    ``path`` is the run folder (S13): forecasts go to ``path``, metrics to ``path-metrics``.
+    ``path`` is the run folder (S13): forecasts go to ``path``, metrics to ``path-metrics``, both under ``run_id``.
+    Only rows a model vouches for are scored: a ``status`` column (the VAR's) must say ok (S10).
     """
-    parts = [fn().select(*FORECAST_COLUMNS) for fn in families.values()]
+    parts = [_good(fn()).select(*FORECAST_COLUMNS) for fn in families.values()]
     path = path or scratch_path(build.spark, f"forecasts-{uuid.uuid4().hex}")
     write_forecasts(reduce(DataFrame.unionByName, parts), path)
     stored = read_forecasts(build.spark, path)
     lo, hi = build.test_bounds()
     metrics = metrics_table(stored, build.actuals(), range(1, build.params.horizon + 1), lo, hi)
-    write_metrics(metrics, path + "-metrics")
-    return read_metrics(build.spark, path + "-metrics")
+    write_metrics(metrics, path + "-metrics", run_id)
+    return read_metrics(build.spark, path + "-metrics", run_id)
+
+
+def _good(forecasts: DataFrame) -> DataFrame:
+    return forecasts.filter(F.col("status") == "ok") if "status" in forecasts.columns else forecasts

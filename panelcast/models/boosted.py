@@ -1,10 +1,11 @@
 """M1: gradient-boosted trees per cell, early-stopped on the valid quarters.
 
 Spark's ``GBTRegressor`` is fitted on the pooled panel of one cell (all
-entities together) with the full iteration budget; the validation error of
-every prefix of the ensemble comes from ``evaluateEachIteration`` (one pass
-per tree, no refits), the best prefix is chosen with a patience rule, and the
-model is refitted on train + valid with that many trees.
+entities together).  The valid quarters are its validation rows: training
+stops at the first tree that lowers their error by less than
+``boost_tolerance`` (relative), so ``boost_iterations`` is a bound that is rarely
+reached (the reference waits a number of rounds instead; Spark has no such
+patience).  The model is refitted on train + valid with the trees that were kept.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.models.design import LABEL, Cell, best_iteration, cell_frame, forecast_record, impute_and_assemble
+from panelcast.models.design import LABEL, Cell, cell_frame, forecast_record, impute_and_assemble
 
 
 def split_frames(wide: DataFrame) -> dict[str, DataFrame]:
@@ -32,14 +33,20 @@ def gbt(params, iterations: int, depth: int | None = None, rate: float | None =
                         lossType="squared", seed=params.seed)
 
 
+def trees_kept(model_of: GBTRegressor, train: DataFrame, valid: DataFrame, tolerance: float) -> int:
+    """How many trees early stopping on ``valid`` keeps."""
+    rows = train.withColumn("held_out", F.lit(False)).unionByName(valid.withColumn("held_out", F.lit(True)))
+    return model_of.copy({model_of.validationIndicatorCol: "held_out", model_of.validationTol: tolerance}).fit(rows).getNumTrees
+
+
 def fit_boosted(build, cell: Cell, run_id: str) -> DataFrame:
     p = build.params
     wide, feats = cell_frame(build, cell)
     fr = split_frames(wide)
     stage1 = impute_and_assemble(fr["train"], {"train": fr["train"], "valid": fr["valid"]}, feats)
-    first = gbt(p, p.boost_iterations).fit(stage1["train"])
-    errors = first.evaluateEachIteration(stage1["valid"], "squared") if fr["valid"].take(1) else []
-    n_trees = best_iteration(errors, p.boost_patience) + 1 if errors else p.boost_iterations
+    n_trees = p.boost_iterations
+    if fr["valid"].take(1):
+        n_trees = trees_kept(gbt(p, p.boost_iterations), stage1["train"], stage1["valid"], p.boost_tolerance)
     # refit on train + valid (imputation statistics refitted there too, never on test)
     stage2 = impute_and_assemble(fr["train_valid"], {"train_valid": fr["train_valid"], "test": fr["test"]}, feats)
     final = gbt(p, n_trees).fit(stage2["train_valid"])

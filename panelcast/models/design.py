@@ -85,14 +85,3 @@ def forecast_record(pred: DataFrame, model: str, cell: Cell, run_id: str, lo=Non
         (lo if lo is not None else none).alias("lo"), (hi if hi is not None else none).alias("hi"),
     ).select("run_id", "model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
              "pred", "lo", "hi")
-
-
-def best_iteration(errors: list[float], patience: int) -> int:
-    """Index of the best validation error, stopping after ``patience`` rounds without improvement."""
-    best_i, best = 0, float("inf")
-    for i, e in enumerate(errors):
-        if e < best:
-            best_i, best = i, e
-        elif i - best_i >= patience:
-            break
-    return best_i

@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from panelcast.functions.columns import to_date
 from panelcast.models.design import safe_name
-from panelcast.operators.split import _add_months
+from panelcast.operators.calendar import add_months
+from panelcast.operators.score import FORECASTS_SCHEMA
 from panelcast.session import cut_lineage
 
 RIDGE = 1e-8
@@ -35,11 +36,11 @@ RIDGE = 1e-8
 
 def origin_dates(anchor: dt.date, test_len: int, horizon: int) -> list[dt.date]:
     """The T+H-1 window starts; window i ends at the i-th test quarter (or the anchor)."""
-    return [_add_months(anchor, -3 * (test_len - 2 + horizon - i)) for i in range(test_len + horizon - 1)]
+    return [add_months(anchor, -3 * (test_len - 2 + horizon - i)) for i in range(test_len + horizon - 1)]
 
 
 def _features_wide(build, features_type: str, availability: int, strategy: str) -> tuple[DataFrame, list[str]]:
-    month_ok = (F.col("availability") == availability) if strategy == "avail_only" \
+    month_ok = (F.col("availability") == availability) if (strategy == "avail_only" or features_type == "rolling") \
         else (F.col("availability") <= availability)
     f = build.feat_q().filter((F.col("features_type") == features_type) & month_ok)
     names = sorted(r[0] for r in f.select("feature").distinct().collect())
@@ -58,22 +59,21 @@ def fit_factor(build, features_type: str, availability: int, strategy: str, run_
     t = build.aligned_targets().select(
         "entity", "target", "date", "y", F.lag("y", 1).over(w).alias("y_lag1"),
         *(F.lead("y", h - 1).over(w).alias(f"lead{h}") for h in range(1, H + 1)))
-    base = wide.join(t, ["entity", "date"]).filter(F.col("date") >= to_date(p.start_date))
     o_arr = F.array(*(to_date(o) for o in origins))
-    ex = base.withColumn("origin", F.explode(F.filter(o_arr, lambda o: o >= F.col("date"))))
+    ex = (wide.filter(F.col("date") >= to_date(p.start_date)).select("entity", "date", *cols)
+          .withColumn("origin", F.explode(F.filter(o_arr, lambda o: o >= F.col("date")))))
     past = F.col("date") < F.col("origin")
 
-    # standardisation statistics per origin: one row per origin
-    feat_rows = ex.filter(past).select("origin", "entity", "date", *cols).dropDuplicates(["origin", "entity", "date"])
-    stats = feat_rows.groupBy("origin").agg(*(F.avg(c).alias(f"m_{c}") for c in cols),
+    # standardisation statistics per origin, before any target is joined: one row per origin
+    stats = ex.filter(past).groupBy("origin").agg(*(F.avg(c).alias(f"m_{c}") for c in cols),
                                             *(F.stddev_pop(c).alias(f"s_{c}") for c in cols))
     zc = {c: F.coalesce((F.col(c) - F.col(f"m_{c}")) / F.when(F.col(f"s_{c}") > 0, F.col(f"s_{c}")).otherwise(1.0),
                         F.lit(0.0)) for c in cols}
-    z = cut_lineage(ex.join(F.broadcast(stats), "origin").withColumns(zc).drop(*stats.columns[1:]))
+    z = cut_lineage(ex.join(stats, "origin").withColumns(zc).drop(*stats.columns[1:]))
 
     # principal components per origin (one PCA job per origin, run concurrently)
     asm = VectorAssembler(inputCols=cols, outputCol="zv")
-    zrows = z.filter(past).select("origin", "entity", "date", *cols).dropDuplicates(["origin", "entity", "date"])
+    zrows = z.filter(past)
 
     def loadings(o: dt.date):
         rows = asm.transform(zrows.filter(F.col("origin") == to_date(o)))
@@ -85,15 +85,15 @@ def fit_factor(build, features_type: str, availability: int, strategy: str, run_
     with ThreadPoolExecutor(max_workers=max(1, p.cell_parallelism)) as pool:
         pcs = [r for r in pool.map(loadings, origins) if r[1] is not None]
     if not pcs:
-        return build.spark.createDataFrame([], "model string")
+        return build.spark.createDataFrame([], FORECASTS_SCHEMA)
     lschema = T.StructType([T.StructField("origin", T.DateType())] + [
         T.StructField(f"w_{c}_{j}", T.DoubleType()) for j in range(kmax) for c in range(len(cols))])
     lrows = [(o, *(float(pc[c, j]) for j in range(kmax) for c in range(len(cols)))) for o, pc in pcs]
     load = build.spark.createDataFrame(lrows, lschema)
     fac = {f"F{j}": sum((F.col(cols[c]) * F.col(f"w_{c}_{j}") for c in range(len(cols))), F.lit(0.0))
            for j in range(kmax)}
-    scored = z.join(F.broadcast(load), "origin").withColumns(fac).select(
-        "origin", "entity", "target", "date", "y_lag1", *(f"lead{h}" for h in range(1, H + 1)), *fac)
+    scored = z.join(F.broadcast(load), "origin").withColumns(fac).select("origin", "entity", "date", *fac).join(
+        t.drop("y"), ["entity", "date"])
 
     # cross-products of [1, F0..F(kmax-1), y_lag1] with themselves and the label, per (origin, target, h)
     xs = [F.lit(1.0)] + [F.col(f"F{j}") for j in range(kmax)] + [F.col("y_lag1")]
@@ -123,7 +123,7 @@ def fit_factor(build, features_type: str, availability: int, strategy: str, run_
             full[idx] = b
             coef.append((g["origin"], g["target"], g["h"], k, *(float(v) for v in full)))
     if not coef:
-        return build.spark.createDataFrame([], "model string")
+        return build.spark.createDataFrame([], FORECASTS_SCHEMA)
     cschema = T.StructType([T.StructField("origin", T.DateType()), T.StructField("target", T.StringType()),
                             T.StructField("h", T.IntegerType()), T.StructField("k", T.IntegerType())] +
                            [T.StructField(f"b{i}", T.DoubleType()) for i in range(n)])

@@ -1,7 +1,7 @@
 """M2: probabilistic boosting as a Gaussian two-stage model.
 
-Stage 1 boosts the mean (shallow trees, small rate, iteration count by
-patience on the valid quarters); stage 2 boosts ln(residual^2), giving a
+Stage 1 boosts the mean (shallow trees, small rate, stopped early on the
+valid quarters); stage 2 boosts ln(residual^2), giving a
 per-row sigma.  The sigma scale is chosen on the valid quarters by the mean
 closed-form CRPS over a small fixed set of factors: one aggregate over an
 exploded literal array, not a loop of jobs.  Both stages are then refitted on
@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import crps_gaussian
-from panelcast.models.boosted import gbt, split_frames
-from panelcast.models.design import LABEL, Cell, best_iteration, cell_frame, forecast_record, impute_and_assemble
+from panelcast.models.boosted import gbt, split_frames, trees_kept
+from panelcast.models.design import LABEL, Cell, cell_frame, forecast_record, impute_and_assemble
 from panelcast.operators.score import Z68
 
 EPS = 1e-12
@@ -41,8 +41,8 @@ def fit_gaussian(build, cell: Cell, run_id: str) -> DataFrame:
     s1 = impute_and_assemble(fr["train"], {"train": fr["train"], "valid": fr["valid"]}, feats)
     scale, n_trees = 1.0, p.gauss_iterations
     if fr["valid"].take(1):
-        probe = gbt(p, p.gauss_iterations, p.gauss_depth, p.gauss_learning_rate).fit(s1["train"])
-        n_trees = best_iteration(probe.evaluateEachIteration(s1["valid"], "squared"), p.gauss_patience) + 1
+        probe = gbt(p, p.gauss_iterations, p.gauss_depth, p.gauss_learning_rate)
+        n_trees = trees_kept(probe, s1["train"], s1["valid"], p.gauss_tolerance)
         mean, spread = _two_stage(p, n_trees, s1["train"])
         v = _predict(mean, spread, s1["valid"], 1.0)
         tried = v.select(LABEL, "prediction", "sigma", F.explode(F.array(*(F.lit(c) for c in p.gauss_scales))).alias("c"))

@@ -17,19 +17,23 @@ from pyspark.sql import functions as F
 
 from panelcast.models.boosted import split_frames
 from panelcast.models.design import LABEL, Cell, cell_frame, forecast_record
+from panelcast.operators.calendar import add_months
 
 
-def after_warmup(frame: DataFrame, feats: list[str]) -> DataFrame:
-    """Drop the lag warm-up: quarters before the first row where every column is present.
+def warmup_quarters(cell: Cell, windows: tuple[int, ...]) -> int:
+    """Quarters at the start of the data in which a cell's columns are NULL by construction of their lags.
 
-    Lags and year-on-year differences are NULL on the first quarters of every
-    series; counting those would remove every lagged column.
+    A feature reaches back 12 months, the widest rolling frame less one month and h - 1 quarters; the lagged
+    target reaches back 4 + h quarters.
     """
-    complete = F.lit(True)
-    for c in feats:
-        complete = complete & F.col(c).isNotNull()
-    first = frame.filter(complete).agg(F.min("date").alias("d")).first()["d"]
-    return frame if first is None else frame.filter(F.col("date") >= F.lit(first))
+    months = 12 + (max(windows) - 1 if cell.features_type == "rolling" else 0)
+    return max(-(-months // 3) + cell.horizon - 1, 4 + cell.horizon)
+
+
+def after_warmup(frame: DataFrame, build, cell: Cell) -> DataFrame:
+    """The quarters after the warm-up, the same for every entity and whatever the data hold."""
+    first = add_months(build.first_quarter, 3 * warmup_quarters(cell, build.params.windows))
+    return frame.filter(F.col("date") >= F.lit(first))
 
 
 def null_free_columns(frame: DataFrame, feats: list[str]) -> list[str]:
@@ -59,7 +63,7 @@ def fit_sparse_linear(build, cell: Cell, run_id: str) -> DataFrame:
     fit_rows = split_frames(wide)["train_valid"]
     seen = fit_rows.agg(*(F.count(F.col(c)).alias(c) for c in feats)).first()
     observed = [c for c in feats if seen[c] > 0]
-    fr = split_frames(after_warmup(wide, observed))
+    fr = split_frames(after_warmup(wide, build, cell))
     cols = null_free_columns(fr["train_valid"], observed)
     if not cols:  # nothing usable: intercept only (the training mean)
         const = "_const"

@@ -1,4 +1,4 @@
-"""Calendar spines and period helpers.
+"""Calendar spines and period helpers.
 
 Positional lags and rolling frames are only calendar-correct on a dense
 series, so every panel is densified before any window runs: one row per
@@ -13,21 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.columns import month_in_quarter, to_date
+from panelcast.functions.columns import to_date
 
 
-def date_bounds(frames: Sequence[DataFrame], date_col: str = "date") -> tuple[dt.date, dt.date]:
-    """Global min/max date over several frames.
-
-    Each frame is reduced to one (min, max) row on the executors; only those
-    two scalars per frame reach the driver.
-    """
-    parts = [f.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")) for f in frames]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    r = u.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
-    return r["lo"], r["hi"]
+def add_months(d: dt.date, n: int) -> dt.date:
+    """The month start ``n`` months from a month start."""
+    m = d.month - 1 + n
+    return dt.date(d.year + m // 12, m % 12 + 1, 1)
 
 
 def period_sequence(start: dt.date, end: dt.date, months: int = 1):
@@ -57,14 +49,3 @@ def densify(panel: DataFrame, keys: Sequence[str], value_cols: Sequence[str], st
         .groupBy(*keys, date_col)
         .agg(*(F.max(v).alias(v) for v in value_cols))
     )
-
-
-def with_quarter(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Month-in-quarter and the quarter start date in one projection."""
-    return df.withColumn("month_in_quarter", month_in_quarter(date_col)).withColumn(
-        "quarter", F.trunc(F.col(date_col), "quarter"))
-
-
-def trim_to_full_quarter(monthly: DataFrame, last_quarter: dt.date, date_col: str = "date") -> DataFrame:
-    """Drop monthly rows after the last month of the last quarter with data."""
-    return monthly.filter(F.col(date_col) <= F.add_months(to_date(last_quarter), 2))

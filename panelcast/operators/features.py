@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import month_in_quarter, to_date
-from panelcast.operators.calendar import densify
+from panelcast.operators.calendar import add_months, densify
 from panelcast.operators.series import (SERIES_KEYS, TARGET_KEYS, add_lags, log_diff, positivity_profile,
                                         rolling_means, yoy_diff)
 from panelcast.params import Params
@@ -60,9 +60,9 @@ def first_full_quarter(month_lo: dt.date) -> dt.date:
     return dt.date(q.year + (m > 12), (m - 1) % 12 + 1, 1)
 
 
-def add_months(d: dt.date, n: int) -> dt.date:
-    m = d.month - 1 + n
-    return dt.date(d.year + m // 12, m % 12 + 1, 1)
+def last_full_quarter(last_day: dt.date) -> dt.date:
+    """Start of the last quarter whose last day is not after ``last_day``."""
+    return add_months(quarter_of(last_day + dt.timedelta(days=1)), -3)
 
 
 def monthly_features(dense_m: DataFrame, profile: DataFrame, windows: Sequence[int]) -> DataFrame:
@@ -157,8 +157,8 @@ def cell_design(feat_q: DataFrame, targets: DataFrame, features_type: str, avail
 class PanelBuild:
     """The feature build for one data set, each piece built once and reused.
 
-    Bounds are two scalars per table from one-column scans; everything else
-    stays a lazy DataFrame.
+    Bounds are three scalars per source, from its monthly aggregate; everything
+    else stays a lazy DataFrame.
     """
 
     spark: SparkSession
@@ -188,23 +188,33 @@ class PanelBuild:
         """
         from panelcast.session import cut_lineage
 
-        return cut_lineage(adapters.order_months(self.spark, self.sf_dir, self.params))
+        return cut_lineage(adapters.order_months(self.spark, self.sf_dir))
 
     @cached_property
     def line_months(self) -> DataFrame:
         """Line items aggregated to (entity, month), computed once per build; quarters roll up from it."""
         from panelcast.session import cut_lineage
 
-        return cut_lineage(adapters.line_months(self.spark, self.sf_dir, self.params))
+        return cut_lineage(adapters.line_months(self.spark, self.sf_dir))
 
     @cached_property
-    def month_bounds(self) -> tuple[dt.date, dt.date]:
-        """One-column min/max scan: plans that only need targets never build the order aggregate."""
-        return adapters.month_bounds(self.spark, self.sf_dir, self.params)
+    def _month_facts(self) -> tuple[dt.date, dt.date, dt.date]:
+        return adapters.bounds_of(self.order_months)
 
     @cached_property
+    def _line_facts(self) -> tuple[dt.date, dt.date, dt.date]:
+        return adapters.bounds_of(self.line_months)
+
+    @property
+    def month_bounds(self) -> tuple[dt.date, dt.date]:
+        """First and last month of the order panel (from the aggregate: no scan of the facts)."""
+        return self._month_facts[:2]
+
+    @property
     def quarter_bounds(self) -> tuple[dt.date, dt.date]:
-        return adapters.quarter_bounds(self.spark, self.sf_dir, self.params)
+        """First and last quarter of the targets, the last one whether or not it is complete."""
+        lo, hi, _ = self._line_facts
+        return quarter_of(lo), quarter_of(hi)
 
     @property
     def first_quarter(self) -> dt.date:
@@ -212,16 +222,16 @@ class PanelBuild:
 
     @property
     def anchor(self) -> dt.date:
-        """Last quarter present in both the monthly features and the targets."""
-        return min(quarter_of(self.month_bounds[1]), self.quarter_bounds[1])
+        """The last quarter that both sources cover to its last day."""
+        return min(last_full_quarter(self._month_facts[2]), last_full_quarter(self._line_facts[2]))
 
     @_memo
     def panel_m(self) -> DataFrame:
-        return adapters.panel_m(self.spark, self.sf_dir, self.params, self.order_months)
+        return adapters.panel_m(self.order_months)
 
     @_memo
     def market_m(self) -> DataFrame:
-        return adapters.market_m(self.spark, self.sf_dir, self.params, self.line_months)
+        return adapters.market_m(self.line_months)
 
     @_memo
     def spine_m(self) -> DataFrame:
@@ -250,7 +260,7 @@ class PanelBuild:
 
     @_memo
     def panel_q(self) -> DataFrame:
-        return adapters.panel_q(self.spark, self.sf_dir, self.params, self.line_months)
+        return adapters.panel_q(self.line_months)
 
     @_memo
     def targets(self) -> DataFrame:

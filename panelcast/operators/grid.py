@@ -40,7 +40,13 @@ def assign_sections(grid: DataFrame) -> DataFrame:
     return mark_headers(grid).withColumn("indicator", title)
 
 
+def block_titles(grid: DataFrame) -> list[str]:
+    """All distinct titles that G1 finds, sorted: the columns of G12 (a sheet's table of contents, not its data)."""
+    return sorted(r["title"] for r in headers(grid).select("title").distinct().collect())
+
+
 def headers(grid: DataFrame) -> DataFrame:
+    """G1: the header rows with their trimmed titles."""
     return mark_headers(grid).filter("is_header").select("sheet", "row_no", F.trim("c0").alias("title"))
 
 
@@ -71,16 +77,22 @@ def parse_cells(cells: DataFrame) -> DataFrame:
                         clean_numeric_text("raw", strict_reference=True).alias("value_strict"))
 
 
-def ranked(parsed: DataFrame) -> DataFrame:
-    """Position of each good cell among cells with the same (sheet, indicator, date)."""
-    good = parsed.filter(F.col("year_ok") & F.col("date").isNotNull() & F.col("value").isNotNull())
-    w = Window.partitionBy("sheet", "indicator", "date").orderBy("row_no")
-    return good.withColumn("dup_rank", F.row_number().over(w))
+def judged(parsed: DataFrame) -> DataFrame:
+    """Every cell with its ``reason``: bad_year, bad_date, bad_value, duplicate, or NULL for a good one.
+
+    Of the cells with the same (sheet, indicator, date) the first row is good and the others are duplicates.
+    """
+    reason = (F.when(~F.col("year_ok"), F.lit("bad_year"))
+              .when(F.col("date").isNull(), F.lit("bad_date"))
+              .when(F.col("value").isNull(), F.lit("bad_value")))
+    w = Window.partitionBy("sheet", "indicator", "date", "reason").orderBy("row_no")
+    later = F.col("reason").isNull() & (F.row_number().over(w) > 1)
+    return parsed.withColumn("reason", reason).withColumn("reason", F.when(later, F.lit("duplicate")).otherwise(F.col("reason")))
 
 
 def clean_long(grid: DataFrame) -> DataFrame:
     """The long panel (sheet, indicator, date, value, value_strict, row_no), first row wins on duplicates."""
-    return ranked(parse_cells(block_cells(grid))).filter(F.col("dup_rank") == 1).drop("dup_rank")
+    return judged(parse_cells(block_cells(grid))).filter(F.col("reason").isNull()).drop("reason")
 
 
 def pivot_wide(long: DataFrame, indicators: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
@@ -92,11 +104,5 @@ def pivot_wide(long: DataFrame, indicators: Sequence[str], names: Sequence[str]
 
 def rejects(grid: DataFrame) -> DataFrame:
     """Every dropped cell with its reason: bad_year, bad_date, bad_value, duplicate."""
-    p = parse_cells(block_cells(grid))
-    reason = (F.when(~F.col("year_ok"), F.lit("bad_year"))
-              .when(F.col("date").isNull(), F.lit("bad_date"))
-              .when(F.col("value").isNull(), F.lit("bad_value")))
-    bad = p.withColumn("reason", reason).filter(F.col("reason").isNotNull())
-    dups = ranked(p).filter(F.col("dup_rank") > 1).withColumn("reason", F.lit("duplicate"))
-    cols = ["sheet", "row_no", "indicator", "month", "raw", "reason"]
-    return bad.select(*cols).unionByName(dups.select(*cols))
+    bad = judged(parse_cells(block_cells(grid))).filter(F.col("reason").isNotNull())
+    return bad.select("sheet", "row_no", "indicator", "month", "raw", "reason")

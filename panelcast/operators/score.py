@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.functions.columns import crps_gaussian, full_frame_mean, to_date
+from panelcast.functions.columns import crps_gaussian, full_frame_mean, round_fixed, to_date
 from panelcast.operators.series import TARGET_KEYS, naive_forecasts
 
 # Uniform forecast record (one schema for every model family).
@@ -67,24 +67,34 @@ def naive_rmse(actuals: DataFrame, horizons: Sequence[int], test_lo: dt.date, te
 def relative(metrics: DataFrame, naive: DataFrame, how: str = "left") -> DataFrame:
     """Attach the naive RMSE and divide.
 
-    ``naive`` has one row per (target, horizon): its size is fixed by the
-    parameters, never by the data volume, so broadcasting it is safe.
+    ``naive`` has one row per (target, horizon); AQE broadcasts it if it is small.
     """
-    n = F.broadcast(naive.select("target", "horizon", "rmse_naive"))
+    n = naive.select("target", "horizon", "rmse_naive")
     return metrics.join(n, ["target", "horizon"], how).withColumn(
         "rel_rmse_naive", F.try_divide(F.col("rmse"), F.col("rmse_naive")))
 
 
+def sort_by_cell(metrics: DataFrame) -> DataFrame:
+    """O2: final output order of grouped metrics, by their keys."""
+    return metrics.orderBy("model", "target", "features_type", "availability", "horizon")
+
+
+def sort_metrics(metrics: DataFrame) -> DataFrame:
+    """O3: target, horizon, availability descending; the other keys make the order total."""
+    return metrics.orderBy("target", "horizon", F.desc("availability"), "model", "features_type")
+
+
 def leaderboard(metrics: DataFrame, keys: Sequence[str] = ("target", "horizon", "availability")) -> DataFrame:
-    """Best relative RMSE per key and the (model, features_type) reaching it.
+    """Best relative RMSE per key and the (model, features_type) reaching it, sorted by key.
 
-    NULL scores never win; ties go to the smallest (model, features_type).
+    NULL scores never win.  Scores are ranked at 12 decimals, below which they are summation noise;
+    ties go to the smallest (model, features_type).
     """
     ok = metrics.filter(F.col("rel_rmse_naive").isNotNull() & ~F.isnan("rel_rmse_naive"))
-    best = F.min(F.struct("rel_rmse_naive", "model", "features_type")).alias("b")
+    best = F.min(F.struct(round_fixed("rel_rmse_naive", 12).alias("rank"), "model", "features_type", "rel_rmse_naive")).alias("b")
     return ok.groupBy(*keys).agg(best).select(
         *keys, F.col("b.rel_rmse_naive").alias("best_rel_rmse_naive"),
-        F.col("b.model").alias("best_model"), F.col("b.features_type").alias("best_features_type"))
+        F.col("b.model").alias("best_model"), F.col("b.features_type").alias("best_features_type")).orderBy(*keys)
 
 
 def pseudo_forecasts(actuals: DataFrame, horizons: Sequence[int], availabilities: Sequence[int],

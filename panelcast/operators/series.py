@@ -44,11 +44,10 @@ def chain_index(index_panel: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> Da
 def yoy_diff(dense: DataFrame, profile: DataFrame, lag: int = 12, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
     """Year-on-year log difference for positive series, level difference otherwise.
 
-    The profile has one row per indicator (catalogue-bounded), so it is
-    broadcast; the window keeps the (entity, indicator) partitioning.
+    The profile has one row per indicator; AQE broadcasts it if it is small.
     """
     w = series_window(keys)
-    j = dense.join(F.broadcast(profile.select("indicator", "transform")), "indicator")
+    j = dense.join(profile.select("indicator", "transform"), "indicator")
     is_log = F.col("transform") == "log"
     x = F.when(is_log, safe_ln("value")).otherwise(F.col("value"))
     return j.withColumn("d12", x - F.lag(x, lag).over(w)).withColumn(
@@ -79,9 +78,3 @@ def naive_forecasts(targets: DataFrame, horizons: Sequence[int], keys: Sequence[
     lagged = add_lags(targets, "y", horizons, keys, prefix="p")
     return lagged.unpivot([*keys, "date", "y"], [f"p{h}" for h in horizons], "h_name", "pred").select(
         *keys, "date", F.substring("h_name", 2, 3).cast("int").alias("horizon"), "y", "pred")
-
-
-def number_steps(df: DataFrame, group: Sequence[str], order: str = "date") -> DataFrame:
-    """Horizon 1..n of forecast steps within each group."""
-    w = Window.partitionBy(*group).orderBy(order)
-    return df.withColumn("horizon", F.row_number().over(w))

@@ -15,14 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import to_date
+from panelcast.operators.calendar import add_months
 from panelcast.params import Params
 
 
-def _add_months(d: dt.date, n: int) -> dt.date:
-    m = d.month - 1 + n
-    return dt.date(d.year + m // 12, m % 12 + 1, 1)
-
-
 @dataclasses.dataclass(frozen=True)
 class SplitBounds:
     """test = last T quarters up to the anchor, valid = V quarters before, train = earlier."""
@@ -33,12 +29,12 @@ class SplitBounds:
 
     @property
     def test(self) -> tuple[dt.date, dt.date]:
-        return _add_months(self.anchor, -3 * (self.test_len - 1)), self.anchor
+        return add_months(self.anchor, -3 * (self.test_len - 1)), self.anchor
 
     @property
     def valid(self) -> tuple[dt.date, dt.date]:
-        hi = _add_months(self.anchor, -3 * self.test_len)
-        return _add_months(hi, -3 * (self.valid_len - 1)), hi
+        hi = add_months(self.anchor, -3 * self.test_len)
+        return add_months(hi, -3 * (self.valid_len - 1)), hi
 
     @classmethod
     def of(cls, anchor: dt.date, p: Params) -> "SplitBounds":
@@ -97,12 +93,19 @@ def vintages(monthly: DataFrame, quarterly: DataFrame, q_last: dt.date, m_last:
     return mv, qv
 
 
-def ragged_edge(monthly: DataFrame, m_end: dt.date, availability: int, value_col: str = "value") -> DataFrame:
+def ragged_edge(monthly: DataFrame, m_end: dt.date, availability: int | Column, value_col: str = "value") -> DataFrame:
     """With availability a < 3 the last 3-a months before ``m_end`` are not yet published -> NULL."""
-    cutoff = F.add_months(to_date(m_end), -(3 - availability))
+    a = F.lit(availability) if isinstance(availability, int) else availability
+    cutoff = F.add_months(to_date(m_end), a - 3)
     return monthly.withColumn(value_col, F.when(F.col("date") <= cutoff, F.col(value_col)))
 
 
+def first_steps(paths: DataFrame, horizon: int, keys: tuple[str, ...] = ("entity", "target", "origin")) -> DataFrame:
+    """The first ``horizon`` dates of every forecast path, numbered from 1."""
+    w = Window.partitionBy(*keys).orderBy("date")
+    return paths.withColumn("horizon", F.row_number().over(w)).filter(F.col("horizon") <= horizon)
+
+
 def trim_to_quarter_end(monthly: DataFrame, q_last: dt.date) -> DataFrame:
     """Monthly rows up to the last month of the last quarter with targets."""
     return monthly.filter(F.col("date") <= F.add_months(to_date(q_last), 2))

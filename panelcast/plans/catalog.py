@@ -175,15 +175,10 @@ def cumulative_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Step 4: report grid -----------------------------------------------------
 
-# The five TPC-H market segments are the block titles of the
-# report grid, listed explicitly so the pivot has a fixed width.
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.sources.report_grid import report_grid
 
-    return report_grid(spark, sf_dir, TEST_PARAMS)
+    return report_grid(build(spark, sf_dir).order_months)
 
 
 @query
@@ -214,11 +209,13 @@ def grid_clean_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def grid_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One column per block title, one row per (sheet, month)."""
-    from panelcast.operators.grid import clean_long, pivot_wide
+    """One column per block title (all that G1 finds), one row per (sheet, month)."""
+    from panelcast.operators.grid import block_titles, clean_long, pivot_wide
 
-    names = [s.lower() for s in SEGMENTS]
-    p = pivot_wide(clean_long(_grid(spark, sf_dir)), SEGMENTS, names)
+    g = _grid(spark, sf_dir)
+    titles = block_titles(g)
+    names = [s.lower() for s in titles]
+    p = pivot_wide(clean_long(g), titles, names)
     return p.select("sheet", "date", *(r6(n) for n in names))
 
 
@@ -264,7 +261,7 @@ def _monthly_for_var(b) -> DataFrame:
 @query
 def vintage_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vintage, the data still visible (targets drop tp+1 quarters, indicators 3*tp months)."""
-    from panelcast.operators.features import add_months
+    from panelcast.operators.calendar import add_months
     from panelcast.operators.split import vintages
 
     b = build(spark, sf_dir)
@@ -284,13 +281,13 @@ def vintage_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ragged_edge_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Availability a < 3 hides the last 3-a months of the latest vintage."""
-    from panelcast.operators.features import add_months
+    from panelcast.operators.calendar import add_months
+    from panelcast.operators.split import ragged_edge
 
     b = build(spark, sf_dir)
     m_end = add_months(b.anchor, 2)
     m = _monthly_for_var(b).withColumn("availability", F.explode(F.array(*(F.lit(a) for a in (1, 2, 3)))))
-    cutoff = F.expr(f"add_months(DATE'{m_end.isoformat()}', -(3 - availability))")
-    masked = m.withColumn("value", F.when(F.col("date") <= cutoff, F.col("value")))
+    masked = ragged_edge(m, m_end, F.col("availability"))
     return masked.groupBy("availability", "entity", "indicator").agg(
         F.count("value").alias("n_values"), F.max(F.when(F.col("value").isNotNull(), F.col("date"))).alias("last_date"))
 
@@ -383,7 +380,10 @@ def _quarter_end_records(b) -> DataFrame:
 
 
 def _metrics(b) -> DataFrame:
-    """Benchmark models (left join to naive) plus quarter-end records (inner join: drops horizon H+1)."""
+    """Benchmark models (left join to naive) plus quarter-end records (inner join: drops horizon H+1).
+
+    The quarter-end records are four-quarter means in the record layout of the VAR; their label says so.
+    """
     from panelcast.operators.score import (METRICS_COLUMNS, join_actuals, metrics_table, naive_rmse, relative, rmse,
                                            shift_forecast_dates)
 
@@ -392,18 +392,18 @@ def _metrics(b) -> DataFrame:
     ml = metrics_table(_bench(b), b.actuals(), hs, lo, hi)
     test_dates = b.actuals().filter(F.col("date").between(F.lit(lo), F.lit(hi))).select("date").distinct()
     shifted = shift_forecast_dates(_quarter_end_records(b)).join(test_dates, "date", "left_semi")
-    scored = join_actuals(shifted.withColumn("model", F.lit("mfvar")).withColumn("features_type", F.lit("d12")), b.actuals())
+    scored = join_actuals(shifted.withColumn("model", F.lit("mean4_quarter_end")).withColumn("features_type", F.lit("d12")), b.actuals())
     var = relative(rmse(scored), naive_rmse(b.actuals(), hs, lo, hi), how="inner").select(*METRICS_COLUMNS)
     return ml.unionByName(var)
 
 
 @query
 def rmse_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RMSE of every benchmark model and cell in one join and one aggregate."""
-    from panelcast.operators.score import join_actuals, rmse
+    """RMSE of every benchmark model and cell in one join and one aggregate, sorted by its keys."""
+    from panelcast.operators.score import join_actuals, rmse, sort_by_cell
 
     b = build(spark, sf_dir)
-    m = rmse(join_actuals(_bench(b), b.actuals()))
+    m = sort_by_cell(rmse(join_actuals(_bench(b), b.actuals())))
     return m.select("model", "target", "features_type", "availability", "horizon", r6("rmse"), "n_obs")
 
 
@@ -421,8 +421,10 @@ def rel_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 8-column metrics record for all model families."""
-    m = _metrics(build(spark, sf_dir))
+    """The 8-column metrics record for all model families, in report order."""
+    from panelcast.operators.score import sort_metrics
+
+    m = sort_metrics(_metrics(build(spark, sf_dir)))
     return m.select("horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),
                     r6("rel_rmse_naive"))
 
@@ -432,8 +434,36 @@ def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best model and feature type per (target, horizon, availability); NULL never wins."""
     from panelcast.operators.score import leaderboard as board
 
-    m = _metrics(build(spark, sf_dir)).withColumn("rel_rmse_naive", round_fixed("rel_rmse_naive", 6))
-    return board(m)
+    best = board(_metrics(build(spark, sf_dir)))
+    return best.select("target", "horizon", "availability", r6("best_rel_rmse_naive"), "best_model", "best_features_type")
+
+
+@query
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of two runs stored, one run and config read back, scored,
+    and the metrics stored under the run id and read back."""
+    import uuid
+
+    from panelcast.operators.score import metrics_table as score
+    from panelcast.operators.score import shift_forecast_dates
+    from panelcast.session import scratch_path
+    from panelcast.sources import sinks
+
+    b = build(spark, sf_dir)
+    lo, hi = b.test_bounds()
+    path = scratch_path(spark, f"stored-scores-{uuid.uuid4().hex}")
+    none = F.lit(None).cast("double")
+    other = (shift_forecast_dates(_quarter_end_records(b)).where(F.col("horizon") <= b.params.horizon)
+             .select(F.lit("other").alias("run_id"), F.lit("mean4_quarter_end").alias("model"), "entity", "target",
+                     F.lit("d12").alias("features_type"), "availability", "horizon",
+                     F.expr("add_months(date, -3 * horizon)").alias("origin"), "date", "pred", none.alias("lo"), none.alias("hi")))
+    sinks.write_forecasts(_bench(b).unionByName(other), f"{path}/forecasts")
+    stored = sinks.read_forecasts(spark, f"{path}/forecasts", run_id="bench", config={"features_type": "d12"})
+    metrics = score(stored, b.actuals(), range(1, b.params.horizon + 1), lo, hi)
+    sinks.write_metrics(metrics, f"{path}/metrics", "bench")
+    m = sinks.read_metrics(spark, f"{path}/metrics", "bench")
+    return m.select("run_id", "horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),
+                    r6("rel_rmse_naive"))
 
 
 @query
@@ -461,7 +491,7 @@ def forecast_date_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def top_h_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a longer forecast path per origin keep the first H steps (row number by date)."""
-    from pyspark.sql import Window
+    from panelcast.operators.split import first_steps
 
     b = build(spark, sf_dir)
     lo, hi = b.test_bounds()
@@ -470,9 +500,7 @@ def top_h_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = o.select("entity", "target", F.col("date").alias("origin"), F.col("y").alias("pred"),
                     F.explode(F.sequence(F.lit(1), F.lit(h + 3))).alias("k"))
     path = path.withColumn("date", F.expr("add_months(origin, 3 * k)"))
-    w = Window.partitionBy("entity", "target", "origin").orderBy("date")
-    top = path.withColumn("horizon", F.row_number().over(w)).filter(F.col("horizon") <= h)
-    return top.select("entity", "target", "origin", "date", "horizon", r6("pred"))
+    return first_steps(path, h).select("entity", "target", "origin", "date", "horizon", r6("pred"))
 
 
 @query

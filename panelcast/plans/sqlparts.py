@@ -7,17 +7,10 @@ everything they depend on, in dependency order.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from panelcast.params import TEST_PARAMS, Params
 
 
-def _next_day(d: str) -> str:
-    return (dt.date.fromisoformat(d) + dt.timedelta(days=1)).isoformat()
-
-
 def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
-    cut = _next_day(p.cut)
     win = p.windows
     roll_cols = ",\n  ".join(
         f"CASE WHEN count(d12) OVER (PARTITION BY entity, indicator ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) = {k} "
@@ -34,15 +27,15 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
     SUM(CASE WHEN o.o_orderstatus = 'F' THEN CAST(round(o.o_totalprice * 100) AS BIGINT)
              WHEN o.o_orderstatus = 'O' THEN -CAST(round(o.o_totalprice * 100) AS BIGINT) ELSE 0 END) AS flow_c
   FROM orders o JOIN ent e ON o.o_custkey = e.custkey
-  WHERE o.o_orderdate < TIMESTAMP '{cut}'
   GROUP BY 1, 2""", ("ent",)),
         "pm": ("""SELECT entity, 'revenue' AS indicator, date, CAST(rev_c AS DOUBLE) / 100 AS value FROM om
   UNION ALL SELECT entity, 'orders', date, CAST(n_orders AS DOUBLE) FROM om
   UNION ALL SELECT entity, 'avg_ticket', date, round((CAST(rev_c AS DOUBLE) / 100) / n_orders, 6) FROM om
   UNION ALL SELECT entity, 'net_flow', date, CAST(flow_c AS DOUBLE) / 100 FROM om""", ("om",)),
         "mb": (f"""SELECT CAST(min(date_trunc('month', o_orderdate)) AS DATE) AS lo,
-    CAST(max(date_trunc('month', o_orderdate)) AS DATE) AS hi
-  FROM orders WHERE o_orderdate < TIMESTAMP '{cut}'""", ()),
+    CAST(max(date_trunc('month', o_orderdate)) AS DATE) AS hi,
+    CAST(date_trunc('quarter', max(o_orderdate) + INTERVAL 1 DAY) - INTERVAL 3 MONTH AS DATE) AS full_q
+  FROM orders""", ()),
         "mcal": ("""SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS date FROM mb""", ("mb",)),
         "md": ("""SELECT k.entity, k.indicator, c.date, p.value
   FROM (SELECT DISTINCT entity, indicator FROM pm) k CROSS JOIN mcal c
@@ -69,25 +62,26 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
     SUM(CAST(round(l_extendedprice * (1 - l_discount) * 100) AS BIGINT)) AS net_c,
     SUM(CAST(l_quantity AS BIGINT)) AS qty,
     SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS ret_qty
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '{cut}' GROUP BY 1, 2""", ()),
+  FROM lineitem GROUP BY 1, 2""", ()),
         "lm": (f"""SELECT l_orderkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-    SUM(CAST(l_quantity AS BIGINT)) AS qty,
+    SUM(CAST(l_quantity AS BIGINT)) AS qty, COUNT(*) AS n_lines,
     SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS ret_qty
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '{cut}' GROUP BY 1, 2""", ()),
+  FROM lineitem GROUP BY 1, 2""", ()),
         "pqw": ("""SELECT e.entity, x.date, SUM(x.gmv_c) AS gmv_c, SUM(x.net_c) AS net_c, SUM(x.qty) AS qty
   FROM lq x JOIN orders o ON x.l_orderkey = o.o_orderkey JOIN ent e ON o.o_custkey = e.custkey
   GROUP BY 1, 2""", ("lq", "ent")),
-        "mkw": ("""SELECT e.entity, x.date, SUM(x.qty) AS qty, SUM(x.ret_qty) AS ret_qty
+        "mkw": ("""SELECT e.entity, x.date, SUM(x.qty) AS qty, SUM(x.ret_qty) AS ret_qty, SUM(x.n_lines) AS n_lines
   FROM lm x JOIN orders o ON x.l_orderkey = o.o_orderkey JOIN ent e ON o.o_custkey = e.custkey
   GROUP BY 1, 2""", ("lm", "ent")),
-        "mk": ("""SELECT entity, 'shipped_qty' AS indicator, date, CAST(qty AS DOUBLE) AS value FROM mkw
+        "mk": ("""SELECT entity, 'shipped_lines' AS indicator, date, CAST(n_lines AS DOUBLE) AS value FROM mkw
   UNION ALL SELECT entity, 'return_share', date, round(CAST(ret_qty AS DOUBLE) / qty, 6) FROM mkw""", ("mkw",)),
         "pq": ("""SELECT entity, 'gmv' AS target, date, CAST(gmv_c AS DOUBLE) / 100 AS level FROM pqw
   UNION ALL SELECT entity, 'net_sales', date, CAST(net_c AS DOUBLE) / 100 FROM pqw
   UNION ALL SELECT entity, 'qty', date, CAST(qty AS DOUBLE) FROM pqw""", ("pqw",)),
         "qb": (f"""SELECT CAST(min(date_trunc('quarter', l_shipdate)) AS DATE) AS lo,
-    CAST(max(date_trunc('quarter', l_shipdate)) AS DATE) AS hi
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '{cut}'""", ()),
+    CAST(max(date_trunc('quarter', l_shipdate)) AS DATE) AS hi,
+    CAST(date_trunc('quarter', max(l_shipdate) + INTERVAL 1 DAY) - INTERVAL 3 MONTH AS DATE) AS full_q
+  FROM lineitem""", ()),
         "qcal": ("""SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 3 MONTH)) AS DATE) AS date FROM qb""", ("qb",)),
         "qd": ("""SELECT k.entity, k.target, c.date, p.level
   FROM (SELECT DISTINCT entity, target FROM pq) k CROSS JOIN qcal c
@@ -99,10 +93,10 @@ def ctes(p: Params = TEST_PARAMS) -> dict[str, tuple[str, tuple[str, ...]]]:
         # first quarter with a month-1 row and with targets; anchor = last common quarter
         "fb": (f"""SELECT greatest(CASE WHEN CAST(date_trunc('quarter', mb.lo) AS DATE) = mb.lo THEN mb.lo
                      ELSE CAST(date_trunc('quarter', mb.lo) + INTERVAL 3 MONTH AS DATE) END, qb.lo) AS first_q,
-    least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) AS anchor,
-    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) - INTERVAL {3 * (p.test_len - 1)} MONTH AS DATE) AS test_lo,
-    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi) - INTERVAL {3 * p.test_len} MONTH AS DATE) AS valid_hi,
-    CAST(least(CAST(date_trunc('quarter', mb.hi) AS DATE), qb.hi)
+    least(mb.full_q, qb.full_q) AS anchor,
+    CAST(least(mb.full_q, qb.full_q) - INTERVAL {3 * (p.test_len - 1)} MONTH AS DATE) AS test_lo,
+    CAST(least(mb.full_q, qb.full_q) - INTERVAL {3 * p.test_len} MONTH AS DATE) AS valid_hi,
+    CAST(least(mb.full_q, qb.full_q)
          - INTERVAL {3 * (p.test_len + p.valid_len - 1)} MONTH AS DATE) AS valid_lo
   FROM mb, qb""", ("mb", "qb")),
         "al": ("""SELECT tq.entity, tq.target, tq.date, tq.level, tq.y FROM tq, fb

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job here relies on.  Shuffle partitions default to the
-# core count locally; on a cluster set spark.sql.shuffle.partitions so one
-# post-shuffle partition holds ~128-256 MB, AQE coalesces the rest.
+# Settings every job here relies on.  On a cluster set spark.sql.shuffle.partitions
+# so that one post-shuffle partition holds ~128-256 MB; AQE coalesces the rest.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -23,11 +23,14 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "panelcast", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "panelcast", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the settings above.  Master and shuffle partitions are the cluster's own unless given."""
+    b = SparkSession.builder.appName(app)
+    b = b.master(master) if master else b
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -40,12 +43,15 @@ def build_session(master: str = "local[8]", app: str = "panelcast", shuffle_part
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a private scratch folder set.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    single-machine session (``local[...]``) gets a private folder, and a
+    cluster session fails: its executors could not share one.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

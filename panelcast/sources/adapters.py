@@ -5,9 +5,10 @@
 * ``panel_q``  (entity, target, date, level)      quarterly levels from lineitem
 * ``index_m``  (entity, indicator, date, value)   month-on-month index (base 100)
 
-An entity is ``<region key>|<market segment>``.  Every aggregation is
-pre-aggregated at the finest key first (map-side partial aggregation), so a
-customer or order holding a third of all rows collapses before any shuffle.
+An entity is ``<region key>|<market segment>``.  All rows of all dates are read.
+Fact rows cross one exchange, to learn their entity by a foreign key (a key that
+holds a third of all rows is a skewed join, which AQE splits); the sums per
+entity and month combine map-side.
 """
 
 from __future__ import annotations
@@ -17,56 +18,41 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.columns import before_day_after, cents, from_cents, month_start, quarter_start, round_fixed
-from panelcast.params import Params
+from panelcast.functions.columns import cents, from_cents, month_start, quarter_start, round_fixed
 from panelcast.sources.tables import read_table
 
 # Fixed labels of the monthly and quarterly measures built here.
 ORDER_INDICATORS = ("revenue", "orders", "avg_ticket", "net_flow")
-MARKET_INDICATORS = ("shipped_qty", "return_share")
+MARKET_INDICATORS = ("shipped_lines", "return_share")
 QUARTERLY_TARGETS = ("gmv", "net_sales", "qty")
 
 
 def entity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """custkey -> entity.  ``nation`` is a fixed 25-row dimension: broadcast-safe."""
+    """custkey -> entity (customer joined with the 25 nations)."""
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    return cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey).select(
+    return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
         F.col("c_custkey").alias("custkey"),
         F.concat(F.col("n_regionkey").cast("string"), F.lit("|"), F.col("c_mktsegment")).alias("entity"),
     )
 
 
-def _orders(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
-    if params.cut:
-        o = o.filter(before_day_after("o_orderdate", params.cut))
-    return o
+def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide monthly order measures per entity: (entity, date, rev_c, n_orders, flow_c, last_day).
 
-
-def _lineitem(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice",
-                    "l_discount", "l_returnflag", "l_shipdate")
-    if params.cut:
-        li = li.filter(before_day_after("l_shipdate", params.cut))
-    return li
-
-
-def order_months(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    """Wide monthly order measures per entity: (entity, date, rev_c, n_orders, flow_c)."""
-    o = _orders(spark, sf_dir, params)
+    Orders cross one exchange (custkey); the sums per entity and month combine before theirs.
+    """
+    o = read_table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = cents("o_totalprice")
     signed = F.when(F.col("o_orderstatus") == "F", c).when(F.col("o_orderstatus") == "O", -c).otherwise(F.lit(0).cast("long"))
-    per_cust = o.groupBy(F.col("o_custkey").alias("custkey"), month_start("o_orderdate").alias("date")).agg(
-        F.sum(c).alias("rev_c"), F.count(F.lit(1)).alias("n_orders"), F.sum(signed).alias("flow_c"))
-    joined = per_cust.join(entity_map(spark, sf_dir), "custkey")
-    return joined.groupBy("entity", "date").agg(
-        F.sum("rev_c").alias("rev_c"), F.sum("n_orders").alias("n_orders"), F.sum("flow_c").alias("flow_c"))
+    return (o.join(entity_map(spark, sf_dir), F.col("o_custkey") == F.col("custkey"))
+            .groupBy("entity", month_start("o_orderdate").alias("date")).agg(
+                F.sum(c).alias("rev_c"), F.count(F.lit(1)).alias("n_orders"), F.sum(signed).alias("flow_c"),
+                F.max(F.col("o_orderdate").cast("date")).alias("last_day")))
 
 
-def panel_m(spark: SparkSession, sf_dir: str, params: Params, om: DataFrame | None = None) -> DataFrame:
-    """Long monthly panel (entity, indicator, date, value) from orders."""
-    om = om if om is not None else order_months(spark, sf_dir, params)
+def panel_m(om: DataFrame) -> DataFrame:
+    """Long monthly panel (entity, indicator, date, value) from :func:`order_months`."""
     w = om.select(
         "entity", "date",
         from_cents("rev_c").alias("revenue"),
@@ -78,32 +64,29 @@ def panel_m(spark: SparkSession, sf_dir: str, params: Params, om: DataFrame | No
         "entity", "indicator", "date", "value")
 
 
-def _lines_by_order(spark: SparkSession, sf_dir: str, params: Params, bucket) -> DataFrame:
-    """lineitem pre-aggregated per (order, period) then mapped to entities."""
-    li = _lineitem(spark, sf_dir, params)
-    per_order = li.groupBy("l_orderkey", bucket("l_shipdate").alias("date")).agg(
-        F.sum(cents("l_extendedprice")).alias("gmv_c"),
-        F.sum(cents(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("net_c"),
-        F.sum(F.col("l_quantity").cast("long")).alias("qty"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("long")).otherwise(0)).alias("ret_qty"),
-    )
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    per_cust = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey).groupBy(
-        F.col("o_custkey").alias("custkey"), "date").agg(
-        *(F.sum(x).alias(x) for x in ("gmv_c", "net_c", "qty", "ret_qty")))
-    return per_cust.join(entity_map(spark, sf_dir), "custkey").groupBy("entity", "date").agg(
-        *(F.sum(x).alias(x) for x in ("gmv_c", "net_c", "qty", "ret_qty")))
-
-
-LINE_MEASURES = ("gmv_c", "net_c", "qty", "ret_qty")
+LINE_MEASURES = ("gmv_c", "net_c", "qty", "ret_qty", "n_lines")
 
 
-def line_months(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    """Wide monthly line measures per entity: (entity, date, gmv_c, net_c, qty, ret_qty).
+def line_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide monthly line measures per entity: (entity, date, gmv_c, net_c, qty, ret_qty, n_lines, last_day).
 
-    Every measure is an exact integer sum, so quarters roll up from months.
+    Orders learn their entity first; line items then cross one exchange (orderkey) and are summed per entity and
+    month, which combines before its exchange.  Every measure is an exact integer sum, so quarters roll up from months.
     """
-    return _lines_by_order(spark, sf_dir, params, month_start)
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_returnflag", "l_shipdate")
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    owner = (orders.join(entity_map(spark, sf_dir), F.col("o_custkey") == F.col("custkey"))
+             .select("o_orderkey", "entity"))
+    qty = F.col("l_quantity").cast("long")
+    return (li.join(owner, li.l_orderkey == owner.o_orderkey)
+            .groupBy("entity", month_start("l_shipdate").alias("date")).agg(
+                F.sum(cents("l_extendedprice")).alias("gmv_c"),
+                F.sum(cents(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("net_c"),
+                F.sum(qty).alias("qty"),
+                F.sum(F.when(F.col("l_returnflag") == "R", qty).otherwise(0)).alias("ret_qty"),
+                F.count(F.lit(1)).alias("n_lines"),
+                F.max(F.col("l_shipdate").cast("date")).alias("last_day")))
 
 
 def line_quarters(lm: DataFrame) -> DataFrame:
@@ -112,22 +95,23 @@ def line_quarters(lm: DataFrame) -> DataFrame:
         *(F.sum(x).alias(x) for x in LINE_MEASURES))
 
 
-def market_m(spark: SparkSession, sf_dir: str, params: Params, lm: DataFrame | None = None) -> DataFrame:
-    """Second monthly source (entity, indicator, date, value) from shipped lines."""
-    lm = lm if lm is not None else line_months(spark, sf_dir, params)
+def market_m(lm: DataFrame) -> DataFrame:
+    """Second monthly source (entity, indicator, date, value) from :func:`line_months`.
+
+    Its measures are counts and shares of lines, none of which adds up to a quarterly target.
+    """
     w = lm.select(
         "entity", "date",
-        F.col("qty").cast("double").alias("shipped_qty"),
+        F.col("n_lines").cast("double").alias("shipped_lines"),
         round_fixed(F.col("ret_qty").cast("double") / F.col("qty"), 6).alias("return_share"),
     )
     return w.unpivot(["entity", "date"], list(MARKET_INDICATORS), "indicator", "value").select(
         "entity", "indicator", "date", "value")
 
 
-def panel_q(spark: SparkSession, sf_dir: str, params: Params, lm: DataFrame | None = None) -> DataFrame:
-    """Long quarterly levels (entity, target, date, level) from lineitem."""
-    lq = line_quarters(lm) if lm is not None else _lines_by_order(spark, sf_dir, params, quarter_start)
-    w = lq.select(
+def panel_q(lm: DataFrame) -> DataFrame:
+    """Long quarterly levels (entity, target, date, level) from :func:`line_months`."""
+    w = line_quarters(lm).select(
         "entity", "date",
         from_cents("gmv_c").alias("gmv"),
         from_cents("net_c").alias("net_sales"),
@@ -147,21 +131,7 @@ def index_m(spine_m: DataFrame) -> DataFrame:
     )
 
 
-def month_bounds(spark: SparkSession, sf_dir: str, params: Params) -> tuple[dt.date, dt.date]:
-    """First and last month of order data (one-column scan, two scalars back)."""
-    o = _orders(spark, sf_dir, params)
-    r = o.agg(F.min(month_start("o_orderdate")).alias("lo"), F.max(month_start("o_orderdate")).alias("hi")).first()
-    return r["lo"], r["hi"]
-
-
-def quarter_bounds(spark: SparkSession, sf_dir: str, params: Params) -> tuple[dt.date, dt.date]:
-    """First and last quarter of ship dates (one-column scan, two scalars back)."""
-    li = _lineitem(spark, sf_dir, params)
-    r = li.agg(F.min(quarter_start("l_shipdate")).alias("lo"), F.max(quarter_start("l_shipdate")).alias("hi")).first()
-    return r["lo"], r["hi"]
-
-
-def bounds_of(monthly: DataFrame) -> tuple[dt.date, dt.date]:
-    """First and last month of an (entity, date, ...) aggregate: two scalars back."""
-    r = monthly.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    return r["lo"], r["hi"]
+def bounds_of(monthly: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
+    """First month, last month and last day of an (entity, date, ..., last_day) aggregate: three scalars back."""
+    r = monthly.agg(F.min("date").alias("lo"), F.max("date").alias("hi"), F.max("last_day").alias("last_day")).first()
+    return r["lo"], r["hi"], r["last_day"]

@@ -14,12 +14,9 @@ Row numbers follow a rule, not a global sort: block b of a sheet starts at
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.params import Params
-from panelcast.sources.adapters import order_months
-
 MONTH_COLS = [f"c{m}" for m in range(1, 13)]
 GRID_COLS = ["sheet", "row_no", "c0", *MONTH_COLS]
 
@@ -37,8 +34,8 @@ def cell_text(v, year, month):
             .otherwise(F.concat(F.lit(" "), plain, F.lit(" "))))
 
 
-def report_grid(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    om = order_months(spark, sf_dir, params)
+def report_grid(om: DataFrame) -> DataFrame:
+    """The grid of a monthly order aggregate (``PanelBuild.order_months``: one row per entity and month)."""
     parts = F.split(F.col("entity"), r"\|")
     cells = om.select(
         F.concat(F.lit("region_"), parts.getItem(0)).alias("sheet"),

@@ -1,12 +1,15 @@
-"""Forecast and metrics tables on storage.
+"""Forecast and metrics tables on storage.
 
-Forecasts are written partitioned by ``model`` and ``target`` so scoring a
-subset prunes whole folders; every write goes to a path the caller names
-(on a cluster: shared storage, never a machine-local folder).
+Forecasts are written partitioned by run, model and target, metrics by run, so
+reading a run or a model prunes whole folders; every write goes to a path the
+caller names (on a cluster: shared storage, never a machine-local folder).
+Writing replaces the partitions it holds rows for and leaves other runs alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +18,34 @@ from panelcast.operators.score import FORECASTS_SCHEMA, METRICS_COLUMNS
 FORECAST_COLUMNS = [f.name for f in FORECASTS_SCHEMA.fields]
 
 
+def _write(df: DataFrame, path: str, *keys: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
 def write_forecasts(forecasts: DataFrame, path: str) -> None:
-    """Uniform forecast records, one folder per (model, target)."""
-    forecasts.select(*FORECAST_COLUMNS).write.mode("overwrite").partitionBy("model", "target").parquet(path)
+    """Uniform forecast records, one folder per (run, model, target)."""
+    _write(forecasts.select(*FORECAST_COLUMNS), path, "run_id", "model", "target")
 
 
-def read_forecasts(spark: SparkSession, path: str, models: list[str] | None = None) -> DataFrame:
-    """Read back with the fixed schema; a model filter prunes partitions."""
+def read_forecasts(spark: SparkSession, path: str, models: list[str] | None = None, run_id: str | None = None,
+                   config: Mapping[str, object] | None = None) -> DataFrame:
+    """Read back with the fixed schema; run and model filters prune folders, ``config`` is column -> value."""
     df = spark.read.schema(FORECASTS_SCHEMA).parquet(path)
     if models:
         df = df.filter(F.col("model").isin(*models))
+    if run_id is not None:
+        df = df.filter(F.col("run_id") == run_id)
+    for column, value in (config or {}).items():
+        df = df.filter(F.col(column) == value)
     return df.select(*FORECAST_COLUMNS)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """The 8-column metrics record."""
-    metrics.select(*METRICS_COLUMNS).write.mode("overwrite").parquet(path)
+def write_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """The 8-column metrics record under its run."""
+    _write(metrics.select(*METRICS_COLUMNS, F.lit(run_id).alias("run_id")), path, "run_id")
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """S14."""
-    return spark.read.parquet(path).select(*METRICS_COLUMNS)
+def read_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """The metrics record with its run id."""
+    df = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    return (df if run_id is None else df.filter(F.col("run_id") == run_id)).select(*METRICS_COLUMNS, "run_id")

@@ -84,7 +84,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(REGISTRY)
-    spark = build_session("local[8]", "oracle-check")
+    spark = build_session("local[8]", "oracle-check", shuffle_partitions=8)
     con = duck(sf_dir)
     failed = 0
     for n in names:

@@ -16,16 +16,19 @@ def test_forecasts_round_trip_and_prune(spark, tmp_path):
     f = _bench(b)
     path = str(tmp_path / "forecasts")
     write_forecasts(f, path)
-    assert {d for d in os.listdir(path) if d.startswith("model=")} == {"model=mean4", "model=naive", "model=snaive"}
+    assert [d for d in os.listdir(path) if d.startswith("run_id=")] == ["run_id=bench"]
+    assert {d for d in os.listdir(f"{path}/run_id=bench") if "=" in d} == {"model=mean4", "model=naive", "model=snaive"}
     back = read_forecasts(spark, path, ["naive"])
     assert back.count() == f.filter(F.col("model") == "naive").count()
     assert "PartitionFilters: [isnotnull(model" in back._jdf.queryExecution().executedPlan().toString()
     lo, hi = b.test_bounds()
     m = metrics_table(back, b.actuals(), range(1, b.params.horizon + 1), lo, hi)
     mpath = str(tmp_path / "metrics")
-    write_metrics(m, mpath)
-    got = read_metrics(spark, mpath)
-    assert got.columns == list(METRICS_COLUMNS)
+    write_metrics(m, mpath, "first")
+    write_metrics(m.limit(1), mpath, "second")  # leaves the first run alone
+    got = read_metrics(spark, mpath, "first")
+    assert got.columns == [*METRICS_COLUMNS, "run_id"]
+    assert got.count() == m.count() and read_metrics(spark, mpath).count() == m.count() + 1
     rel = [r["rel_rmse_naive"] for r in got.collect() if r["rel_rmse_naive"] is not None]
     assert rel and all(abs(x - 1.0) < 1e-9 for x in rel)
 
@@ -43,3 +46,28 @@ def test_public_api_end_to_end(spark):
     board = api.leaderboard(api.score(b, f))
     rows = board.collect()
     assert rows and all(r["best_model"] == "sparse_linear" for r in rows)
+
+
+def test_output_orders(spark):
+    """The sinks' row order, which a multiset check cannot see."""
+    from panelcast.plans.catalog import REGISTRY
+
+    rows = [(r["target"], r["horizon"], -r["availability"], r["model"], r["features_type"]) for r in REGISTRY["metrics_table"](spark, SMOKE).collect()]
+    assert rows == sorted(rows) and len({r[2] for r in rows}) == 3
+    rows = [(r["model"], r["target"], r["features_type"], r["availability"], r["horizon"]) for r in REGISTRY["rmse_long"](spark, SMOKE).collect()]
+    assert rows == sorted(rows)
+    rows = [(r["target"], r["horizon"], r["availability"]) for r in REGISTRY["leaderboard"](spark, SMOKE).collect()]
+    assert rows == sorted(set(rows))
+
+
+def test_anchor_is_the_last_complete_quarter(spark):
+    import datetime as dt
+
+    from panelcast.operators.features import last_full_quarter
+    from panelcast.plans.catalog import build
+
+    day = dt.date
+    assert [last_full_quarter(d) for d in (day(2001, 9, 30), day(2001, 9, 29), day(2002, 1, 1))] == [day(2001, 7, 1), day(2001, 4, 1), day(2001, 10, 1)]
+    b = build(spark, SMOKE)
+    assert b.month_bounds[1] > b.anchor  # later months are read, and trimmed by the anchor only
+    assert b.panel_q().filter(F.col("date") > F.lit(b.anchor)).count() > 0
