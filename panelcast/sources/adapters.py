@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import cents, from_cents, month_start, quarter_start, round_fixed
+from panelcast.operators.calendar import densify
+from panelcast.operators.series import SERIES_KEYS
 from panelcast.sources.tables import read_table
 
 # Fixed labels of the monthly and quarterly measures built here.
@@ -131,6 +133,11 @@ def index_m(spine_m: DataFrame) -> DataFrame:
     )
 
 
+def month_spine(panel: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """A monthly panel on the dense spine between two months."""
+    return densify(panel, SERIES_KEYS, ["value"], lo, hi, 1)
+
+
 def bounds_of(monthly: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
     """First month, last month and last day of an (entity, date, ..., last_day) aggregate: three scalars back."""
     r = monthly.agg(F.min("date").alias("lo"), F.max("date").alias("hi"), F.max("last_day").alias("last_day")).first()
