@@ -113,21 +113,38 @@ def _signatures(p: ForestParams):
     return run
 
 
+def _heads(sig: bytes, order: np.ndarray, trees, depth: int) -> list[bytes]:
+    """The tree and the first ``depth`` values of the sorted label, per tree."""
+    s = np.frombuffer(sig, dtype=np.uint32).astype(">u4")
+    return [bytes([t]) + s[order[t, :depth]].tobytes() for t in trees]
+
+
+def _regions(p: ForestParams):
+    """Per class and tree the region's hash: light rows, to find the regions that several classes share."""
+    schema = pa.schema([("region", pa.int64()), ("tree", pa.int32()), ("id", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = _orders(p)
+        for b in batches:
+            yield from chunks(((xxhash.xxh3_64_intdigest(head) - (1 << 63), t, i)
+                               for i, sig in zip(b.column("id").to_pylist(), b.column("sig").to_pylist(), strict=True)
+                               for t, head in enumerate(_heads(sig, order, range(p.trees), p.depth))), schema)
+
+    return run
+
+
 def _labels(p: ForestParams):
-    """One row per tree: the region (tree and first ``depth`` values) and the whole sorted label, with the
-    first values in full and one byte of each later one."""
-    schema = pa.schema([("region", pa.int64()), ("label", pa.binary()), ("id", pa.int64())])
+    """Per class and listed tree the whole sorted label: the first values in full, one byte of each later one."""
+    schema = pa.schema([("label", pa.binary()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _orders(p)
 
         def rows(b: pa.RecordBatch):
-            for i, sig in zip(b.column("id").to_pylist(), b.column("sig").to_pylist(), strict=True):
-                s = np.frombuffer(sig, dtype=np.uint32)
-                low = (s & np.uint32(255)).astype(np.uint8)
-                for t in range(p.trees):
-                    head = bytes([t]) + s[order[t, :p.depth]].astype(">u4").tobytes()
-                    yield xxhash.xxh3_64_intdigest(head) - (1 << 63), head + low[order[t, p.depth:]].tobytes(), i
+            for i, sig, trees in zip(*(b.column(c).to_pylist() for c in ("id", "sig", "trees")), strict=True):
+                low = (np.frombuffer(sig, dtype=np.uint32) & np.uint32(255)).astype(np.uint8)
+                for t, head in zip(trees, _heads(sig, order, trees, p.depth), strict=True):
+                    yield head + low[order[t, p.depth:]].tobytes(), i
 
         for b in batches:
             yield from chunks(rows(b), schema)
@@ -321,9 +338,10 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
     linked = base.where("n > 0 AND doc_id IS NOT NULL")
     classes = cut(linked.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
 
-    label = cut(classes.select("id", "sig").mapInArrow(_labels(p), "region long, label binary, id long"))
-    shared = label.groupBy("region").count().where("count > 1").select("region")
-    forest = cut(label.join(shared, "region").select("label", "id"))
+    region = cut(classes.select("id", "sig").mapInArrow(_regions(p), "region long, tree int, id long"))
+    shared = region.groupBy("region").count().where("count > 1").select("region")
+    member = region.join(shared, "region").groupBy("id").agg(F.collect_list("tree").alias("trees"))
+    forest = cut(classes.select("id", "sig").join(member, "id").mapInArrow(_labels(p), "label binary, id long"))
     stars = (forest.repartitionByRange(slices, "label", "id").sortWithinPartitions("label", "id")
              .mapInArrow(_near_stars(p), "a long, b long"))
     cluster = components(stars).withColumnRenamed("component", "cluster")
