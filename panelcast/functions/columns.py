@@ -64,6 +64,7 @@ def safe_ln(x: str | Column) -> Column:
 
 
 def nan_to_null(x: str | Column) -> Column:
+    """NaN is a missing value, as NULL is (Q4)."""
     x = col(x)
     return F.when(~F.isnan(x), x)
 
@@ -142,6 +143,7 @@ def crps_gaussian(y: str | Column, mu: str | Column, sigma: str | Column) -> Col
 # reads the comma as the decimal point.
 KEEP_NUMERIC_CHARS = r"[^0-9,.\-]"
 FOOTNOTE_SUFFIX = r"\s+[0-9]{1,2}\)\s*$"
+EXPONENT_NUMBER = r"^\s*-?[0-9]+([.,][0-9]+)?[eE][-+]?[0-9]+\s*$"
 
 
 def clean_numeric_text(cell: str | Column, strict_reference: bool = False) -> Column:
@@ -149,11 +151,15 @@ def clean_numeric_text(cell: str | Column, strict_reference: bool = False) -> Co
 
     ``strict_reference=True`` reproduces the reference cleaning exactly
     (footnote digits are glued onto the number).  The default first cuts a
-    trailing footnote mark such as ``123,4 1)``.
+    trailing footnote mark such as ``123,4 1)`` and reads exponents (``1e-05``).
     """
     c = col(cell).cast("string")
     if not strict_reference:
         c = F.regexp_replace(c, FOOTNOTE_SUFFIX, "")
     kept = F.regexp_replace(F.regexp_replace(c, KEEP_NUMERIC_CHARS, ""), ",", ".")
     # only plain decimal literals: Spark would also accept 'NaN', '1d', ...
-    return F.when(kept.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"), kept.try_cast("double"))
+    plain = F.when(kept.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"), kept.try_cast("double"))
+    if strict_reference:
+        return plain
+    power = F.regexp_replace(F.trim(c), ",", ".").try_cast("double")
+    return F.when(c.rlike(EXPONENT_NUMBER), power).otherwise(plain)

@@ -247,7 +247,7 @@ class PanelBuild:
 
     @_memo
     def profile(self) -> DataFrame:
-        return positivity_profile(self.dense_m())
+        return positivity_profile(self.dense_m(), self.params.profile_until)
 
     @_memo
     def monthly_features(self) -> DataFrame:

@@ -40,6 +40,8 @@ class Params:
     gauss_scales: tuple[float, ...] = (0.5, 0.75, 1.0, 1.5, 2.0, 3.0)
     # Ours: model cells fitted at the same time (each fit is a series of Spark jobs).
     cell_parallelism: int = 4
+    # Ours: last date of the sample that decides on logs (None = the whole sample, as the reference).
+    profile_until: dt.date | None = None
     # Ours: thresholds of the null-count column filter (quarterly, monthly).
     max_nulls_q: int = 4
     max_nulls_m: int = 12

@@ -173,7 +173,10 @@ _NUM = r"CASE WHEN regexp_matches({k}, '^-?([0-9]+\.?[0-9]*|\.[0-9]+)$') THEN TR
 
 def _clean(raw: str, strict: bool) -> str:
     src = raw if strict else rf"regexp_replace({raw}, '\s+[0-9]{{1,2}}\)\s*$', '')"
-    return _NUM.format(k=_KEPT.format(src=src))
+    plain = _NUM.format(k=_KEPT.format(src=src))
+    if strict:
+        return plain
+    return rf"CASE WHEN regexp_matches({src}, '^\s*-?[0-9]+([.,][0-9]+)?[eE][-+]?[0-9]+\s*$') THEN TRY_CAST(replace(trim({src}), ',', '.') AS DOUBLE) ELSE {plain} END"
 
 
 GRID_CTES = {

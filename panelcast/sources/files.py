@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions.columns import nan_to_null
 from panelcast.operators.calendar import add_months
 from panelcast.operators.features import PanelBuild, _memo
 from panelcast.operators.series import chain_index
@@ -37,8 +38,7 @@ def _wide(spark: SparkSession, path: str, date: str, series: Sequence[str], enti
     else:
         raise ValueError(f"format must be csv or parquet, not {fmt!r}")
     who = F.col(entity).cast("string") if entity else F.lit(ONE)
-    # NaN is a missing value (Q4)
-    return df.select(who.alias("entity"), when.alias("date"), *(F.nanvl(F.col(s).cast("double"), F.lit(None)).alias(s) for s in series))
+    return df.select(who.alias("entity"), when.alias("date"), *(nan_to_null(F.col(s).cast("double")).alias(s) for s in series))
 
 
 def read_monthly(spark: SparkSession, path: str, series: Sequence[str], date: str = "date", entity: str | None = None,

@@ -57,3 +57,12 @@ def test_pivot_has_fixed_width(grid):
     wide = pivot_wide(clean_long(grid), ["Revenue", "Orders", "Absent"])
     assert wide.columns == ["sheet", "date", "Revenue", "Orders", "Absent"]
     assert wide.filter("Absent IS NOT NULL").count() == 0
+
+
+def test_exponents_are_numbers_unless_strict(spark):
+    from panelcast.functions.columns import clean_numeric_text
+
+    df = spark.createDataFrame([("1e-05",), ("2,5E3",), (" 12 ",), ("estimate 5",)], "raw string")
+    got = df.select(clean_numeric_text("raw").alias("v"), clean_numeric_text("raw", True).alias("s")).collect()
+    assert [r["v"] for r in got] == [1e-05, 2500.0, 12.0, 5.0]
+    assert [r["s"] for r in got] == [None, 2.53, 12.0, 5.0]
