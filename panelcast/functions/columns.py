@@ -23,18 +23,6 @@ def to_date(value: str | dt.date) -> Column:
     return F.lit(value).cast("date")
 
 
-def before_day_after(c: str | Column, last_day: str | dt.date) -> Column:
-    """``c <= last_day`` for a timestamp column, written as ``c < last_day + 1``.
-
-    Written against a ``timestamp_ntz`` literal so the predicate is sargable
-    and reaches the Parquet scan as a pushed filter.
-    """
-    if isinstance(last_day, str):
-        last_day = dt.date.fromisoformat(last_day)
-    nxt = (last_day + dt.timedelta(days=1)).isoformat()
-    return col(c) < F.lit(nxt).cast("timestamp_ntz")
-
-
 def month_start(c: str | Column) -> Column:
     return F.trunc(col(c).cast("date"), "month")
 
