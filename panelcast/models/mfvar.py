@@ -10,15 +10,18 @@ are pooled over the panel and estimated per rolling origin:
   (``mapInPandas``, one partial matrix per origin per task) and then per
   origin with one keyed aggregate, like a tree aggregate - no group is ever
   gathered in one place;
-* the Minnesota prior (own first lag ``ar1_prior``, tightness lambda1,
-  cross-shrinkage lambda2, lag decay lambda3, intercept lambda4) gives the
-  posterior mean equation by equation from those sums, on the driver (a
-  K x K system per origin, K fixed by the catalogue);
-* forecasts run per row (entity, origin) in ``mapInPandas``: the published
-  months of the origin quarter (availability a) condition the one-step
-  Gaussian forecast (ragged edge), later steps iterate the VAR; the band is
-  the Gaussian +-z interval of the forecast-error variance.
-Rows whose system cannot be solved are reported in a ``status`` column.
+* the Minnesota prior (own lag ``ar1_prior``, tightness lambda1,
+  cross-shrinkage lambda2, intercept lambda4) gives the posterior mean
+  equation by equation from those sums, on the driver (a K x K system per
+  origin; ``MAX_GRAM`` bounds what is collected, and the fit fails beyond it).
+  They do not depend on the availability and are computed once per build;
+* forecasts run over Arrow batches in ``mapInPandas``: the published months of
+  the origin quarter (availability a) condition the one-step Gaussian
+  forecast (ragged edge), later steps iterate the VAR; rows with the same
+  origin and published months share gains and covariances, so each such set is
+  a few matrix products.  The band is the 68% Gaussian interval.
+A ``status`` column tells rows with a complete state (ok) from the others
+(incomplete_state, singular, no_fit), which are not to be scored.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ from panelcast.models.design import safe_name
 from panelcast.models.factor import origin_dates
 from panelcast.operators.score import Z68
 
+# Cross-product entries that the driver may receive (about 100 bytes each).
+MAX_GRAM = 2_000_000
 GRAM_SCHEMA = "origin date, i int, j int, v double"
 OUT_SCHEMA = T.StructType([
     T.StructField("origin", T.DateType()), T.StructField("entity", T.StringType()),
@@ -100,46 +105,54 @@ def forecast_rows(now: DataFrame, coefs: dict, cols: list[str], observed: list[i
     """Per (entity, origin) row: ragged-edge conditioning, then H iterated steps."""
     K = len(cols)
     lag_cols = [f"lag_{c}" for c in cols]
+    names = [f.name for f in OUT_SCHEMA.fields]
+
+    def same_mask(o, entities, states, m, cur, obs, c, A, S):
+        """Rows of one origin whose published components are ``obs``."""
+        un = [i for i in range(K) if i not in obs]
+        v, P, singular = m.copy(), S.copy(), False
+        if obs:
+            try:
+                gain = np.linalg.solve(S[np.ix_(obs, obs)], S[np.ix_(obs, un)]).T
+                v[:, un] = m[:, un] + (cur[:, obs] - m[:, obs]) @ gain.T
+                v[:, obs] = cur[:, obs]
+                P = np.zeros((K, K))
+                P[np.ix_(un, un)] = S[np.ix_(un, un)] - gain @ S[np.ix_(obs, un)]
+            except np.linalg.LinAlgError:
+                v, singular = m.copy(), True
+        status = np.where(singular, "singular", states)
+        for h in range(1, horizon + 1):
+            if h > 1:
+                v = c + v @ A.T
+                P = A @ P @ A.T + S
+            for t in target_idx:
+                yield pd.DataFrame({"origin": o, "entity": entities, "target": cols[t], "horizon": h, "pred": v[:, t],
+                                    "sd": math.sqrt(max(P[t, t], 0.0)), "status": status}, columns=names)
 
     def per_task(batches):
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                rd = r._asdict()
-                o = rd["origin"]
+            parts = []
+            for o, g in pdf.groupby("origin", sort=False):
                 key = o.isoformat() if hasattr(o, "isoformat") else str(o)
+                entities = g["entity"].to_numpy()
                 if key not in coefs:
-                    for h in range(1, horizon + 1):
-                        for t in target_idx:
-                            out.append((o, rd["entity"], cols[t], h, None, None, "no_fit"))
+                    parts += [pd.DataFrame({"origin": o, "entity": entities, "target": cols[t], "horizon": h, "pred": None,
+                                            "sd": None, "status": "no_fit"}, columns=names)
+                              for h in range(1, horizon + 1) for t in target_idx]
                     continue
                 c, A, S = coefs[key]
-                z = np.array([rd[c_] for c_ in lag_cols], dtype=float)
-                cur = np.array([rd[c_] for c_ in cols], dtype=float)
-                status = "ok"
-                if np.isnan(z).any():
-                    status, z = "incomplete_state", np.nan_to_num(z)
-                m = c + A @ z
-                obs = [i for i in observed if not np.isnan(cur[i])]
-                un = [i for i in range(K) if i not in obs]
-                v, P = m.copy(), np.zeros((K, K))
-                try:
-                    if obs:
-                        gain = np.linalg.solve(S[np.ix_(obs, obs)], S[np.ix_(obs, un)]).T
-                        v[un] = m[un] + gain @ (cur[obs] - m[obs])
-                        v[obs] = cur[obs]
-                        P[np.ix_(un, un)] = S[np.ix_(un, un)] - gain @ S[np.ix_(obs, un)]
-                    else:
-                        P = S.copy()
-                except np.linalg.LinAlgError:
-                    status, P = "singular", S.copy()
-                for h in range(1, horizon + 1):
-                    if h > 1:
-                        v = c + A @ v
-                        P = A @ P @ A.T + S
-                    for t in target_idx:
-                        out.append((o, rd["entity"], cols[t], h, float(v[t]), math.sqrt(max(P[t, t], 0.0)), status))
-            yield pd.DataFrame(out, columns=[f.name for f in OUT_SCHEMA.fields])
+                z = g[lag_cols].to_numpy(dtype=float)
+                cur = g[cols].to_numpy(dtype=float)
+                states = np.where(np.isnan(z).any(axis=1), "incomplete_state", "ok")
+                m = c + np.nan_to_num(z) @ A.T
+                seen = ~np.isnan(cur[:, observed])
+                masks, which = np.unique(seen, axis=0, return_inverse=True)
+                for k, mask in enumerate(masks):
+                    rows = np.flatnonzero(which.ravel() == k)
+                    obs = [i for i, on in zip(observed, mask, strict=True) if on]
+                    parts += same_mask(o, entities[rows], states[rows], m[rows], cur[rows], obs, c, A, S)
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     return now.select("origin", "entity", *cols, *lag_cols).mapInPandas(per_task, OUT_SCHEMA)
 
@@ -156,14 +169,20 @@ def keep_components(wide: DataFrame, cols: list[str], always: set[str], max_null
     return [c for c in cols if c in always or r[c] / n_ent <= max_nulls]
 
 
-def fit_mfvar(build, availability: int, target_names: list[str], run_id: str) -> DataFrame:
+def _estimate(build, target_names: tuple[str, ...]) -> tuple[DataFrame, list[str], dict]:
+    """Rows exploded to their later origins, component names and coefficients per origin: once per build."""
+    memo = build.__dict__.setdefault("_var", {})
+    if target_names in memo:
+        return memo[target_names]
     p = build.freeze().params
-    H = p.horizon
-    origins = origin_dates(build.anchor, p.test_len, H)
-    wide, cols = stacked_panel(build, target_names)
+    origins = origin_dates(build.anchor, p.test_len, p.horizon)
+    wide, cols = stacked_panel(build, list(target_names))
     cols = keep_components(wide.filter(F.col("date") >= to_date(p.start_date)), cols,
                            {safe_name(t) for t in target_names}, p.max_nulls_q)
     K = len(cols)
+    n = 2 * K + 1
+    if len(origins) * n * (n + 1) // 2 > MAX_GRAM:
+        raise ValueError(f"{K} components at {len(origins)} origins are too many for this estimator; leave indicators out")
     w = Window.partitionBy("entity").orderBy("date")
     lagged = wide.select("entity", "date", *cols, *(F.lag(c, 1).over(w).alias(f"lag_{c}") for c in cols))
     lagged = lagged.filter(F.col("date") >= to_date(p.start_date))
@@ -171,10 +190,8 @@ def fit_mfvar(build, availability: int, target_names: list[str], run_id: str) ->
     ex = lagged.withColumn("origin", F.explode(F.filter(o_arr, lambda o: o >= F.col("date"))))
     lag_cols = [f"lag_{c}" for c in cols]
     train = ex.filter(F.col("date") < F.col("origin")).na.drop("any", subset=cols + lag_cols)  # P16
-    gram = partial_gram(train, lag_cols + cols).collect()  # origins x (2K+1)(2K+2)/2 numbers
-    n = 2 * K + 1
     mats: dict = {}
-    for g in gram:
+    for g in partial_gram(train, lag_cols + cols).collect():  # at most MAX_GRAM numbers
         M = mats.setdefault(g["origin"].isoformat(), np.zeros((n, n)))
         M[g["i"], g["j"]] = M[g["j"], g["i"]] = g["v"]
     coefs = {}
@@ -184,6 +201,13 @@ def fit_mfvar(build, availability: int, target_names: list[str], run_id: str) ->
                 coefs[key] = minnesota(G, K, p)
             except np.linalg.LinAlgError:
                 pass
+    memo[target_names] = ex, cols, coefs
+    return memo[target_names]
+
+
+def fit_mfvar(build, availability: int, target_names: list[str], run_id: str) -> DataFrame:
+    H = build.params.horizon
+    ex, cols, coefs = _estimate(build, tuple(target_names))
     targets = set(target_names)
     target_idx = [i for i, c in enumerate(cols) if c in {safe_name(t) for t in targets}]
     observed = [i for i, c in enumerate(cols) if i not in target_idx and int(c.rsplit("_m", 1)[1]) <= availability]

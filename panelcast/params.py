@@ -23,13 +23,10 @@ class Params:
     gauss_learning_rate: float = 0.01
     gauss_depth: int = 2
     factor_k_grid: tuple[int, ...] = (1, 2)
-    var_lags: int = 3
     var_ar1_prior: float = 0.7
     var_lambda1: float = 0.1
     var_lambda2: float = 0.5
-    var_lambda3: float = 1.0
     var_lambda4: float = 100.0
-    var_band: float = 0.68
     # Ours: relative improvement on the valid rows below which boosting stops.
     boost_tolerance: float = 0.01
     gauss_tolerance: float = 0.01

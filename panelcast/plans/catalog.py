@@ -375,7 +375,7 @@ def _quarter_end_records(b) -> DataFrame:
     r = r.filter(F.col("date").between(F.lit(lo), F.lit(hi)) & F.col("s.median").isNotNull())
     return r.select("entity", F.add_months("date", 2).alias("fcst_date"), F.col("s.median").alias("median"),
                     F.col("target").alias("variable"), F.col("s.horizon").alias("horizon"),
-                    F.lit(b.params.var_lags).alias("p"),
+                    F.lit(1).alias("p"),
                     F.explode(F.array(*(F.lit(a) for a in AVAILABILITIES))).alias("availability"))
 
 

@@ -59,3 +59,39 @@ def test_grid_runner_unions_cells(spark):
 
     out = run_grid(b, [Cell("d12", 3, "gmv_log_d4", h) for h in (1, 2)], fake, "x")
     assert len(seen) == 2 and out.count() == 0
+
+
+def test_var_forecast_equals_a_plain_row_by_row_computation(spark):
+    import datetime as dt
+    import math
+
+    import numpy as np
+
+    from panelcast.models.mfvar import forecast_rows
+
+    rng, k, h = np.random.default_rng(0), 4, 3
+    cols = ["t_a", "x_m1", "x_m2", "y_m1"]
+    observed, o = [1, 3], dt.date(2000, 1, 1)
+    b = rng.normal(size=(k, k))
+    c, a, s = rng.normal(size=k), rng.normal(size=(k, k)) * 0.2, b @ b.T + np.eye(k)
+    rows = [(o, f"e{i}", *(float(x) for x in rng.normal(size=2 * k))) for i in range(6)]
+    rows[2] = (*rows[2][:3], None, *rows[2][4:])                  # one published month missing
+    rows.append((dt.date(2001, 1, 1), "late", *rows[0][2:]))       # an origin without coefficients
+    df = spark.createDataFrame(rows, "origin date, entity string, " + ", ".join(f"{x} double" for x in [*cols, *(f"lag_{x}" for x in cols)]))
+    got = {(r["entity"], r["horizon"]): r for r in forecast_rows(df, {o.isoformat(): (c, a, s)}, cols, observed, [0], h).collect()}
+    assert {got["late", i]["status"] for i in (1, 2, 3)} == {"no_fit"}
+    for _, e, *x in rows[:-1]:
+        cur, z = x[:k], np.array(x[k:])
+        obs = [i for i in observed if cur[i] is not None]
+        un = [i for i in range(k) if i not in obs]
+        m = c + a @ z
+        gain = s[np.ix_(un, obs)] @ np.linalg.inv(s[np.ix_(obs, obs)])
+        v, p = m.copy(), np.zeros((k, k))
+        v[obs] = [cur[i] for i in obs]
+        v[un] = m[un] + gain @ (v[obs] - m[obs])
+        p[np.ix_(un, un)] = s[np.ix_(un, un)] - gain @ s[np.ix_(obs, un)]
+        for i in range(1, h + 1):
+            if i > 1:
+                v, p = c + a @ v, a @ p @ a.T + s
+            r = got[e, i]
+            assert (r["status"], r["pred"], r["sd"]) == ("ok", pytest.approx(v[0]), pytest.approx(math.sqrt(p[0, 0])))
