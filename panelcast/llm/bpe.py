@@ -101,28 +101,11 @@ class SuffixAutomaton:
         return cur
 
 
-class Pieces(dict):
-    """piece of text -> its token ids; bounded."""
-
-    limit = 200_000
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= self.limit:
-            self.clear()
-        got = self.encode(piece.encode())
-        if len(piece) <= 64:
-            self[piece] = got
-        return got
-
-
 class Bpe:
-    """A byte-level vocabulary: ``ids(text)`` and ``text(ids)``."""
+    """A byte-level vocabulary: ``ids(texts)`` and ``text(ids)``."""
 
-    pair_limit = 400_000
+    piece_limit = 80_000   # pieces of text whose ids are kept
+    pair_limit = 200_000    # token pairs whose compatibility is kept
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -147,7 +130,7 @@ class Bpe:
         reachable = [(b, i) for i, b in self.bytes_of.items() if i in self.parts or (len(b) == 1 and i not in self.special.values())]
         self.automaton = SuffixAutomaton(reachable)
         self.compatible: dict[int, bool] = {}  # both ids in one number
-        self.pieces = Pieces(self.encode_piece)
+        self.pieces: dict[str | int, tuple[int, ...]] = {}
         low, full = _piece_patterns(path)
         self.find_low, self.find_full = low.findall, full.findall
 
@@ -175,56 +158,87 @@ class Bpe:
                     return False
         return True
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def encode_pieces(self, pieces: list[bytes]) -> Iterator[tuple[int, ...]]:
+        """The ids of each piece.  What is stored for a prefix serves the next piece as far as the two agree,
+        so sorted pieces cost their new bytes only."""
         sa, pairs = self.automaton, self.compatible
-        if len(pairs) > self.pair_limit:
-            pairs.clear()
         nxt, link, length, matches = sa.next, sa.link, sa.length, sa.matches
-        last: list[tuple[int, int]] = [(0, -1)]  # per prefix: length and id of its last token
-        state = matched = 0
-        for end, c in enumerate(piece, 1):
-            while c not in nxt[state]:
-                state = link[state]
-                matched = length[state]
-            state = nxt[state][c]
-            matched += 1
-            for found in matches[state]:
-                size, t = found
-                if size > matched:
-                    continue
-                if size == end:
+        before = b""
+        # per prefix: the automaton's state, the bytes it has matched, and (length, id) of the last token
+        path: list[tuple[int, int, tuple[int, int]]] = [(0, 0, (0, 0))]
+        for piece in pieces:
+            if len(pairs) > self.pair_limit:
+                pairs.clear()
+            same = 0
+            for x, y in zip(before, piece):
+                if x != y:
                     break
-                before = last[end - size][1]
-                key = before << 32 | t
-                ok = pairs.get(key)
-                if ok is None:
-                    ok = pairs[key] = self.can_follow(before, t)
-                if ok:
-                    break
-            else:
-                raise ValueError(f"no token ends at byte {end} of {piece!r}")
-            last.append(found)
-        out, end = [], len(piece)
-        while end:
-            size, t = last[end]
-            out.append(t)
-            end -= size
-        out.reverse()
-        return tuple(out)
-
-    def ids(self, text: str) -> list[int]:
+                same += 1
+            del path[same + 1:]
+            before = piece
+            state, matched, _ = path[same]
+            for end in range(same + 1, len(piece) + 1):
+                c = piece[end - 1]
+                step = nxt[state].get(c)
+                while step is None:
+                    state = link[state]
+                    matched = length[state]
+                    step = nxt[state].get(c)
+                state = step
+                matched += 1
+                for found in matches[state]:
+                    size, t = found
+                    if size > matched:
+                        continue
+                    if size == end:
+                        break
+                    key = path[end - size][2][1] << 32 | t
+                    ok = pairs.get(key)
+                    if ok is None:
+                        ok = pairs[key] = self.can_follow(path[end - size][2][1], t)
+                    if ok:
+                        break
+                else:
+                    raise ValueError(f"no token ends at byte {end} of {piece!r}")
+                path.append((state, matched, found))
+            out, end = [], len(piece)
+            while end:
+                size, t = path[end][2]
+                out.append(t)
+                end -= size
+            out.reverse()
+            yield tuple(out)
+
+    def _split(self, text: str) -> list[str | int]:
+        """The text's pieces in order; special tokens as their ids."""
         # one code unit a character in UTF-16: nothing beyond the basic plane
         find = self.find_low if text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text) else self.find_full
         if self.special_split is None or not any(s in text for s in self.special):
-            return list(chain.from_iterable(map(self.pieces.__getitem__, find(text))))
-        out: list[int] = []
+            return find(text)
+        out: list[str | int] = []
         for part in self.special_split.split(text):
             if part in self.special:
                 out.append(self.special[part])
             else:
-                out.extend(chain.from_iterable(map(self.pieces.__getitem__, find(part))))
+                out.extend(find(part))
         return out
 
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """The ids of every text.  Pieces that are not known yet are encoded together, in sorted order."""
+        split = [self._split(t) for t in texts]
+        wanted = set().union(*split)
+        new = wanted.difference(self.pieces)
+        if len(self.pieces) + len(new) > self.piece_limit:
+            self.pieces.clear()
+            new = wanted
+        for i in [x for x in new if isinstance(x, int)]:
+            self.pieces[i] = (i,)
+            new.discard(i)
+        raw = sorted((w.encode(), w) for w in new)
+        self.pieces.update(zip((w for _, w in raw), self.encode_pieces([r for r, _ in raw])))
+        known = self.pieces.__getitem__
+        return [list(chain.from_iterable(map(known, pieces))) for pieces in split]
+
     def text(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -291,55 +305,71 @@ def token_bytes(path: str) -> dict[int, bytes]:
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs``, all columns, with the token ids of ``text`` as an array column ``out``."""
-    return _mapped(docs, text, out, "array<int>", pa.list_(pa.int32()), functools.partial(_encoder, path or default_vocabulary()),
-                   lambda r: 4 * len(r))
+    path = path or default_vocabulary()
+    return _mapped(docs, text, {out: _IDS}, lambda: _encoder(path))
 
 
 def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows``, all columns, with the text of the token ids as a column ``out``."""
-    return _mapped(rows, ids, out, "string", pa.string(), functools.partial(_decoder, path or default_vocabulary()), len)
+    path = path or default_vocabulary()
+    return _mapped(rows, ids, {out: _TEXT}, lambda: _decoder(path))
+
+
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs``, all columns, with the ids of ``text`` and the text of those ids, in one pass through one worker."""
+    path = path or default_vocabulary()
+
+    def both():
+        there, back = _encoder(path), _decoder(path)
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            found = there(texts)
+            return [*found, *back(found[0])]
+
+        return run
+
+    return _mapped(docs, text, {ids: _IDS, decoded: _TEXT}, both)
+
+
+_IDS, _TEXT = ("array<int>", pa.list_(pa.int32())), ("string", pa.string())
+GROUP_BYTES = 2 << 20
 
 
 def _encoder(path: str):
     bpe = load(path)
-    return lambda text: bpe.ids(text) if text else []
+    return lambda texts: [pa.array(bpe.ids([t or "" for t in texts.to_pylist()]), _IDS[1])]
 
 
 def _decoder(path: str):
     known = token_bytes(path).__getitem__
-    return lambda ids: b"".join(map(known, ids.tolist() if ids is not None else ())).decode("utf-8", "replace")
 
+    def run(ids: pa.Array) -> list[pa.Array]:
+        return [pa.array([b"".join(map(known, x or ())).decode("utf-8", "replace") for x in ids.to_pylist()], pa.string())]
+
+    return run
 
-def _mapped(df: DataFrame, source: str, out: str, kind: str, arrow: pa.DataType, make, weight) -> DataFrame:
-    """``df`` with one more column computed from ``source``, batch by batch and in bounded pieces."""
-    if out.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"the input has a column {out!r} already; choose another name")
+
+def _mapped(df: DataFrame, source: str, outs: dict[str, tuple[str, pa.DataType]], make) -> DataFrame:
+    """``df`` with more columns computed from ``source``, in groups of about ``GROUP_BYTES`` of it."""
+    if clash := {o.lower() for o in outs} & {c.lower() for c in df.columns}:
+        raise ValueError(f"the input has columns {sorted(clash)} already; choose other names")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = make()
+        many = make()
         for b in batches:
             col = b.column(b.schema.get_field_index(source))
-            numbers = pa.types.is_list(col.type)
-            start, held, got = 0, 0, []
-            for i in range(len(col)):
-                v = col[i]
-                v = (v.values.to_numpy(zero_copy_only=False) if numbers else v.as_py()) if v.is_valid else None
-                got.append(one(v))
-                held += weight(got[-1])
-                if held >= 8 << 20 or i + 1 == len(col):
-                    part = b.slice(start, i + 1 - start)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, arrow)], names=[*part.schema.names, out])
-                    start, held, got = i + 1, 0, []
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), f"`{out}` {kind}"])
+            rows = max(1, len(col) * GROUP_BYTES // max(1, col.nbytes))
+            for start in range(0, len(col), rows):
+                part = b.slice(start, rows)
+                yield pa.RecordBatch.from_arrays([*part.columns, *many(col.slice(start, rows))], names=[*part.schema.names, *outs])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{o}` {k}" for o, (k, _) in outs.items())])
     return df.mapInArrow(run, schema)
 
 
 def op1_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
     """Every whole text of ``documents`` encoded and decoded again, as digests."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    ids = encode(docs).drop("text")
-    done = decode(ids)
+    done = round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

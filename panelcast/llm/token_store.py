@@ -94,11 +94,15 @@ def _sequences(path: str, p: StoreParams):
         own = bpe.load(path)
 
         def rows(b: pa.RecordBatch):
-            for i, t in zip(b.column("doc_id").to_pylist(), text_bytes(b, "text"), strict=True):
-                ids = np.array([*own.ids(t.decode()), p.end_token], dtype=p.dtype)
-                for part, at in enumerate(range(0, len(ids), p.seq_len)):
-                    seq = ids[at:at + p.seq_len]
-                    yield i, part, len(seq), seq.tobytes()
+            size = max(1, b.num_rows * bpe.GROUP_BYTES // max(1, b.nbytes))
+            for start in range(0, b.num_rows, size):
+                some = b.slice(start, size)
+                texts = [t.decode() for t in text_bytes(some, "text")]
+                for i, found in zip(some.column("doc_id").to_pylist(), own.ids(texts), strict=True):
+                    ids = np.array([*found, p.end_token], dtype=p.dtype)
+                    for part, at in enumerate(range(0, len(ids), p.seq_len)):
+                        seq = ids[at:at + p.seq_len]
+                        yield i, part, len(seq), seq.tobytes()
 
         for b in batches:
             yield from chunks(rows(b), schema, size=4_000)

@@ -40,7 +40,7 @@ def test_round_trip_resume_and_fixed_stride(spark, frame, tmp_path):
         got.setdefault(r["doc_id"], []).append((r["part"], back[r["slot"]][:r["n_ids"]]))
     want = {}
     for i, t, _ in rows:
-        ids = [*own.ids(t or ""), p.end_token]
+        ids = [*own.ids([t or ""])[0], p.end_token]
         want.setdefault(i, []).extend((k // 8, ids[k:k + 8]) for k in range(0, len(ids), 8))
     assert {i: sorted(v) for i, v in got.items()} == {i: sorted(v) for i, v in want.items()}
     part = {r["slot"]: r["ids"] for r in T.read(spark, folder, p, first=7, last=18).collect()}
@@ -56,7 +56,7 @@ def test_query_stores_the_whole_table(spark):
     own = bpe.load(bpe.default_vocabulary())
     want = set()
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
-        ids = [*own.ids(r["text"] or ""), 50256]
+        ids = [*own.ids([r["text"] or ""])[0], 50256]
         want |= {(r["doc_id"], k // 512, sha(",".join(map(str, ids[k:k + 512])))) for k in range(0, len(ids), 512)}
     got = T.op5_token_shards(spark, SF).collect()
     assert {(r["doc_id"], r["part"], r["ids_sha256"]) for r in got} == want and len(got) == len(want)
