@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its token ids, their count, and whether decoding them gives the text again."""
-    done = bpe.decode(bpe.encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    done = bpe.round_trip(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.col("decoded") == F.col("text")).alias("round_trip"))
 
