@@ -75,7 +75,7 @@ def bitmap(tokens: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of the column ``token``, built by a grouped aggregate; at most 2**bits / 64 rows reach the driver."""
     slot = F.col("token").bitwiseAND((1 << bits) - 1)
     got = (tokens.groupBy(F.shiftright(slot, 6).alias("at"))
-           .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(token & 63 as int))")).alias("v")).toPandas())
+           .agg(F.bit_or(F.expr("shiftleft(1L, cast(token & 63 as int))")).alias("v")).toPandas())
     out = np.zeros(1 << (bits - 6), dtype=np.int64)
     out[got["at"].to_numpy()] = got["v"].to_numpy()
     return out.view(np.uint8)
@@ -143,16 +143,6 @@ def _candidates(widths: list[int], p: DecontaminationParams, shared):
     return run
 
 
-def _covered(spans) -> "int":
-    total, end = 0, 0
-    for start, size in sorted(spans):
-        stop = start + size
-        if stop > end:
-            total += stop - max(start, end)
-            end = stop
-    return total
-
-
 def hit_report(docs: DataFrame, benchmark: DataFrame, p: DecontaminationParams = DecontaminationParams(),
                doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(row, doc_id, n_words, n_hit, n_items, items, contaminated)`` for every row of ``docs``.

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import chunks, cut, table, text_bytes
+from panelcast.llm.common import cut, table, text_bytes
 
 _MARKS = re.compile(rb"^(?:[ \t]*>)+[ \t]?")
 
