@@ -104,8 +104,8 @@ class SuffixAutomaton:
 class Bpe:
     """A byte-level vocabulary: ``ids(texts)`` and ``text(ids)``."""
 
-    piece_limit = 80_000   # pieces of text whose ids are kept
-    pair_limit = 200_000    # token pairs whose compatibility is kept
+    piece_limit = 450_000   # pieces of text whose ids are kept
+    pair_limit = 500_000    # token pairs whose compatibility is kept
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
