@@ -11,17 +11,20 @@
    neighbours across a cut, the longest common prefix there, are still compared.
 3. Candidate clusters (connected components of the stars) are confirmed on the full shingle sets: each
    cluster is searched breadth-first with exact intersections, and gives a star per true component.
-   A cluster of more than ``piece_shingles`` shingles is split into pieces by deepening its trees until
-   each fits; the cluster's hub, the class closest to its modal signature, is added to every piece.
-4. The confirmed stars' components are the result.
+   A cluster of more than ``piece_shingles`` shingles is first split into pieces by deepening
+   ``piece_trees`` trees until each fits, with the cluster's hub, the class closest to its modal
+   signature, in every piece.  That only settles most links cheaply; every pair of classes that is still
+   in different components is then searched by an exact prefix-filtered join of the full sets, its hot
+   shingles salted, and checked by exact intersection.
+4. The confirmed links' components are the result.
 
 A pair at the threshold of 0.8 shares a region in at least one tree with probability
 1 - (1 - 0.8**3)**24 > 0.9999999, and then only has to be connected by signature, not adjacent.
-Within the bounds above no link is lost; beyond ``piece_shingles`` two documents that neither link to
-the hub nor share a piece in any tree may stay apart (see README for measured recall).
+Confirmation loses no link, whatever the size of the cluster.
 
-Bounds: rows a class are trees + 2; a task holds a region chunk of ``region_rows`` signatures or a
-piece; nothing is collected to the driver.  Hot keys: exact copies collapse map-side; a hot region is
+Bounds: rows a class are trees + 2, and in an oversized cluster ``piece_trees`` sets and a prefix of about
+a fifth of its shingles; a task holds a region chunk of ``region_rows`` signatures or a piece; the driver
+receives at most ``common_shingles`` hashes, which only order the prefixes.  Hot keys: exact copies collapse map-side; a hot region is
 range-partitioned by its deeper labels.
 
 Defined cases: null and empty texts have an empty set and link with nothing; a null ``doc_id`` is never
@@ -53,6 +56,10 @@ class ForestParams:
     near_pct: int = 58              # signature agreement of a candidate link (0.8 less five standard errors)
     region_rows: int = 4096
     piece_shingles: int = 1 << 22   # 32 MB of hashes
+    piece_trees: int = 4            # trees an oversized cluster is first split by
+    order_sample: int = 20_000      # sets whose common shingles go last in the prefix order
+    common_shingles: int = 100_000
+    salt_rows: int = 4096           # entries of a shingle that one task pairs with all the others
     seed: int = 20240601
 
 
@@ -273,16 +280,17 @@ def _confirm(p: ForestParams):
     return run
 
 
-def _pieces(cluster: DataFrame, classes: DataFrame, p: ForestParams) -> DataFrame:
-    """``(id, piece)``: clusters that fit are one piece; larger ones go by ever deeper labels, each tree anew."""
+def _pieces(cluster: DataFrame, classes: DataFrame, p: ForestParams) -> tuple[DataFrame, DataFrame | None]:
+    """``(id, piece)``, and the members of the oversized clusters, if any.
+
+    Clusters that fit are one piece; larger ones go by ever deeper labels, each tree anew."""
     weight = cluster.groupBy("cluster").agg(F.sum("n").alias("total"))
     big = cut(weight.where(F.col("total") > p.piece_shingles))
     whole = cluster.join(big, "cluster", "left_anti").select("id", F.xxhash64("cluster").alias("piece"))
     if big.isEmpty():
-        return whole
+        return whole, None
     member = cut(cluster.join(big, "cluster").join(classes.select("id", "sig"), "id"))
-    out = whole.unionByName(_hub_rows_and_deep(member, p))
-    return out
+    return whole.unionByName(_hub_rows_and_deep(member, p)), member.select("id").distinct()
 
 
 def _hub_rows_and_deep(member: DataFrame, p: ForestParams) -> DataFrame:
@@ -299,14 +307,15 @@ def _hub_rows_and_deep(member: DataFrame, p: ForestParams) -> DataFrame:
     for depth in range(1, p.hashes + 1):
         key = F.xxhash64("cluster", "tree", F.substring(F.col("label"), 1, depth))
         rows = rows.withColumn("piece", key)
-        over = cut(rows.groupBy("piece").agg(F.sum("n").alias("total")).where(F.col("total") > p.piece_shingles).select("piece"))
+        over = cut(rows.groupBy("piece").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"))
+                   .where((F.col("total") > p.piece_shingles) & (F.col("rows") > 1)).select("piece"))
         fits = rows.join(over, "piece", "left_anti").select("id", "piece", "cluster")
         done = fits if done is None else done.unionByName(fits)
         if over.isEmpty():
             rows = spark.createDataFrame([], rows.schema)
             break
         rows = cut(rows.join(over, "piece", "left_semi"))
-    # classes with equal labels throughout: any share of them will do, the hub joins the shares
+    # classes with equal labels throughout: any share of them will do, the exact join finds what is left
     rest = rows.select("id", F.xxhash64("piece", F.pmod(F.xxhash64("id"), F.lit(64))).alias("piece"), "cluster")
     done = cut(done.unionByName(rest))
     hubs = done.select("piece", "cluster").distinct().join(hub, "cluster").select("id", "piece")
@@ -322,13 +331,102 @@ def _tree_labels(p: ForestParams):
             def rows(b=b):
                 for i, c, n, sig in zip(*(b.column(x).to_pylist() for x in ("id", "cluster", "n", "sig")), strict=True):
                     low = (np.frombuffer(sig, dtype=np.uint32) & np.uint32(255)).astype(np.uint8)
-                    for t in range(p.trees):
+                    for t in range(min(p.piece_trees, p.trees)):
                         yield i, c, n, t, low[order[t]].tobytes()
             yield from chunks(rows(), schema)
 
     return run
 
 
+def _common(sets: DataFrame, p: ForestParams) -> tuple[np.ndarray, np.ndarray]:
+    """The common shingles of a sample of ``sets``, sorted, and their counts.  They order the prefixes only."""
+    n = max(1, sets.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in b.column("shingles").to_pylist():
+                yield pa.record_batch({"s": pa.array(np.frombuffer(s, dtype=np.int64))})
+
+    part = sets.select("shingles").sample(fraction=min(1.0, p.order_sample / n), seed=p.seed)
+    top = (part.mapInArrow(run, "s long").groupBy("s").count().where("count > 1")
+           .orderBy(F.desc("count"), "s").limit(p.common_shingles).orderBy("s").toArrow())
+    return top.column("s").to_numpy().view(U64), top.column("count").to_numpy()
+
+
+def _prefixes(p: ForestParams, common):
+    """Per set its first shingles, rarest first: two sets at the threshold share one of them."""
+    schema = pa.schema([("s", pa.int64()), ("id", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()), ("at", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = common.value
+        order = np.argsort(known)
+        known, count = known[order], count[order]
+
+        def rows(b: pa.RecordBatch):
+            for i, c, raw in zip(*(b.column(x).to_pylist() for x in ("id", "comp", "shingles")), strict=True):
+                s = np.frombuffer(raw, dtype=U64)
+                rank = np.zeros(len(s), dtype=np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    rank = np.where(known[at] == s, count[at], 0)
+                first = s[np.lexsort((s, rank))[:len(s) + (-p.threshold_pct * len(s)) // 100 + 1]]
+                for k, x in enumerate(first.view(np.int64).tolist()):
+                    yield x, i, c, len(s), k
+
+        for b in batches:
+            yield from chunks(rows(b), schema)
+
+    return run
+
+
+def _verified(p: ForestParams):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(b: pa.RecordBatch):
+            for i, j, x, y in zip(*(b.column(c).to_pylist() for c in ("a", "b", "x", "y")), strict=True):
+                x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if (100 + p.threshold_pct) * shared >= p.threshold_pct * (len(x) + len(y)):
+                    yield i, j
+
+        for b in batches:
+            yield from chunks(rows(b), schema)
+
+    return run
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """``df`` without the plan statistics that checkpoints carry on; with them the later rounds of
+    ``components`` took seconds each on 24 rows, probably because every join multiplies the size estimates."""
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
+
+
+def _rest_links(docs: DataFrame, member: DataFrame, comp: DataFrame, p: ForestParams) -> DataFrame:
+    """All links ``(a, b)`` among ``member(id)`` between different components of ``comp(id, component)``.
+
+    Two sets at the threshold share a shingle among their first ones in any common order, and at the first
+    one they share both have enough shingles left; the pairs that pass are checked on the whole sets.
+    """
+    sets = (docs.withColumnRenamed("doc_id", "id").join(member, "id").mapInArrow(_shingle_sets(p), "id long, shingles binary")
+            .where(F.length("shingles") > 0))
+    sets = cut(sets.join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("comp"), "shingles"))
+    common = docs.sparkSession.sparkContext.broadcast(_common(sets, p))
+    entry = cut(sets.mapInArrow(_prefixes(p, common), "s long, id long, comp long, n long, at long"))
+    open_ = (entry.groupBy("s").agg(F.count(F.lit(1)).alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+             .where("low < high").select("s", F.ceil(F.col("rows") / F.lit(p.salt_rows)).cast("long").alias("salts")))
+    entry = cut(entry.join(open_, "s"))
+    x = entry.select("s", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), F.col("id").alias("a"),
+                     F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    y = entry.select("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("id").alias("b"),
+                     F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+    enough = F.expr(f"{100 + p.threshold_pct} * least(na - ia, nb - ib) >= {p.threshold_pct} * (na + nb)")
+    pair = x.join(y, ["s", "salt"]).where((F.col("ca") < F.col("cb")) & enough).select("a", "b").distinct()
+    one, other = (sets.select(F.col("id").alias(i), F.col("shingles").alias(v)) for i, v in (("a", "x"), ("b", "y")))
+    return pair.join(one, "a").join(other, "b").mapInArrow(_verified(p), "a long, b long")
+
+
 def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -347,11 +445,14 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
     cluster = components(stars).withColumnRenamed("component", "cluster")
     cluster = cut(cluster.join(classes.groupBy("id").agg(F.max("n").alias("n")), "id"))
 
-    piece = cut(_pieces(cluster, classes, p))
+    piece, oversized = _pieces(cluster, classes, p)
+    piece = cut(piece)
     sets = (docs.join(piece.select(F.col("id").alias("doc_id")).distinct(), "doc_id")
             .withColumnRenamed("doc_id", "id").mapInArrow(_shingle_sets(p), "id long, shingles binary"))
-    links = piece.join(sets, "id").groupBy("piece").applyInArrow(_confirm(p), "a long, b long")
+    links = cut(piece.join(sets, "id").groupBy("piece").applyInArrow(_confirm(p), "a long, b long"))
     comp = components(links)
+    if oversized is not None:
+        comp = components(_plain(links.unionByName(_rest_links(docs, oversized, _plain(comp), p))))
 
     of_class = (classes.select("d1", "d2", "n", "id").join(comp, "id", "left")
                 .select("d1", "d2", "n", F.coalesce("component", "id").alias("component")))

@@ -78,3 +78,23 @@ def test_query_equals_brute_force_on_the_small_tables(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     comp = brute.near_components(rows, 4)
     assert {r["doc_id"]: r["component_id"] for r in N.op6_minhash_near_dedup(spark, SF).collect()} == comp
+
+
+def _chain(rng, steps, words=60, move=3):
+    """Texts of a sliding window over one long prose: neighbours link, distant ones share nothing."""
+    w = prose(rng, words + steps * move).split()
+    return [" ".join(w[k * move:k * move + words]) for k in range(steps)]
+
+
+def test_clusters_beyond_the_piece_bound_equal_brute_force(spark, frame):
+    """Chains far longer than a piece, where no hub is near most of the members."""
+    rng = random.Random(5)
+    texts = _chain(rng, 10) + _chain(rng, 5)
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = list(zip(ids, texts, strict=True))
+    comp = brute.near_components(rows, 5)
+    assert len(set(comp.values())) == 2
+    df = frame(rows, "doc_id long, text string")
+    p = N.ForestParams(piece_shingles=60, near_pct=0, depth=1, salt_rows=2, common_shingles=5)
+    assert {i: c[1] for i, c in _got(df, p).items()} == comp
