@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from panelcast.llm import bpe, decontaminate, language, license_scan, line_dedup, near_dup, quality, quotes, token_store, url_filter
+from panelcast.llm import (
+    bpe,
+    decontaminate,
+    language,
+    lexical,
+    license_scan,
+    line_dedup,
+    near_dup,
+    packing,
+    quality,
+    quotes,
+    token_store,
+    url_filter,
+)
 
 REGISTRY = {
     "op1_bpe_round_trip": bpe.op1_bpe_round_trip,
@@ -15,14 +28,18 @@ REGISTRY = {
     "op8_chat_formatting": quotes.op8_chat_formatting,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_packing": packing.op11_packing,
+    "op13_ranked_lexical_search": lexical.op13_ranked_lexical_search,
 }
 
 # Without SQL, and tested against brute force in tests/llm: op1 (merges in rank order), op4 (alignment),
-# op5 (a keyed permutation over stored files), op7 (a trained model), op8 (parsing of nested quotes).
+# op5 (a keyed permutation over stored files), op7 (a trained model), op8 (parsing of nested quotes),
+# op11 (any packing of the same ids is right).
 ORACLE = {
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op3_url_filter": url_filter.OP3_SQL,
     "op6_minhash_near_dedup": near_dup.OP6_SQL,
     "op9_benchmark_decontamination": decontaminate.OP9_SQL,
     "op10_quality_rules": quality.OP10_SQL,
+    "op13_ranked_lexical_search": lexical.OP13_SQL,
 }
