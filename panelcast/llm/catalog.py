@@ -14,6 +14,7 @@ from panelcast.llm import (
     quality,
     quotes,
     token_store,
+    trie,
     url_filter,
 )
 
@@ -29,6 +30,7 @@ REGISTRY = {
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_packing": packing.op11_packing,
+    "op12_conversation_prefix_trie": trie.op12_conversation_prefix_trie,
     "op13_ranked_lexical_search": lexical.op13_ranked_lexical_search,
 }
 
@@ -41,5 +43,6 @@ ORACLE = {
     "op6_minhash_near_dedup": near_dup.OP6_SQL,
     "op9_benchmark_decontamination": decontaminate.OP9_SQL,
     "op10_quality_rules": quality.OP10_SQL,
+    "op12_conversation_prefix_trie": trie.OP12_SQL,
     "op13_ranked_lexical_search": lexical.OP13_SQL,
 }
