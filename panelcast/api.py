@@ -15,7 +15,7 @@ from panelcast.operators import split as _split
 from panelcast.operators.features import PanelBuild
 from panelcast.params import Params
 
-__all__ = ["Cell", "build_features", "to_quarterly", "add_lags", "chrono_split", "fit_cell", "fit_factor",
+__all__ = ["Cell", "build_features", "to_quarterly", "add_lags", "chrono_split", "fit_cell", "fit_cells", "fit_factor",
            "fit_mfvar", "score", "leaderboard"]
 
 
@@ -39,8 +39,8 @@ def chrono_split(build: PanelBuild, df: DataFrame) -> DataFrame:
     return _split.chrono_split(df, build.split_bounds(), build.params.start_date)
 
 
-def fit_cell(kind: str, build: PanelBuild, cell: Cell, run_id: str = "run") -> DataFrame:
-    """M1-M3 for one cell: 'boosted', 'gaussian' or 'sparse_linear' -> uniform forecast records."""
+def fit_cells(kind: str, build: PanelBuild, cells: Sequence[Cell], run_id: str = "run") -> DataFrame:
+    """M1-M3, M7 for all ``cells`` in the same jobs: 'boosted', 'gaussian' or 'sparse_linear' -> uniform forecast records."""
     if kind == "boosted":
         from panelcast.models.boosted import fit_boosted as fit
     elif kind == "gaussian":
@@ -49,7 +49,12 @@ def fit_cell(kind: str, build: PanelBuild, cell: Cell, run_id: str = "run") -> D
         from panelcast.models.sparse_linear import fit_sparse_linear as fit
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    return fit(build.freeze(), cell, run_id)
+    return fit(build.freeze(), cells, run_id)
+
+
+def fit_cell(kind: str, build: PanelBuild, cell: Cell, run_id: str = "run") -> DataFrame:
+    """:func:`fit_cells` for one cell."""
+    return fit_cells(kind, build, [cell], run_id)
 
 
 def score(build: PanelBuild, forecasts: DataFrame) -> DataFrame:

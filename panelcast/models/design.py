@@ -1,27 +1,13 @@
-"""Model-cell frames: the long design of one cell pivoted to a fixed, explicit width.
-
-A cell (features_type, availability, target, horizon) needs <= a few hundred
-columns; only those are pivoted, with the pivot values listed explicitly
-(they come from the tiny distinct set of design column names, never from
-data rows).  The wide frame is checkpointed into the shared checkpoint
-folder before fitting: every estimator makes many passes over it, and a
-lost executor then re-reads files instead of re-running the feature build.
-"""
+"""Model cells and the uniform forecast record of their predictions (M8)."""
 
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Sequence
 
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators.split import split_column
-from panelcast.session import cut_lineage
-
-LABEL = "y"
-
 
 @dataclasses.dataclass(frozen=True)
 class Cell:
@@ -31,57 +17,19 @@ class Cell:
     horizon: int
     strategy: str = "avail_only"
 
-    def tags(self) -> list:
-        return [F.lit(self.target).alias("target"), F.lit(self.features_type).alias("features_type"),
-                F.lit(self.availability).cast("int").alias("availability"), F.lit(self.horizon).cast("int").alias("horizon")]
-
 
 def safe_name(c: str) -> str:
     return c.replace(".", "_")
 
 
-def cell_frame(build, cell: Cell, checkpoint: bool = True) -> tuple[DataFrame, list[str]]:
-    """(entity, date, split, <feature columns...>, y) for one cell, plus the feature column names."""
-    d = build.cell(cell.features_type, cell.availability, cell.target, cell.horizon, cell.strategy)
-    d = d.withColumn("split", split_column(build.split_bounds())).filter(F.col("split").isNotNull())
-    names = sorted(r[0] for r in d.select("column").distinct().collect())
-    feats = [n for n in names if n != LABEL]
-    wide = d.groupBy("entity", "date", "split").pivot("column", feats + [LABEL]).agg(F.max("value"))
-    wide = wide.withColumnsRenamed({f: safe_name(f) for f in feats if safe_name(f) != f})
-    feats = [safe_name(f) for f in feats]
-    if checkpoint:
-        wide = cut_lineage(wide)
-    return wide, feats
-
-
-def impute_and_assemble(train: DataFrame, frames: dict[str, DataFrame], feats: list[str],
-                        flags: bool = True) -> dict[str, DataFrame]:
-    """Mean imputation fitted on ``train`` only (+ missing flags); MLlib trees reject NaN/NULL.
-
-    Columns never observed in ``train`` carry nothing to learn from and have
-    no mean; they are left out (one aggregate row decides, bounded by width).
-    """
-    seen = train.agg(*(F.count(F.col(c)).alias(c) for c in feats)).first()
-    feats = [c for c in feats if seen[c] > 0]
-    if not feats:
-        return {k: v.withColumn("features", array_to_vector(F.array(F.lit(0.0)))) for k, v in frames.items()}
-    flag_cols = [f"{c}__na" for c in feats] if flags else []
-
-    def add_flags(df: DataFrame) -> DataFrame:
-        return df.withColumns({f"{c}__na": F.col(c).isNull().cast("double") for c in feats}) if flags else df
-
-    imp = Imputer(inputCols=feats, outputCols=[f"{c}__imp" for c in feats], strategy="mean").fit(add_flags(train))
-    asm = VectorAssembler(inputCols=[f"{c}__imp" for c in feats] + flag_cols, outputCol="features", handleInvalid="keep")
-    return {k: asm.transform(imp.transform(add_flags(v))) for k, v in frames.items()}
-
-
-def forecast_record(pred: DataFrame, model: str, cell: Cell, run_id: str, lo=None, hi=None) -> DataFrame:
-    """M8: model output in the uniform forecasts schema."""
+def cell_record(pred: DataFrame, model: str, cells: Sequence[Cell], run_id: str, lo: Column | None = None,
+                hi: Column | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """M8: ``pred(grp, entity, date, prediction)`` of the cells ``grp`` numbers, in the uniform forecasts schema."""
     none = F.lit(None).cast("double")
-    return pred.select(
-        F.lit(run_id).alias("run_id"), F.lit(model).alias("model"), "entity", *cell.tags()[:3],
-        cell.tags()[3], F.expr(f"add_months(date, {-3 * cell.horizon})").alias("origin"), "date",
-        F.col("prediction").cast("double").alias("pred"),
-        (lo if lo is not None else none).alias("lo"), (hi if hi is not None else none).alias("hi"),
-    ).select("run_id", "model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
-             "pred", "lo", "hi")
+    grid = pred.sparkSession.createDataFrame(
+        [(k, c.target, c.features_type, c.availability, c.horizon) for k, c in enumerate(cells)],
+        "grp int, target string, features_type string, availability int, horizon int")
+    return pred.join(F.broadcast(grid), "grp").select(  # one row a cell
+        F.lit(run_id).alias("run_id"), F.lit(model).alias("model"), "entity", "target", "features_type", "availability", "horizon",
+        F.expr("cast(add_months(date, -3 * horizon) as date)").alias("origin"), "date", F.col("prediction").cast("double").alias("pred"),
+        (none if lo is None else lo).alias("lo"), (none if hi is None else hi).alias("hi"), *extra)

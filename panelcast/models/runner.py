@@ -1,9 +1,9 @@
-"""M7: the model grid as a list of cells fitted from a small driver thread pool.
+"""M7: the model grid as a list of cells.
 
-Each cell is a chain of Spark jobs (fit, evaluate, refit, transform); the
-thread pool only submits them concurrently so the cluster stays busy, the
-data itself never passes through the driver.  The feature table is
-materialised once before the grid (``PanelBuild.freeze``).
+The built-in families (boosted, gaussian, sparse linear) take the whole list and fit all cells in the same jobs;
+``run_grid`` is for a fit of one's own that takes one cell: it submits cells from a small driver thread pool, so
+the cluster stays busy, and the data never passes through the driver.  The feature table is
+materialised once before either (``PanelBuild.freeze``).
 """
 
 from __future__ import annotations

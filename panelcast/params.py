@@ -23,19 +23,22 @@ class Params:
     gauss_learning_rate: float = 0.01
     gauss_depth: int = 2
     factor_k_grid: tuple[int, ...] = (1, 2)
+    factor_order_grid: tuple[int, ...] = (1,)
     var_ar1_prior: float = 0.7
     var_lambda1: float = 0.1
     var_lambda2: float = 0.5
     var_lambda4: float = 100.0
-    # Ours: relative improvement on the valid rows below which boosting stops.
-    boost_tolerance: float = 0.01
-    gauss_tolerance: float = 0.01
+    # Rounds without a gain on the valid rows after which boosting stops.
+    boost_patience: int = 50
+    gauss_patience: int = 25
+    # Ours: bins of a feature, what is added to a leaf's row count, and the rows of a block (a task's unit of work).
+    boost_bins: int = 32
+    boost_l2: float = 3.0
+    boost_block_rows: int = 65_536
     # Ours: elastic-net mixing and penalty grid of the sparse linear model (M3).
     linear_mix: float = 0.5
     linear_penalties: tuple[float, ...] = (0.001, 0.01, 0.1, 1.0)
-    # Ours: sigma scale factors the Gaussian model tries on the valid rows (M2).
-    gauss_scales: tuple[float, ...] = (0.5, 0.75, 1.0, 1.5, 2.0, 3.0)
-    # Ours: model cells fitted at the same time (each fit is a series of Spark jobs).
+    # Ours: model cells that a per-cell fit (runner.run_grid) works on at the same time.
     cell_parallelism: int = 4
     # Ours: last date of the sample that decides on logs (None = the whole sample, as the reference).
     profile_until: dt.date | None = None
@@ -56,5 +59,5 @@ class Params:
 # in: the last complete quarter is derived from the data (PanelBuild.anchor).
 TEST_PARAMS = Params(valid_len=4, test_len=4, start_year=1996, max_nulls_q=0, max_nulls_m=0)
 
-# The model queries keep the library's boosting budgets; early stopping ends the fits.
+# The model queries keep the library's boosting budgets and patience.
 MODEL_TEST_PARAMS = TEST_PARAMS.replace(max_nulls_q=4, max_nulls_m=12, cell_parallelism=8)

@@ -529,64 +529,69 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Step 7: model jobs (rows-only checks: no SQL twin) ------------------------
 
-# Model grid run by the registered model queries: both feature types, the
-# last month of the quarter, every horizon, one target.  The library runs any
-# grid (``panelcast.models.runner.grid``); this one keeps a check to minutes.
-MODEL_TARGETS = ("gmv_log_d4",)
-MODEL_AVAILABILITIES = (3,)
+def _targets() -> list[str]:
+    from panelcast.sources.adapters import QUARTERLY_TARGETS
+
+    return [f"{t}_log_d4" for t in QUARTERLY_TARGETS]
+
+
+def _model_grid(b) -> list:
+    """The whole grid: both feature types, every target, horizon and availability."""
+    from panelcast.models.runner import grid
 
+    return grid(FEATURE_TYPES, AVAILABILITIES, _targets(), range(1, b.params.horizon + 1))
 
-def _model_query(spark: SparkSession, sf_dir: str, fit, run_id: str) -> DataFrame:
-    from panelcast.models.runner import grid, run_grid
+
+def _model_query(spark: SparkSession, sf_dir: str, fit, run_id: str, *extra: str) -> DataFrame:
     from panelcast.params import MODEL_TEST_PARAMS
 
     b = build(spark, sf_dir, MODEL_TEST_PARAMS)
-    cells = grid(FEATURE_TYPES, MODEL_AVAILABILITIES, MODEL_TARGETS, range(1, b.params.horizon + 1))
-    f = run_grid(b, cells, fit, run_id)
+    f = fit(b, _model_grid(b), run_id)
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
-                    r6("pred"), r6("lo"), r6("hi"))
+                    r6("pred"), r6("lo"), r6("hi"), *extra)
 
 
 @query
 def forecast_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pooled gradient-boosted trees per cell, patience early stopping, refit on train+valid."""
+    """Boosted trees of all cells in the same jobs, patience on valid, refit on train+valid with the best number."""
     from panelcast.models.boosted import fit_boosted
 
-    return _model_query(spark, sf_dir, fit_boosted, "boosted")
+    return _model_query(spark, sf_dir, fit_boosted, "boosted", "n_trees")
 
 
 @query
 def forecast_gaussian(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: Gaussian two-stage boosting (mean + log-variance), sigma scale chosen by CRPS on valid."""
+    """M2, M7: mean and log-spread boosted under the Gaussian CRPS, iterations chosen by CRPS on valid with patience."""
     from panelcast.models.gaussian import fit_gaussian
 
-    return _model_query(spark, sf_dir, fit_gaussian, "gaussian")
+    return _model_query(spark, sf_dir, fit_gaussian, "gaussian", "n_trees")
 
 
 @query
 def forecast_sparse_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elastic net on null-free standardised columns, penalty chosen on valid."""
+    """Elastic net on null-free standardised columns, all cells and penalties from one pass of cross-products."""
     from panelcast.models.sparse_linear import fit_sparse_linear
 
-    return _model_query(spark, sf_dir, fit_sparse_linear, "sparse_linear")
+    return _model_query(spark, sf_dir, fit_sparse_linear, "sparse_linear", r6("penalty"))
 
 
 FACTOR_STRATEGIES = ("avail_only", "all")
 
 
+def _factor_configs() -> list[tuple[str, int, str]]:
+    """Every features_type, availability and strategy ('all' widens the months of d12 features only)."""
+    return [(ft, a, s) for ft in FEATURE_TYPES for a in AVAILABILITIES for s in FACTOR_STRATEGIES if ft == "d12" or s == "avail_only"]
+
+
 @query
 def forecast_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PCA factors per rolling origin, direct regressions of every target on factors + own lag."""
-    from functools import reduce
-
-    from panelcast.models.factor import fit_factor
+    """EM factors per rolling origin, direct regressions and factor VARs, every configuration in the same jobs."""
+    from panelcast.models.factor import fit_factors
     from panelcast.params import MODEL_TEST_PARAMS
 
-    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
-    parts = [fit_factor(b, "d12", a, s, "factor") for s in FACTOR_STRATEGIES for a in MODEL_AVAILABILITIES]
-    f = reduce(DataFrame.unionByName, parts)
+    f = fit_factors(build(spark, sf_dir, MODEL_TEST_PARAMS), _factor_configs(), "factor")
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
-                    r6("pred"), r6("lo"), r6("hi"))
+                    r6("pred"), r6("lo"), r6("hi"), "features_strategy", "k_factors", "factor_order")
 
 
 @query
@@ -594,36 +599,36 @@ def forecast_mfvar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stacked mixed-frequency Minnesota VAR per rolling origin, ragged-edge nowcast, 68% band."""
     from panelcast.models.mfvar import fit_mfvar
     from panelcast.params import MODEL_TEST_PARAMS
-    from panelcast.sources.adapters import QUARTERLY_TARGETS
 
     b = build(spark, sf_dir, MODEL_TEST_PARAMS)
-    targets = [f"{t}_log_d4" for t in QUARTERLY_TARGETS]
     from functools import reduce
 
-    f = reduce(DataFrame.unionByName, [fit_mfvar(b, a, targets, "mfvar") for a in AVAILABILITIES])
+    f = reduce(DataFrame.unionByName, [fit_mfvar(b, a, _targets(), "mfvar") for a in AVAILABILITIES])
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
                     r6("pred"), r6("lo"), r6("hi"), "status")
 
 
 @query
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three model families stored, read back, scored in one pass."""
+    """All five model families over the grid stored, read back, scored in one pass."""
+    from functools import reduce
+
     from panelcast.models.backtest import backtest
-    from panelcast.models.factor import fit_factor
+    from panelcast.models.boosted import fit_boosted
+    from panelcast.models.factor import fit_factors
+    from panelcast.models.gaussian import fit_gaussian
     from panelcast.models.mfvar import fit_mfvar
-    from panelcast.models.runner import grid, run_grid
     from panelcast.models.sparse_linear import fit_sparse_linear
     from panelcast.params import MODEL_TEST_PARAMS
-    from panelcast.sources.adapters import QUARTERLY_TARGETS
 
     b = build(spark, sf_dir, MODEL_TEST_PARAMS)
-    h = range(1, b.params.horizon + 1)
-    targets = [f"{t}_log_d4" for t in QUARTERLY_TARGETS]
+    cells = _model_grid(b)
     fams = {
-        "sparse_linear": lambda: run_grid(b, grid(FEATURE_TYPES, MODEL_AVAILABILITIES, MODEL_TARGETS, h),
-                                          fit_sparse_linear, "scores"),
-        "factor": lambda: fit_factor(b, "d12", MODEL_AVAILABILITIES[-1], "avail_only", "scores"),
-        "mfvar": lambda: fit_mfvar(b, MODEL_AVAILABILITIES[-1], targets, "scores"),
+        "boosted": lambda: fit_boosted(b, cells, "scores"),
+        "gaussian": lambda: fit_gaussian(b, cells, "scores"),
+        "sparse_linear": lambda: fit_sparse_linear(b, cells, "scores"),
+        "factor": lambda: fit_factors(b, _factor_configs(), "scores"),
+        "mfvar": lambda: reduce(DataFrame.unionByName, [fit_mfvar(b, a, _targets(), "scores") for a in AVAILABILITIES]),
     }
     m = backtest(b, fams)
     return m.select("horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),
