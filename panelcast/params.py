@@ -28,6 +28,9 @@ class Params:
     var_lambda1: float = 0.1
     var_lambda2: float = 0.5
     var_lambda4: float = 100.0
+    var_draws: int = 500
+    # Ours: columns of a block of the VAR's cross-products.
+    var_block: int = 512
     # Rounds without a gain on the valid rows after which boosting stops.
     boost_patience: int = 50
     gauss_patience: int = 25

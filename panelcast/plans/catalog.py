@@ -596,28 +596,23 @@ def forecast_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def forecast_mfvar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stacked mixed-frequency Minnesota VAR per rolling origin, ragged-edge nowcast, 68% band."""
-    from panelcast.models.mfvar import fit_mfvar
+    """Stacked mixed-frequency Minnesota VAR, every vintage from prefix sums, posterior draws, ragged-edge nowcast, 68% band."""
+    from panelcast.models.mfvar import fit_mfvars
     from panelcast.params import MODEL_TEST_PARAMS
 
-    b = build(spark, sf_dir, MODEL_TEST_PARAMS)
-    from functools import reduce
-
-    f = reduce(DataFrame.unionByName, [fit_mfvar(b, a, _targets(), "mfvar") for a in AVAILABILITIES])
+    f = fit_mfvars(build(spark, sf_dir, MODEL_TEST_PARAMS), AVAILABILITIES, _targets(), "mfvar")
     return f.select("model", "entity", "target", "features_type", "availability", "horizon", "origin", "date",
-                    r6("pred"), r6("lo"), r6("hi"), "status")
+                    r6("pred"), r6("lo"), r6("hi"), "status", "n_draws")
 
 
 @query
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five model families over the grid stored, read back, scored in one pass."""
-    from functools import reduce
-
     from panelcast.models.backtest import backtest
     from panelcast.models.boosted import fit_boosted
     from panelcast.models.factor import fit_factors
     from panelcast.models.gaussian import fit_gaussian
-    from panelcast.models.mfvar import fit_mfvar
+    from panelcast.models.mfvar import fit_mfvars
     from panelcast.models.sparse_linear import fit_sparse_linear
     from panelcast.params import MODEL_TEST_PARAMS
 
@@ -628,7 +623,7 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "gaussian": lambda: fit_gaussian(b, cells, "scores"),
         "sparse_linear": lambda: fit_sparse_linear(b, cells, "scores"),
         "factor": lambda: fit_factors(b, _factor_configs(), "scores"),
-        "mfvar": lambda: reduce(DataFrame.unionByName, [fit_mfvar(b, a, _targets(), "scores") for a in AVAILABILITIES]),
+        "mfvar": lambda: fit_mfvars(b, AVAILABILITIES, _targets(), "scores"),
     }
     m = backtest(b, fams)
     return m.select("horizon", "availability", "features_type", r6("rmse"), "target", "model", r6("rmse_naive"),

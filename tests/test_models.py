@@ -14,34 +14,36 @@ def collect(spark, name):
     return REGISTRY[name](spark, SMOKE).collect()
 
 
-@pytest.mark.parametrize("name", ["forecast_boosted", "forecast_sparse_linear"])
-def test_cell_models_predict_every_test_row(spark, name):
+@pytest.mark.parametrize("name", ["forecast_boosted", "forecast_gaussian", "forecast_sparse_linear"])
+def test_cell_models_predict_every_test_row_of_the_grid(spark, name):
     rows = collect(spark, name)
     assert rows and all(r["pred"] is not None for r in rows)
     assert all(r["origin"] < r["date"] for r in rows)
-    per_cell = Counter((r["features_type"], r["horizon"]) for r in rows)
-    assert len(set(per_cell.values())) == 1
+    per_cell = Counter((r["target"], r["features_type"], r["availability"], r["horizon"]) for r in rows)
+    assert len(per_cell) == 108 and len(set(per_cell.values())) == 1
+    if name != "forecast_sparse_linear":
+        kept = {(r["target"], r["features_type"], r["availability"], r["horizon"]): r["n_trees"] for r in rows}
+        assert len(set(kept.values())) > 10 and max(kept.values()) > 30
+    if name == "forecast_gaussian":
+        assert all(r["lo"] < r["pred"] < r["hi"] for r in rows)
 
 
 def test_factor_each_date_and_horizon_once_per_config(spark):
     rows = collect(spark, "forecast_factor")
-    keys = Counter((r["model"], r["entity"], r["target"], r["date"], r["horizon"]) for r in rows)
+    keys = Counter((r["model"], r["features_type"], r["availability"], r["entity"], r["target"], r["date"], r["horizon"]) for r in rows)
     assert rows and set(keys.values()) == {1}
+    assert {(r["features_strategy"], r["k_factors"], r["factor_order"]) for r in rows} == {(s, k, o) for s in ("all", "avail_only") for k in (1, 2) for o in (0, 1)}
+    assert all((r["lo"] is None) == (r["factor_order"] == 0) for r in rows)
     assert all(r["date"] >= r["origin"] for r in rows)
 
 
-def test_mfvar_band_contains_mean(spark):
+def test_mfvar_band_contains_the_median(spark):
     rows = collect(spark, "forecast_mfvar")
     ok = [r for r in rows if r["status"] == "ok"]
-    assert ok and all(r["lo"] <= r["pred"] <= r["hi"] for r in ok)
-    # along one forecast path the band never narrows (conditional variance <= innovation variance)
-    paths = {}
-    for r in ok:
-        paths.setdefault((r["entity"], r["target"], r["availability"], r["origin"]), []).append(
-            (r["horizon"], r["hi"] - r["lo"]))
-    for steps in paths.values():
-        widths = [w for _, w in sorted(steps)]
-        assert all(b >= a - 1e-9 for a, b in zip(widths, widths[1:]))
+    assert ok and all(r["lo"] <= r["pred"] <= r["hi"] and r["n_draws"] > 0 for r in ok)
+    assert all(r["origin"] <= r["date"] for r in rows)
+    keys = Counter((r["entity"], r["target"], r["availability"], r["origin"], r["date"]) for r in rows)
+    assert set(keys.values()) == {1} and {r["availability"] for r in rows} == {1, 2, 3}
 
 
 def test_grid_runner_unions_cells(spark):
@@ -59,39 +61,3 @@ def test_grid_runner_unions_cells(spark):
 
     out = run_grid(b, [Cell("d12", 3, "gmv_log_d4", h) for h in (1, 2)], fake, "x")
     assert len(seen) == 2 and out.count() == 0
-
-
-def test_var_forecast_equals_a_plain_row_by_row_computation(spark):
-    import datetime as dt
-    import math
-
-    import numpy as np
-
-    from panelcast.models.mfvar import forecast_rows
-
-    rng, k, h = np.random.default_rng(0), 4, 3
-    cols = ["t_a", "x_m1", "x_m2", "y_m1"]
-    observed, o = [1, 3], dt.date(2000, 1, 1)
-    b = rng.normal(size=(k, k))
-    c, a, s = rng.normal(size=k), rng.normal(size=(k, k)) * 0.2, b @ b.T + np.eye(k)
-    rows = [(o, f"e{i}", *(float(x) for x in rng.normal(size=2 * k))) for i in range(6)]
-    rows[2] = (*rows[2][:3], None, *rows[2][4:])                  # one published month missing
-    rows.append((dt.date(2001, 1, 1), "late", *rows[0][2:]))       # an origin without coefficients
-    df = spark.createDataFrame(rows, "origin date, entity string, " + ", ".join(f"{x} double" for x in [*cols, *(f"lag_{x}" for x in cols)]))
-    got = {(r["entity"], r["horizon"]): r for r in forecast_rows(df, {o.isoformat(): (c, a, s)}, cols, observed, [0], h).collect()}
-    assert {got["late", i]["status"] for i in (1, 2, 3)} == {"no_fit"}
-    for _, e, *x in rows[:-1]:
-        cur, z = x[:k], np.array(x[k:])
-        obs = [i for i in observed if cur[i] is not None]
-        un = [i for i in range(k) if i not in obs]
-        m = c + a @ z
-        gain = s[np.ix_(un, obs)] @ np.linalg.inv(s[np.ix_(obs, obs)])
-        v, p = m.copy(), np.zeros((k, k))
-        v[obs] = [cur[i] for i in obs]
-        v[un] = m[un] + gain @ (v[obs] - m[obs])
-        p[np.ix_(un, un)] = s[np.ix_(un, un)] - gain @ s[np.ix_(obs, un)]
-        for i in range(1, h + 1):
-            if i > 1:
-                v, p = c + a @ v, a @ p @ a.T + s
-            r = got[e, i]
-            assert (r["status"], r["pred"], r["sd"]) == ("ok", pytest.approx(v[0]), pytest.approx(math.sqrt(p[0, 0])))
