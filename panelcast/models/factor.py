@@ -2,8 +2,8 @@
 
 For every origin of the rolling back-test (B4) the monthly features are standardised with statistics of the quarters
 before the origin and reduced to ``k`` principal components.  Missing values are no zeros: the components are those
-of the EM iteration (fill a row's holes from its own factors, decompose, repeat), which is plain PCA on complete data.
-Columns without variation before the origin are left out.  Two forecasts are made from the factors of the origin
+of the EM iteration (fill a row's holes from its expected factors under probabilistic PCA, decompose, repeat), which is plain PCA
+on complete data.  Columns without variation before the origin are left out, and so are rows with less than half of the columns.  Two forecasts are made from the factors of the origin
 quarter (features frozen at the origin, no realised future features):
 
 * direct (``factor_k<k>``): every target regressed on factors and own lag, one regression per horizon (Stock & Watson 2002);
@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import pickle
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,8 @@ def histories(build, sets: Sequence[tuple[str, int, str]], targets: Sequence[str
     rows = f.join(at, ["entity", "date"], "left").where(F.col("date").between(to_date(p.start_date), to_date(build.anchor)))
     q = (F.months_between("date", to_date(p.start_date)) / 3).cast("int").alias("q")
     y = F.array(*(F.try_element_at("m", F.lit(t)) for t in targets)).alias("y")
-    return rows.select("fs", "entity", q, "v", y).groupBy("fs", "entity").agg(F.sort_array(F.collect_list(F.struct("q", "v", "y"))).alias("h"))
+    tasks = int(build.spark.conf.get("spark.sql.shuffle.partitions"))   # many passes follow: as many tasks as the session deals out
+    return rows.select("fs", "entity", q, "v", y).repartition(tasks, "fs", "entity").groupBy("fs", "entity").agg(F.sort_array(F.collect_list(F.struct("q", "v", "y"))).alias("h"))
 
 
 def arrays_of(row: dict, quarters: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,23 +70,52 @@ def arrays_of(row: dict, quarters: int) -> tuple[np.ndarray, np.ndarray]:
     return v, y
 
 
-def factors(z: np.ndarray, load: np.ndarray) -> np.ndarray:
-    """Least-squares factors of every row on its observed columns; NaN where fewer are observed than there are factors."""
-    seen = ~np.isnan(z)
-    full = seen.all(axis=1)
-    out = np.full((len(z), load.shape[1]), np.nan)
-    out[full] = z[full] @ np.linalg.solve(load.T @ load, load.T).T if full.any() else 0.0
-    for i in np.flatnonzero(~full & (seen.sum(axis=1) >= load.shape[1])):
-        part = load[seen[i]]
-        out[i] = np.linalg.lstsq(part, z[i, seen[i]], rcond=None)[0]
+def enough(z: np.ndarray, k: int) -> np.ndarray:
+    """Rows with at least half of the columns, and one more than there are factors: fewer would fit them to noise."""
+    return (~np.isnan(z)).sum(axis=1) >= min(z.shape[1], max(k + 1, -(-z.shape[1] // 2)))
+
+
+class Loadings(NamedTuple):
+    """Of one (set, origin): standardisation, kept columns, orthonormal loadings, the factors' standard deviations over the
+    noise, and the noise variance."""
+
+    mean: np.ndarray
+    sd: np.ndarray
+    cols: np.ndarray
+    u: np.ndarray
+    s: np.ndarray
+    noise: float
+
+    def scaled(self, v: np.ndarray) -> np.ndarray:
+        return ((v - self.mean) / self.sd)[:, self.cols]
+
+
+def filled(z: np.ndarray, load: Loadings) -> np.ndarray:
+    """``z`` with a row's holes from its expected factors given its observed columns (probabilistic PCA); NaN rows without enough."""
+    out = np.full(z.shape, np.nan)
+    use = np.flatnonzero(enough(z, load.u.shape[1]))
+    w = load.u * load.s
+    masks, which = np.unique(~np.isnan(z[use]), axis=0, return_inverse=True)
+    for m, mask in enumerate(masks):
+        rows = use[which.ravel() == m]
+        out[rows] = z[rows]
+        if not mask.all():
+            part = w[mask]
+            f = np.linalg.solve(part.T @ part + load.noise * np.eye(part.shape[1]), part.T @ z[rows][:, mask].T)
+            out[np.ix_(rows, ~mask)] = (w[~mask] @ f).T
     return out
 
 
-def components(cross: np.ndarray, k: int) -> np.ndarray:
-    """The first ``k`` eigenvectors, the entry of largest size positive in each."""
-    _, vec = np.linalg.eigh(cross)
+def factors(z: np.ndarray, load: Loadings, k: int) -> np.ndarray:
+    """The first ``k`` factors of every row, its holes filled; NaN where there are not enough columns."""
+    return filled(z, load) @ load.u[:, :k]
+
+
+def components(cross: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` eigenvectors, the entry of largest size positive in each, and all eigenvalues, largest first."""
+    val, vec = np.linalg.eigh(cross)
     load = vec[:, ::-1][:, :k]
-    return load * np.sign(load[np.abs(load).argmax(axis=0), np.arange(load.shape[1])])
+    return load * np.sign(load[np.abs(load).argmax(axis=0), np.arange(load.shape[1])]), np.maximum(val[::-1], 0.0)
 
 
 class Panel:
@@ -129,10 +160,14 @@ class Panel:
 
         return self._by_key(second, std)
 
-    def loadings(self, scale: dict, k: int, iterations: int = 200, tolerance: float = 1e-8) -> dict[str, tuple[np.ndarray, ...]]:
-        """Per (set, origin): mean, std, kept columns and their loadings on at most ``k`` components."""
+    def loadings(self, scale: dict, k: int, iterations: int, tolerance: float) -> dict[str, Loadings]:
+        """The loadings of every (set, origin) on at most ``k`` components.
+
+        A set's iteration ends when what the components explain changes by less than ``tolerance`` of it.
+        """
         cols = {key: np.flatnonzero(~np.isnan(sd)) for key, (_, sd) in scale.items()}
-        found: dict[str, np.ndarray] = {}
+        found: dict[str, Loadings] = {}
+        explained: dict[str, float] = {}
         open_ = {key for key, c in cols.items() if len(c)}
         for _ in range(iterations):
             if not open_:
@@ -144,29 +179,29 @@ class Panel:
                     return
                 c = cols[key]
                 z = ((v[:o] - scale[key][0]) / scale[key][1])[:, c]
-                z = z[~np.isnan(z).all(axis=1)]
-                holes = np.isnan(z)
-                if now[key] is not None and holes.any():
-                    fill = np.nan_to_num(factors(z, now[key])) @ now[key].T
-                    z = np.where(holes, fill, z)
-                z = np.nan_to_num(z)
-                yield key, [z.T @ z, np.array([holes.sum()])]
+                z = z[enough(z, min(k, len(c)))]
+                holes = np.isnan(z).sum()
+                z = np.nan_to_num(z) if now[key] is None else filled(z, now[key])
+                yield key, [z.T @ z, np.array([holes, len(z)])]
 
             def finish(key, s):
-                return components(s[0], min(k, len(s[0]))), bool(s[1][0])
-
-            for key, (load, holes) in self._by_key(partial, finish).items():
-                before = found.get(key)
-                found[key] = load
-                if not holes or (before is not None and np.abs(load @ load.T - before @ before.T).max() < tolerance):
+                n = max(int(s[1][1]), 1)
+                u, val = components(s[0] / n, min(k, len(s[0])))
+                rest = val[u.shape[1]:]
+                noise = max(float(rest.mean()) if len(rest) else 0.0, 1e-6)
+                return bool(s[1][0]), u, np.sqrt(np.maximum(val[:u.shape[1]] - noise, 0.0)), noise, float(val[:u.shape[1]].sum())
+
+            for key, (holes, u, s, noise, total) in self._by_key(partial, finish).items():
+                before = explained.get(key, np.inf)
+                found[key], explained[key] = Loadings(*scale[key], cols[key], u, s, noise), total
+                if not holes or abs(total - before) <= tolerance * total:
                     open_.discard(key)
             open_ &= set(found)
-        return {key: (*scale[key], cols[key], load) for key, load in found.items()}
+        return found
 
 
-def _observed(v: np.ndarray, key: str, k: int, loads: dict) -> np.ndarray:
-    mean, sd, cols, load = loads[key]
-    return factors(((v - mean) / sd)[:, cols], load[:, :k])
+def _observed(v: np.ndarray, key: str, k: int, loads: dict[str, Loadings]) -> np.ndarray:
+    return factors(loads[key].scaled(v), loads[key], k)
 
 
 def _gram(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -203,7 +238,7 @@ def _regressions(panel: Panel, loads: dict, ks: Sequence[int], orders: Sequence[
         if key not in loads:
             return
         for k in ks:
-            if k > loads[key][3].shape[1]:
+            if k > loads[key].u.shape[1]:
                 continue
             f, out = _observed(v[:o], key, k, loads), []
             one, past = np.ones((o, 1)), np.vstack([np.full((1, y.shape[1]), np.nan), y[:o - 1]]) if o else y[:0]
@@ -302,7 +337,7 @@ def fit_factors(build, configs: Sequence[tuple[str, int, str]], run_id: str) ->
     dates = [o for o in origin_dates(build.anchor, p.test_len, p.horizon) if o > p.start_date]
     panel = Panel(cut_lineage(histories(build, sets, targets)), [quarters_between(p.start_date, o) for o in dates], quarters)
     ks, orders = sorted(p.factor_k_grid), sorted(p.factor_order_grid)
-    loads = panel.loadings(panel.scale(), max(ks))
+    loads = panel.loadings(panel.scale(), max(ks), p.factor_em_iterations, p.factor_em_tolerance)
     fits = _regressions(panel, loads, ks, orders, p.horizon, len(targets))
     out = _forecasts(panel, loads, fits, ks, orders, p.horizon)
     names = build.spark.createDataFrame([(i, *s) for i, s in enumerate(sets)], "fs int, features_type string, availability int, features_strategy string")

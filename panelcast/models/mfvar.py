@@ -88,8 +88,8 @@ def draw_block(fit: dict, seed: int, vintage: int, first: int, count: int) -> tu
     """Stacked (c, A, covariance) of the draws ``first`` .. that are not rejected."""
     K = len(fit["c"])
     roots = [np.linalg.cholesky(fit["xx"] / fit["s2"][i] + np.diag(fit["prec"][i])) for i in range(K)]
-    scale = fit["sigma"] * fit["n"] + np.eye(K) * 1e-10 * max(np.trace(fit["sigma"]) * fit["n"], 1e-12)
-    half = np.linalg.cholesky(np.linalg.inv(scale))
+    d, corr = _scaled(fit["sigma"] * fit["n"])      # components differ by orders of magnitude
+    half = np.linalg.cholesky(np.linalg.inv(corr + 1e-10 * np.eye(K))) / d[:, None]
     got = [d for k in range(first, first + count) if (d := draw(fit, roots, half, (seed, vintage, k))) is not None]
     return tuple(np.array([d[j] for d in got]).reshape(len(got), *s) for j, s in enumerate([(K,), (K, K), (K, K)]))
 
@@ -121,10 +121,17 @@ def gaussian_path(c, A, S, z, cur, obs: list[int], targets: Sequence[int], horiz
     return mean, sd
 
 
+def _scaled(S: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(standard deviations, correlations) of each covariance."""
+    d = np.sqrt(np.maximum(np.diagonal(S, axis1=-2, axis2=-1), 1e-300))
+    return d, S / (d[..., :, None] * d[..., None, :])
+
+
 def _root(S: np.ndarray) -> np.ndarray:
     """A square root of each (positive semi-definite) matrix."""
-    val, vec = np.linalg.eigh(S)
-    return vec * np.sqrt(np.maximum(val, 0.0))[..., None, :]
+    d, corr = _scaled(S)
+    val, vec = np.linalg.eigh(corr)
+    return d[..., :, None] * vec * np.sqrt(np.maximum(val, 0.0))[..., None, :]
 
 
 class Simulator:

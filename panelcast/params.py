@@ -24,6 +24,9 @@ class Params:
     gauss_depth: int = 2
     factor_k_grid: tuple[int, ...] = (1, 2)
     factor_order_grid: tuple[int, ...] = (1,)
+    # Ours: EM steps of the factors at most (one job each, all configurations together), and the relative gain that ends them.
+    factor_em_iterations: int = 50
+    factor_em_tolerance: float = 1e-3
     var_ar1_prior: float = 0.7
     var_lambda1: float = 0.1
     var_lambda2: float = 0.5

@@ -8,7 +8,9 @@ Writing replaces the partitions it holds rows for and leaves other runs alone.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import contextlib
+import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,27 @@ def read_forecasts(spark: SparkSession, path: str, models: list[str] | None = No
     return df.select(*FORECAST_COLUMNS)
 
 
+SCORE_KEYS = ("entity", "target", "date")
+
+
+@contextlib.contextmanager
+def bucketed(df: DataFrame, path: str, buckets: int | None = None) -> Iterator[DataFrame]:
+    """``df`` stored under ``path`` in buckets of the scoring keys, one sorted file a bucket, as a table for the time of the block.
+
+    Two tables of as many buckets are joined on the keys where they lie: rows are dealt out once, when
+    they are written, however often they are scored.  The files stay when the table is dropped.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"scored_{uuid.uuid4().hex}"
+    (df.repartition(n, *SCORE_KEYS).sortWithinPartitions(*SCORE_KEYS).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, *SCORE_KEYS).sortBy(*SCORE_KEYS).saveAsTable(name))
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
     """The 8-column metrics record under its run."""
     _write(metrics.select(*METRICS_COLUMNS, F.lit(run_id).alias("run_id")), path, "run_id")

@@ -33,15 +33,16 @@ def test_complete_data_give_plain_components(spark):
     data = planted()
     panel = M.Panel(frame(spark, data), ORIGINS, Q)
     scale = panel.scale()
-    loads = panel.loadings(scale, 2)
+    loads = panel.loadings(scale, 2, 200, 1e-9)
     for o in ORIGINS:
         x = np.vstack([v[:o] for _, v, _, _ in data])
-        mean, sd, cols, load = loads[f"0|{o}"]
+        load = loads[f"0|{o}"]
+        mean, sd, cols = load[:3]
         assert np.allclose(mean, x.mean(axis=0)) and np.allclose(sd, x.std(axis=0)) and list(cols) == list(range(6))
         z = (x - x.mean(axis=0)) / x.std(axis=0)
-        want = M.components(z.T @ z, 2)
-        assert np.allclose(load, want, atol=1e-8)
-        assert np.allclose(M.factors(z, load), z @ want)
+        want = M.components(z.T @ z, 2)[0]
+        assert np.allclose(load.u, want, atol=1e-8)
+        assert np.allclose(M.factors(z, load, 2), z @ want)
 
 
 def test_holes_are_filled_from_the_factors_and_dead_columns_left_out(spark):
@@ -51,15 +52,16 @@ def test_holes_are_filled_from_the_factors_and_dead_columns_left_out(spark):
         v[rng.random(v.shape) < 0.2] = np.nan
     wide = [(e, np.column_stack([v, np.full(Q, 3.0), np.where(np.arange(Q) < 45, np.nan, 1.0 * np.arange(Q))]), y, f) for e, v, y, f in data]
     panel = M.Panel(frame(spark, wide), [40], Q)
-    mean, sd, cols, load = panel.loadings(panel.scale(), 2)["0|40"]
+    load = panel.loadings(panel.scale(), 2, 200, 1e-9)["0|40"]
+    mean, sd, cols = load[:3]
     assert list(cols) == list(range(6))
     full = M.Panel(frame(spark, whole), [40], Q)
-    true = full.loadings(full.scale(), 2)["0|40"][3]
+    true = full.loadings(full.scale(), 2, 200, 1e-9)["0|40"].u
     zeros = np.vstack([(v[:40] - mean[:6]) / sd[:6] for _, v, _, _ in data])
-    naive = M.components(np.nan_to_num(zeros).T @ np.nan_to_num(zeros), 2)
+    naive = M.components(np.nan_to_num(zeros).T @ np.nan_to_num(zeros), 2)[0]
     off = lambda a: np.abs(a @ a.T - true @ true.T).max()
-    assert off(load) < 0.03 and off(load) <= off(naive) + 1e-3
-    got = np.vstack([M.factors(((v[:40] - mean[:6]) / sd[:6])[:, cols], load) for _, v, _, _ in data])
+    assert off(load.u) < 0.03 and off(load.u) <= off(naive) + 1e-3
+    got = np.vstack([M.factors(((v[:40] - mean[:6]) / sd[:6])[:, cols], load, 2) for _, v, _, _ in data])
     f = np.vstack([f[:40] for _, _, _, f in data])
     ok = ~np.isnan(got).any(axis=1)
     fit = np.linalg.lstsq(np.column_stack([np.ones(ok.sum()), got[ok]]), f[ok], rcond=None)[0]
@@ -71,7 +73,7 @@ def test_holes_are_filled_from_the_factors_and_dead_columns_left_out(spark):
 def test_forecasts_equal_numpy(spark, order):
     data, horizon, k = planted(holes=0.05), 3, 2
     panel = M.Panel(frame(spark, data), ORIGINS, Q)
-    loads = panel.loadings(panel.scale(), k)
+    loads = panel.loadings(panel.scale(), k, 200, 1e-9)
     fits = M._regressions(panel, loads, [1, k], [order], horizon, TARGETS)
     got = {(r["entity"], r["q"], r["k"], r["ord"], r["target"], r["horizon"]): (r["pred"], r["sd"])
            for r in M._forecasts(panel, loads, fits, [1, k], [order], horizon).collect()}

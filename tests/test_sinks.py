@@ -71,3 +71,32 @@ def test_anchor_is_the_last_complete_quarter(spark):
     b = build(spark, SMOKE)
     assert b.month_bounds[1] > b.anchor  # later months are read, and trimmed by the anchor only
     assert b.panel_q().filter(F.col("date") > F.lit(b.anchor)).count() > 0
+
+
+def test_bucketed_forecasts_and_actuals_are_scored_without_a_shuffle(spark, tmp_path):
+    import datetime as dt
+
+    from panelcast.operators.score import FORECASTS_SCHEMA, join_actuals, rmse
+    from panelcast.sources.sinks import bucketed
+
+    days = [dt.date(2000, 1 + 3 * q, 1) for q in range(4)]
+    rows = [("r", m, f"e{e}", t, "d12", 1, 1, days[0], d, float(e + k), None, None)
+            for m in ("a", "b") for e in range(6) for t in ("x", "y") for k, d in enumerate(days)]
+    actual = [(f"e{e}", t, d, float(e)) for e in range(6) for t in ("x", "y") for d in days]
+    fdf = spark.createDataFrame(rows, FORECASTS_SCHEMA).repartition(3)
+    adf = spark.createDataFrame(actual, "entity string, target string, date date, y double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(fdf, str(tmp_path / "f"), 5) as f, bucketed(adf, str(tmp_path / "a"), 5) as a:
+            joined = join_actuals(f.where(f.date >= days[1]), a)
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            plan = rmse(joined)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("SortMergeJoin")
+            got = sorted(map(tuple, rmse(joined).collect()))
+            name = f._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted(map(tuple, rmse(join_actuals(fdf.where(fdf.date >= days[1]), adf)).collect()))
+    assert "scored_" in name and not [t for t in spark.catalog.listTables() if t.name.startswith("scored_")]
+    assert spark.read.parquet(str(tmp_path / "f")).count() == len(rows)
