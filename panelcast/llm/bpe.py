@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import table
+from panelcast.llm.common import table, tenant
 
 NEVER = 1 << 30
 
@@ -104,10 +104,11 @@ class SuffixAutomaton:
 class Bpe:
     """A byte-level vocabulary: ``ids(texts)`` and ``text(ids)``."""
 
-    piece_limit = 450_000   # pieces of text whose ids are kept
-    pair_limit = 500_000    # token pairs whose compatibility is kept
+    piece_bytes = 32 << 20  # of pieces whose ids are kept, by ``_cost``
+    piece_chars = 64        # a longer piece is not kept
+    pair_limit = 200_000    # token pairs whose compatibility is kept (about 20 MB)
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, patterns: tuple[str, str] | None = None):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letter = _byte_letters()
@@ -131,8 +132,8 @@ class Bpe:
         self.automaton = SuffixAutomaton(reachable)
         self.compatible: dict[int, bool] = {}  # both ids in one number
         self.pieces: dict[str | int, tuple[int, ...]] = {}
-        low, full = _piece_patterns(path)
-        self.find_low, self.find_full = low.findall, full.findall
+        self.held = 0
+        self.find_low, self.find_full = (re.compile(x).findall for x in patterns or piece_patterns(path))
 
     def _spine(self, t: int, side: int) -> list[tuple[int, int, int]]:
         """(token, made at, merged away at) along one edge of a token's merge tree, the token first."""
@@ -228,21 +229,31 @@ class Bpe:
         split = [self._split(t) for t in texts]
         wanted = set().union(*split)
         new = wanted.difference(self.pieces)
-        if len(self.pieces) + len(new) > self.piece_limit:
+        if self.held + sum(map(_cost, new)) > self.piece_bytes:
             self.pieces.clear()
-            new = wanted
+            self.held, new = 0, wanted
+        self.held += sum(map(_cost, new))
         for i in [x for x in new if isinstance(x, int)]:
             self.pieces[i] = (i,)
             new.discard(i)
         raw = sorted((w.encode(), w) for w in new)
         self.pieces.update(zip((w for _, w in raw), self.encode_pieces([r for r, _ in raw])))
         known = self.pieces.__getitem__
-        return [list(chain.from_iterable(map(known, pieces))) for pieces in split]
+        out = [list(chain.from_iterable(map(known, pieces))) for pieces in split]
+        for w in [w for w in new if len(w) > self.piece_chars]:
+            self.held -= _cost(w)
+            del self.pieces[w]
+        return out
 
     def text(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _cost(piece: str | int) -> int:
+    """Bytes of a kept piece: its text, its tuple of ids and its place in the dictionary, at most one id a byte."""
+    return 200 + 9 * len(piece) if isinstance(piece, str) else 150
+
+
 def _ranges(chars: list[str]) -> str:
     """The characters as the inside of a regular expression's class."""
     out: list[list[int]] = []
@@ -254,12 +265,14 @@ def _ranges(chars: list[str]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-def _piece_patterns(path: str) -> tuple[re.Pattern, re.Pattern]:
+@functools.lru_cache(maxsize=2)
+def piece_patterns(path: str) -> tuple[str, str]:
     """The byte-level pre-tokeniser's rule, with its library's own notion of letters and numbers.
 
     Libraries follow different Unicode versions, so every letter and number that one of them knows is
     shown once to the pre-tokeniser: it is a letter if it stays with an "a", a number if with a "1".
-    The first pattern is for texts of the basic plane only, whose classes are plain bitmaps.
+    The first pattern is for texts of the basic plane only, whose classes are plain bitmaps.  The driver
+    finds the patterns and sends them along, so that no task loads those libraries.
     """
     import regex
     from tokenizers import Tokenizer
@@ -281,17 +294,22 @@ def _piece_patterns(path: str) -> tuple[re.Pattern, re.Pattern]:
     space = known(regex.compile(r"\s").findall)
     letters, numbers = probed(regex.compile(r"\p{L}").findall, "a"), probed(regex.compile(r"\p{N}").findall, "1")
 
-    def pattern(last: str) -> re.Pattern:
+    def pattern(last: str) -> str:
         s, w, n = (_ranges([c for c in x if c <= last]) for x in (space, letters, numbers))
-        return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{w}]+| ?[{n}]+| ?[^{s}{w}{n}]+|[{s}]+(?![^{s}])|[{s}]+")
+        return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{w}]+| ?[{n}]+| ?[^{s}{w}{n}]+|[{s}]+(?![^{s}])|[{s}]+"
 
     return pattern("\uffff"), pattern("\U0010ffff")
 
 
 @functools.lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
+def load(path: str, patterns: tuple[str, str] | None = None) -> Bpe:
     """One vocabulary per Python worker."""
-    return Bpe(path)
+    return Bpe(path, patterns)
+
+
+def _release() -> None:
+    load.cache_clear()
+    token_bytes.cache_clear()
 
 
 @functools.lru_cache(maxsize=2)
@@ -306,7 +324,8 @@ def token_bytes(path: str) -> dict[int, bytes]:
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs``, all columns, with the token ids of ``text`` as an array column ``out``."""
     path = path or default_vocabulary()
-    return _mapped(docs, text, {out: _IDS}, lambda: _encoder(path))
+    patterns = piece_patterns(path)
+    return _mapped(docs, text, {out: _IDS}, lambda: _encoder(path, patterns))
 
 
 def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -318,9 +337,10 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str
 def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs``, all columns, with the ids of ``text`` and the text of those ids, in one pass through one worker."""
     path = path or default_vocabulary()
+    patterns = piece_patterns(path)
 
     def both():
-        there, back = _encoder(path), _decoder(path)
+        there, back = _encoder(path, patterns), _decoder(path)
 
         def run(texts: pa.Array) -> list[pa.Array]:
             found = there(texts)
@@ -335,12 +355,14 @@ _IDS, _TEXT = ("array<int>", pa.list_(pa.int32())), ("string", pa.string())
 GROUP_BYTES = 2 << 20
 
 
-def _encoder(path: str):
-    bpe = load(path)
+def _encoder(path: str, patterns: tuple[str, str]):
+    tenant("bpe", _release)
+    bpe = load(path, patterns)
     return lambda texts: [pa.array(bpe.ids([t or "" for t in texts.to_pylist()]), _IDS[1])]
 
 
 def _decoder(path: str):
+    tenant("bpe", _release)
     known = token_bytes(path).__getitem__
 
     def run(ids: pa.Array) -> list[pa.Array]:

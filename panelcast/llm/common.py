@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,17 +50,49 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_tenants: dict[str, Callable[[], object]] = {}
+
+
+def tenant(name: str, release: Callable[[], object] = lambda: None) -> None:
+    """Called as a task begins: a Python worker is used again by later stages, and what another operator's tasks
+    keep in it (a vocabulary, word hashes) is released, and given back to the system, before this one fills its own."""
+    if name in _tenants:
+        return
+    others = list(_tenants.values())
+    _tenants.clear()
+    _tenants[name] = release
+    if others:
+        for r in others:
+            r()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 class WordHash(dict):
-    """word bytes -> 64-bit hash; bounded, so that a worker's memory is bounded too."""
+    """word bytes -> 64-bit hash; bounded in bytes, so that a worker's memory is bounded too."""
 
-    limit = 400_000
+    limit = 48 << 20    # bytes of words and entries
+    longest = 256       # a longer word is not kept
+
+    def __init__(self):
+        super().__init__()
+        self.held = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.longest:
+            if self.held >= self.limit:
+                self.clear()
+            self[word] = h
+            self.held += 150 + len(word)
         return h
 
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
 
 _words = WordHash()
 
@@ -72,6 +106,11 @@ _POSITION = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
                       0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=U64)
 
 
+def words_tenant() -> None:
+    """For tasks that hash words."""
+    tenant("words", _words.clear)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import U64, chunks, cut, fresh, shingle_hashes, table, text_bytes, word_hashes
+from panelcast.llm.common import U64, chunks, cut, fresh, shingle_hashes, table, text_bytes, word_hashes, words_tenant
 
 # A-Z to a-z, and every ASCII character that is neither a letter nor a digit to a space.
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -56,6 +56,7 @@ def _windows(p: DecontaminationParams):
                         ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_tenant()
         def rows(b: pa.RecordBatch):
             for i, t in zip(b.column("item_id").to_pylist(), text_bytes(b, "text"), strict=True):
                 h = word_hashes(words_of(t))
@@ -91,6 +92,7 @@ def _token_counts(widths: list[int], shared):
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_tenant()
         bits = shared.value
         held: list[np.ndarray] = []
         size = 0
@@ -123,6 +125,7 @@ def _candidates(widths: list[int], p: DecontaminationParams, shared):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("at", at_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_tenant()
         bits = shared.value
 
         def rows(b: pa.RecordBatch):

@@ -21,13 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import chunks, cut, fresh, table, text_bytes
+from panelcast.llm.common import chunks, cut, fresh, table, tenant, text_bytes
 
 
 @dataclass(frozen=True)
@@ -54,6 +53,8 @@ def _key_rows(min_chars: int):
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tenant("lines")
+
         def rows(b: pa.RecordBatch):
             for i, t in zip(b.column("doc_id").to_pylist(), text_bytes(b, "text"), strict=True):
                 for k in {k for k in line_keys(t, min_chars) if k}:
@@ -68,6 +69,8 @@ def _key_rows(min_chars: int):
 def _rebuild(min_chars: int, schema: pa.Schema):
     """Adds n_lines, n_dropped and the kept text; ``gone`` holds the dropped keys' hashes end to end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tenant("lines")
+
         def rows(b: pa.RecordBatch):
             for i, t, gone in zip(b.column("doc_id").to_pylist(), text_bytes(b, "text"), b.column("gone").to_pylist(), strict=True):
                 lines = t.split(b"\n")
@@ -157,24 +160,23 @@ def dedup(docs: DataFrame, p: LineParams = LineParams(), doc_id: str = "doc_id",
     gone_name, id_name = fresh(docs, "gone", "gone_id")
     gone = (dropped_keys(lean, p).groupBy(F.col("doc_id").alias(id_name))
             .agg(F.collect_list(F.struct("h1", "h2")).alias(gone_name)))
-    kept = F.pandas_udf(_kept_series(p.min_chars), "string")
+    kept = F.arrow_udf(_kept_texts(p.min_chars), "string")
     return (docs.join(gone, F.col(doc_id).cast("long") == F.col(id_name), "left")
             .withColumn(text, F.when(F.col(gone_name).isNull(), F.col(text)).otherwise(kept(F.col(text), F.col(gone_name))))
             .select(*docs.columns))
 
 
-def _kept_series(min_chars: int):
-    def kept(texts: pd.Series, gone: pd.Series) -> pd.Series:
+def _kept_texts(min_chars: int):
+    def kept(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        tenant("lines")
         out = []
-        for t, g in zip(texts, gone, strict=True):
-            if t is None or g is None:
-                out.append(t)
-                continue
-            raw = t.encode()
-            lost = {x["h1"].to_bytes(8, "little", signed=True) + x["h2"].to_bytes(8, "little", signed=True) for x in g}
-            out.append(b"\n".join(x for x, k in zip(raw.split(b"\n"), line_keys(raw, min_chars), strict=True)
-                                  if k not in lost).decode())
-        return pd.Series(out, dtype=object)
+        for t, g in zip(texts.cast(pa.binary()), gone.to_pylist(), strict=True):
+            raw = t.as_py()
+            if raw is not None and g is not None:
+                lost = {x["h1"].to_bytes(8, "little", signed=True) + x["h2"].to_bytes(8, "little", signed=True) for x in g}
+                raw = b"\n".join(x for x, k in zip(raw.split(b"\n"), line_keys(raw, min_chars), strict=True) if k not in lost)
+            out.append(raw)
+        return pa.array(out, pa.binary()).cast(pa.string())
 
     return kept
 

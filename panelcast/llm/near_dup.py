@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import U64, chunks, components, cut, fresh, mix, shingle_hashes, table, text_bytes, word_hashes
+from panelcast.llm.common import U64, chunks, components, cut, fresh, mix, shingle_hashes, table, text_bytes, word_hashes, words_tenant
 
 
 @dataclass(frozen=True)
@@ -102,6 +102,7 @@ def _signatures(p: ForestParams):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_tenant()
         mh = MinHash(p)
 
         def rows(b: pa.RecordBatch):
@@ -131,6 +132,7 @@ def _regions(p: ForestParams):
     schema = pa.schema([("region", pa.int64()), ("tree", pa.int32()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_tenant()
         order = _orders(p)
         for b in batches:
             yield from chunks(((xxhash.xxh3_64_intdigest(head) - (1 << 63), t, i)

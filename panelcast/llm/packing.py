@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.bpe import _byte_letters, default_vocabulary
-from panelcast.llm.common import chunks, table
+from panelcast.llm.common import chunks, table, tenant
 
 
 @dataclass(frozen=True)
@@ -238,6 +238,7 @@ def pack(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text:
                         ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tenant("packing", load.cache_clear)
         encode = load(path).ids
         first = TaskContext.get().partitionId() << 40
 

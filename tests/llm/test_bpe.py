@@ -38,7 +38,7 @@ def test_every_token_encodes_to_itself(own):
 
 def test_small_caches_do_not_change_the_ids(library):
     small = bpe.Bpe(bpe.default_vocabulary())
-    small.piece_limit, small.pair_limit = 5, 5
+    small.piece_bytes, small.piece_chars, small.pair_limit = 900, 4, 5
     texts = ["The quick brown fox jumps over the lazy dog, again and again and again.", "dogs", "", "The lazy quickest fox"]
     assert small.ids(texts) == small.ids(texts) == [library.encode(t).ids for t in texts]
 
