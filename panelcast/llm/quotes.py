@@ -124,9 +124,13 @@ def threads(messages: DataFrame, links: DataFrame) -> DataFrame:
             return node.withColumnsRenamed({"up_conv": "thread_conv", "up_turn": "thread_turn"})
 
 
+RESULTS = ("passages", "clean", "levels", "n_quotes", "n_linked", "reply_conv", "reply_turn", "thread_conv", "thread_turn", "depth", "formatted")
+
+
 def build(conversations: DataFrame) -> DataFrame:
     """``conversations`` without ``text``, sorted by thread, with levels, n_quotes, n_linked, reply and thread keys,
-    depth, the clean text and its chat format."""
+    depth, the clean text and its chat format.  Input columns with a name of ``RESULTS`` (in any case) are replaced."""
+    conversations = conversations.drop(*(c for c in conversations.columns if c.lower() in RESULTS))
     names = [c for c in conversations.columns if c != "text"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in conversations.schema if f.name != "text")
     parsed = cut(conversations.mapInArrow(

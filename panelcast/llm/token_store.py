@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import bpe
-from panelcast.llm.common import U64, chunks, cut, mix, table, text_bytes
+from panelcast.llm.common import U64, chunks, cut, mix, table, tenant, text_bytes
 from panelcast.session import ensure_checkpoint_dir
 
 
@@ -88,10 +88,12 @@ class Feistel:
 
 
 def _sequences(path: str, p: StoreParams):
+    patterns = bpe.piece_patterns(path)
     schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("n_ids", pa.int32()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = bpe.load(path)
+        tenant("bpe", bpe._release)
+        own = bpe.load(path, patterns)
 
         def rows(b: pa.RecordBatch):
             size = max(1, b.num_rows * bpe.GROUP_BYTES // max(1, b.nbytes))
@@ -160,7 +162,7 @@ def _write_shards(folder: str, p: StoreParams):
 def write(docs: DataFrame, folder: str, path: str | None = None, p: StoreParams = StoreParams()) -> tuple[DataFrame, DataFrame]:
     """Write the shards of ``docs(doc_id, text)`` into ``folder`` (a URI every executor can write to).
 
-    Returns the manifest ``(slot, doc_id, part, n_ids)`` and the shards ``(shard, file, records, sha256)``.
+    A folder that holds shards is refused.  Returns the manifest ``(slot, doc_id, part, n_ids)`` and the shards ``(shard, file, records, sha256)``.
     """
     path = path or bpe.default_vocabulary()
     spark = docs.sparkSession
@@ -179,7 +181,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, p: StoreParams
                .withColumn("index", F.col("before") + at).drop("task", "before", "own")
                .mapInArrow(_slots(max(total, 1), p), "doc_id long, part int, n_ids int, ids binary, index long, slot long"))
     root, made = folder.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path(folder)
-    made.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(made)
+    store = made.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(made)
+    if any(f.getPath().getName().startswith("shard-") for f in store.listStatus(made)):
+        raise ValueError(f"{folder} holds shards already, and a shorter run would leave some of them; name a new folder")
     tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     shard = F.floor(F.col("slot") / p.shard_rows)
     # slots are even by construction, so the ranges are computed, not sampled: task = shard * tasks / shards

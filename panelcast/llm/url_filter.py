@@ -109,17 +109,23 @@ def blocked_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, labels: DataFrame, p: RuleParams = RuleParams(), rules=LIST,
           page_id: str = "page_id", url: str = "url") -> DataFrame:
-    """``pages``, all columns, with host, path, rule, verdict.  ``labels(page_id, bad)``."""
+    """``pages``, all columns, with host, path, rule, verdict.  ``labels(page_id, bad)``.
+
+    Input columns with one of those four names (in any case) are replaced; the ids and URLs are read before.
+    """
+    result = {"host", "path", "rule", "verdict"}
+    (own,) = fresh(pages, "own_url")
+    pages = pages.withColumn(own, F.col(url))
     lean = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
     (hit,) = fresh(pages, "hit_url")
     open_ = lean.where(list_rule(url_host(F.col("url")), url_path(F.col("url")), rules)[0].isNull())
     blocked = blocked_urls(open_, mine(lean, labels, p)).select(F.col("url").alias(hit))
     rule, verdict = list_rule(F.col("host"), F.col("path"), rules)
-    return (pages.join(blocked, F.col(url) == F.col(hit), "left")
-            .withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    return (pages.drop(*(c for c in pages.columns if c.lower() in result)).join(blocked, F.col(own) == F.col(hit), "left")
+            .withColumns({"host": url_host(F.col(own)), "path": url_path(F.col(own))})
             .withColumn("rule", rule)
             .withColumn("verdict", F.coalesce(verdict, F.when(F.col(hit).isNotNull(), "block").otherwise("allow")))
-            .drop(hit))
+            .drop(hit, own))
 
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:

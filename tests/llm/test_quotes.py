@@ -118,3 +118,12 @@ def test_query_returns_every_message_without_its_quotes(spark):
     for r in rows:
         clean = C.clean_text(C.quote_levels((r["text"] or "").encode()))
         assert digest[r["conv_id"], r["turn"]] == hashlib.sha256(f"<|{r['role']}|>\n{clean}\n".encode()).hexdigest()
+
+
+def test_columns_named_like_results_are_replaced(spark, frame):
+    rows = [(1, 0, "user", "hello there everyone here", 1, 2, 3), (1, 1, "user", "> hello there everyone here\nyes", 4, 5, 6)]
+    plain = frame([r[:4] for r in rows], "conv_id long, turn int, role string, text string")
+    clash = frame(rows, "conv_id long, turn int, role string, text string, Clean int, depth int, n_linked int")
+    got = C.build(clash)
+    assert sorted(got.columns) == sorted(C.build(plain).columns)
+    assert sorted(map(str, got.select(*sorted(got.columns)).collect())) == sorted(map(str, C.build(plain).select(*sorted(got.columns)).collect()))

@@ -62,3 +62,10 @@ def test_query_stores_the_whole_table(spark):
     assert {(r["doc_id"], r["part"], r["ids_sha256"]) for r in got} == want and len(got) == len(want)
     assert sorted(r["slot"] for r in got) == list(range(len(want)))
     assert all(r["shard"] == r["slot"] // 4096 and r["offset"] == r["slot"] % 4096 * (4 + 2 * 512) for r in got)
+
+
+def test_a_folder_with_shards_is_refused(spark, frame, tmp_path):
+    p = T.StoreParams(seq_len=8, shard_rows=5)
+    _store(spark, frame, tmp_path, [(i, "some words of a text", 0) for i in range(30)], p)
+    with pytest.raises(ValueError, match="holds shards already"):
+        _store(spark, frame, tmp_path, [(1, "short", 0)], p)

@@ -66,3 +66,12 @@ def test_main_path_has_no_python(spark, frame):
     labels = frame([(i, i % 2 == 0) for i in range(len(URLS))], "page_id long, bad boolean")
     plan = U.judge(pages, labels)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("PythonUDF", "Pandas", "MapInArrow"))
+
+
+def test_columns_named_like_results_are_replaced(spark, frame):
+    rows = [(i, u, f"mine {i}", "x", True) for i, u in enumerate(URLS)]
+    labels = frame([(0, True)], "page_id long, bad boolean")
+    got = U.judge(frame(rows, "page_id long, url string, Host string, rule string, kept boolean"), labels)
+    want = U.judge(frame([(r[0], r[1], r[4]) for r in rows], "page_id long, url string, kept boolean"), labels)
+    assert sorted(got.columns) == sorted(want.columns) == ["host", "kept", "page_id", "path", "rule", "url", "verdict"]
+    assert sorted(map(str, got.select(*sorted(got.columns)).collect())) == sorted(map(str, want.select(*sorted(want.columns)).collect()))
