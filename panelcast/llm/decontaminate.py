@@ -18,7 +18,7 @@ which AQE splits; no two documents ever meet.
 
 Defined cases: null and empty texts have no words, no hits and are clean; a null ``doc_id`` or ``item_id`` is
 judged like any other (a null item_id counts as an item, and stands in no id list); rows that repeat a
-doc_id are judged one by one; repeated items count once per item_id; an empty benchmark hits nothing;
+doc_id are judged, and kept or dropped, one by one; repeated items count once per item_id; an empty benchmark hits nothing;
 extra columns pass through ``keep_clean``.
 """
 
@@ -210,10 +210,16 @@ def covered_words(spans):
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, p: DecontaminationParams = DecontaminationParams(),
                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, without contaminated documents (rows that repeat a doc_id go together)."""
-    (name,) = fresh(docs, "gone_id")
-    gone = hit_report(docs, benchmark, p, doc_id, text).where("contaminated").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col(name)), "left_anti")
+    """``docs``, all columns, without contaminated documents.
+
+    Every row is judged by its own text: rows are told apart by the hash of doc_id and text, so a row that shares a
+    doc_id, or a null one, with a contaminated row stays unless its text is contaminated too.
+    """
+    (name,) = fresh(docs, "gone_row")
+    key = F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
+    gone = hit_report(docs.select(key.alias("doc_id"), F.col(text).alias("text")), benchmark, p).where("contaminated") \
+        .select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, key == F.col(name), "left_anti")
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@
    ``near_pct`` per cent of the values are joined into candidate clusters (a star per cluster and
    region, never all pairs).  A region of more than ``region_rows`` classes adapts its depth: it is cut
    where neighbours share the shortest prefix, so that what stays together shares a longer one, and the
-   neighbours across a cut, the longest common prefix there, are still compared.
+   neighbours across a cut, the longest common prefix there, are still compared.  All classes of such regions
+   are searched again by the exact join of step 3, so what a cut parts is not lost.
 3. Candidate clusters (connected components of the stars) are confirmed on the full shingle sets: each
    cluster is searched breadth-first with exact intersections, and gives a star per true component.
    A cluster of more than ``piece_shingles`` shingles is first split into pieces by deepening
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +129,10 @@ def _heads(sig: bytes, order: np.ndarray, trees, depth: int) -> list[bytes]:
     return [bytes([t]) + s[order[t, :depth]].tobytes() for t in trees]
 
 
+def _region(head: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(head) - (1 << 63)
+
+
 def _regions(p: ForestParams):
     """Per class and tree the region's hash: light rows, to find the regions that several classes share."""
     schema = pa.schema([("region", pa.int64()), ("tree", pa.int32()), ("id", pa.int64())])
@@ -135,7 +141,7 @@ def _regions(p: ForestParams):
         words_tenant()
         order = _orders(p)
         for b in batches:
-            yield from chunks(((xxhash.xxh3_64_intdigest(head) - (1 << 63), t, i)
+            yield from chunks(((_region(head), t, i)
                                for i, sig in zip(b.column("id").to_pylist(), b.column("sig").to_pylist(), strict=True)
                                for t, head in enumerate(_heads(sig, order, range(p.trees), p.depth))), schema)
 
@@ -144,7 +150,7 @@ def _regions(p: ForestParams):
 
 def _labels(p: ForestParams):
     """Per class and listed tree the whole sorted label: the first values in full, one byte of each later one."""
-    schema = pa.schema([("label", pa.binary()), ("id", pa.int64())])
+    schema = pa.schema([("region", pa.int64()), ("label", pa.binary()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _orders(p)
@@ -153,7 +159,7 @@ def _labels(p: ForestParams):
             for i, sig, trees in zip(*(b.column(c).to_pylist() for c in ("id", "sig", "trees")), strict=True):
                 low = (np.frombuffer(sig, dtype=np.uint32) & np.uint32(255)).astype(np.uint8)
                 for t, head in zip(trees, _heads(sig, order, trees, p.depth), strict=True):
-                    yield head + low[order[t, p.depth:]].tobytes(), i
+                    yield _region(head), head + low[order[t, p.depth:]].tobytes(), i
 
         for b in batches:
             yield from chunks(rows(b), schema)
@@ -439,11 +445,19 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
     classes = cut(linked.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
 
     region = cut(classes.select("id", "sig").mapInArrow(_regions(p), "region long, tree int, id long"))
-    shared = region.groupBy("region").count().where("count > 1").select("region")
+    sizes = region.groupBy("region").count()
+    shared = sizes.where("count > 1").select("region")
+    crowded = cut(sizes.where(F.col("count") > p.region_rows).select("region"))
     member = region.join(shared, "region").groupBy("id").agg(F.collect_list("tree").alias("trees"))
-    forest = cut(classes.select("id", "sig").join(member, "id").mapInArrow(_labels(p), "label binary, id long"))
-    stars = (forest.repartitionByRange(slices, "label", "id").sortWithinPartitions("label", "id")
-             .mapInArrow(_near_stars(p), "a long, b long"))
+    forest = cut(classes.select("id", "sig").join(member, "id").mapInArrow(_labels(p), "region long, label binary, id long"))
+    # a region is whole in one task; one of more than region_rows classes is dealt out by range and cut, and what the cuts part is searched below
+    some, cutting = forest, not crowded.isEmpty()
+    if cutting:
+        some = forest.join(crowded, "region", "left_anti")
+    stars = some.repartition(slices, "region").select("label", "id").sortWithinPartitions("label", "id").mapInArrow(_near_stars(p), "a long, b long")
+    if cutting:
+        stars = stars.unionByName(forest.join(crowded, "region", "left_semi").select("label", "id").repartitionByRange(slices, "label", "id")
+                                  .sortWithinPartitions("label", "id").mapInArrow(_near_stars(p), "a long, b long"))
     cluster = components(stars).withColumnRenamed("component", "cluster")
     cluster = cut(cluster.join(classes.groupBy("id").agg(F.max("n").alias("n")), "id"))
 
@@ -453,8 +467,12 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
             .withColumnRenamed("doc_id", "id").mapInArrow(_shingle_sets(p), "id long, shingles binary"))
     links = cut(piece.join(sets, "id").groupBy("piece").applyInArrow(_confirm(p), "a long, b long"))
     comp = components(links)
-    if oversized is not None:
-        comp = components(_plain(links.unionByName(_rest_links(docs, oversized, _plain(comp), p))))
+    rest = [] if oversized is None else [oversized.select("id")]
+    if cutting:
+        rest.append(forest.join(crowded, "region", "left_semi").select("id"))
+    if rest:
+        rest = cut(reduce(DataFrame.unionByName, rest).distinct())
+        comp = components(_plain(links.unionByName(_rest_links(docs, rest, _plain(comp), p))))
 
     of_class = (classes.select("d1", "d2", "n", "id").join(comp, "id", "left")
                 .select("d1", "d2", "n", F.coalesce("component", "id").alias("component")))

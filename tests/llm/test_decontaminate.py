@@ -45,9 +45,18 @@ def test_keep_clean_and_empty_tables(spark, frame):
     docs, items = _case()
     d = frame([(i, t, "x") for i, t in docs], "doc_id long, text string, gone_id string")
     b = frame(items, "item_id long, text string")
-    bad = {i for i, t in docs for n, hit, _ in [brute.contamination(t, items)] if hit and 20 * hit >= n}
+    bad = {t for _, t in docs for n, hit, _ in [brute.contamination(t, items)] if hit and 20 * hit >= n}
     kept = D.keep_clean(d, b)
     assert kept.columns == d.columns
-    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(i) for i, _ in docs if i not in bad)
+    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(i) for i, t in docs if t not in bad)
     assert D.keep_clean(d, frame([], b.schema)).count() == len(docs)
     assert D.hit_report(frame([], d.schema), b).collect() == []
+
+
+def test_keep_clean_judges_rows_that_share_an_id_one_by_one(spark, frame):
+    from panelcast.llm import decontaminate as M
+
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    rows = [(None, item), (None, "nothing of it here"), (None, None), (5, item + " and more"), (5, "a clean text"), (6, "clean as well")]
+    got = M.keep_clean(frame(rows, "doc_id long, text string"), frame([("i", item)], "item_id string, text string"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[1], rows[2], rows[4], rows[5]]))

@@ -36,11 +36,12 @@ def test_equals_brute_force(spark, frame):
 
 
 def test_small_regions_and_pieces_find_the_same_components(spark, frame):
-    """Regions deepen and clusters split into pieces; the hub and the trees keep the groups together."""
+    """Regions are cut and clusters split into pieces; the exact join finds what that parts."""
     rows = _corpus()
     comp = brute.near_components(rows, 5)
-    got = _got(frame(rows, "doc_id long, text string"), N.ForestParams(region_rows=3, piece_shingles=500))
-    assert sum(got[i][1] == c for i, c in comp.items()) >= 0.95 * len(comp)
+    df = frame(rows, "doc_id long, text string")
+    for p in (N.ForestParams(region_rows=3, piece_shingles=500), N.ForestParams(region_rows=2)):
+        assert {i: c[1] for i, c in _got(df, p).items()} == comp
 
 
 def test_exact_stars_confirm_the_threshold():
