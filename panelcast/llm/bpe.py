@@ -104,9 +104,9 @@ class SuffixAutomaton:
 class Bpe:
     """A byte-level vocabulary: ``ids(texts)`` and ``text(ids)``."""
 
-    piece_bytes = 32 << 20  # of pieces whose ids are kept, by ``_cost``
+    piece_bytes = 128 << 20  # of pieces whose ids are kept, by ``_cost``
     piece_chars = 64        # a longer piece is not kept
-    pair_limit = 200_000    # token pairs whose compatibility is kept (about 20 MB)
+    pair_limit = 400_000    # token pairs whose compatibility is kept (about 40 MB)
 
     def __init__(self, path: str, patterns: tuple[str, str] | None = None):
         with open(path, encoding="utf-8") as f:
@@ -229,10 +229,12 @@ class Bpe:
         split = [self._split(t) for t in texts]
         wanted = set().union(*split)
         new = wanted.difference(self.pieces)
-        if self.held + sum(map(_cost, new)) > self.piece_bytes:
+        cost = sum(map(_cost, new))
+        if self.held + cost > self.piece_bytes:
             self.pieces.clear()
             self.held, new = 0, wanted
-        self.held += sum(map(_cost, new))
+            cost = sum(map(_cost, new))
+        self.held += cost
         for i in [x for x in new if isinstance(x, int)]:
             self.pieces[i] = (i,)
             new.discard(i)
@@ -340,11 +342,12 @@ def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", ids
     patterns = piece_patterns(path)
 
     def both():
-        there, back = _encoder(path, patterns), _decoder(path)
+        tenant("bpe", _release)
+        bpe, known = load(path, patterns), token_bytes(path).__getitem__
 
         def run(texts: pa.Array) -> list[pa.Array]:
-            found = there(texts)
-            return [*found, *back(found[0])]
+            found = bpe.ids([t or "" for t in texts.to_pylist()])
+            return [pa.array(found, _IDS[1]), pa.array([_text_of(x, known) for x in found], pa.string())]
 
         return run
 
@@ -355,6 +358,10 @@ _IDS, _TEXT = ("array<int>", pa.list_(pa.int32())), ("string", pa.string())
 GROUP_BYTES = 2 << 20
 
 
+def _text_of(ids, known) -> str:
+    return b"".join(map(known, ids)).decode("utf-8", "replace")
+
+
 def _encoder(path: str, patterns: tuple[str, str]):
     tenant("bpe", _release)
     bpe = load(path, patterns)
@@ -366,7 +373,7 @@ def _decoder(path: str):
     known = token_bytes(path).__getitem__
 
     def run(ids: pa.Array) -> list[pa.Array]:
-        return [pa.array([b"".join(map(known, x or ())).decode("utf-8", "replace") for x in ids.to_pylist()], pa.string())]
+        return [pa.array([_text_of(x or (), known) for x in ids.to_pylist()], pa.string())]
 
     return run
 
