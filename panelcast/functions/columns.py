@@ -38,7 +38,18 @@ def month_in_quarter(date: str | Column) -> Column:
 
 def cents(amount: str | Column) -> Column:
     """Money as an exact integer number of cents (sums stay exact and fast)."""
-    return F.round(col(amount) * 100).cast("long")
+    return round_whole(col(amount) * 100).cast("long")
+
+
+def round_whole(x: str | Column) -> Column:
+    """``F.round`` of a double to a whole number, half away from zero, without its decimal text per row.
+
+    ``rint`` differs from it in ties only, and the distance to the nearest whole number is exact, so a
+    tie is seen as one.  NULL, NaN and infinities stay what they are.
+    """
+    x = col(x).cast("double")
+    r = F.rint(x)
+    return F.when((x > 0) & (x - r == 0.5), r + 1).when((x < 0) & (x - r == -0.5), r - 1).otherwise(r)
 
 
 def from_cents(c: str | Column) -> Column:
