@@ -13,6 +13,11 @@ fits, else uint32), unused ones zero.  A shard is written under a name of its ow
 moved to its place, so a repeated task leaves the same file.  The sequences are checkpointed once, since the
 permutation needs n; only the tasks' counts reach the driver.
 
+Ids are those of the tokenizers library (``packing.FastIds``).  Disk beside the shards: the checkpoint holds the
+ids as compressed blocks of ``block_bytes``, and the shards are written in ``rounds_out`` rounds, each a contiguous range
+of shards.  A round reads the blocks, shuffles the sequences of its own range only, and its shuffle files
+are removed as it ends, so a ``rounds_out``-th of the ids lies in a shuffle at a time.
+
 Defined cases: null and empty texts give one sequence with the end token alone; a null ``doc_id`` is
 kept as null in the manifest; repeated rows are stored each; extra columns are ignored; an empty
 table writes no shard.
@@ -20,6 +25,7 @@ table writes no shard.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -27,10 +33,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe
+from panelcast.llm import bpe, packing
 from panelcast.llm.common import U64, chunks, cut, mix, table, tenant, text_bytes
 from panelcast.session import ensure_checkpoint_dir
 
@@ -43,6 +50,8 @@ class StoreParams:
     rounds: int = 6
     end_token: int = 50256
     wide: bool = False          # ids of four bytes, for vocabularies beyond 65,536
+    block_bytes: int = 1 << 20  # ids of a compressed block of the checkpoint
+    rounds_out: int = 4         # rounds in which the shards are written
 
     @property
     def dtype(self) -> np.dtype:
@@ -87,38 +96,81 @@ class Feistel:
         return self._walk(slot, self._back)
 
 
-def _sequences(path: str, p: StoreParams):
-    patterns = bpe.piece_patterns(path)
-    schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("n_ids", pa.int32()), ("ids", pa.binary())])
+# an ended execution's shuffle files are removed at once, not when the driver happens to collect its garbage
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BLOCK = "task int, at long, doc_id array<bigint>, part array<int>, n_ids array<int>, ids binary"
+SHARD = "shard long, file string, records long, sha256 string"
+
+
+def _blocks(path: str, p: StoreParams):
+    """The sequences of a task in their order, as blocks with their ids compressed; ``at`` is the number of the block's first one in its task."""
+    schema = pa.schema([("task", pa.int32()), ("at", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("part", pa.list_(pa.int32())),
+                        ("n_ids", pa.list_(pa.int32())), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tenant("bpe", bpe._release)
-        own = bpe.load(path, patterns)
+        tenant("packing", packing.load.cache_clear)
+        encode = packing.load(path).ids
+        codec, task = pa.Codec("zstd", 2), TaskContext.get().partitionId()
 
-        def rows(b: pa.RecordBatch):
-            size = max(1, b.num_rows * bpe.GROUP_BYTES // max(1, b.nbytes))
-            for start in range(0, b.num_rows, size):
-                some = b.slice(start, size)
-                texts = [t.decode() for t in text_bytes(some, "text")]
-                for i, found in zip(some.column("doc_id").to_pylist(), own.ids(texts), strict=True):
-                    ids = np.array([*found, p.end_token], dtype=p.dtype)
+        def sequences():
+            for b in batches:
+                for i, t in zip(b.column("doc_id").to_pylist(), text_bytes(b, "text"), strict=True):
+                    ids = np.array([*encode(t.decode()), p.end_token], dtype=p.dtype)
                     for part, at in enumerate(range(0, len(ids), p.seq_len)):
-                        seq = ids[at:at + p.seq_len]
-                        yield i, part, len(seq), seq.tobytes()
+                        yield i, part, ids[at:at + p.seq_len]
 
-        for b in batches:
-            yield from chunks(rows(b), schema, size=4_000)
+        def block(at: int, held: list[tuple]) -> tuple:
+            docs, parts, ids = zip(*held, strict=True)
+            return task, at, docs, parts, [len(x) for x in ids], codec.compress(np.concatenate(ids).tobytes(), asbytes=True)
+
+        def rows():
+            at, held, size = 0, [], 0
+            for s in sequences():
+                held.append(s)
+                size += s[2].nbytes
+                if size >= p.block_bytes:
+                    yield block(at, held)
+                    at, held, size = at + len(held), [], 0
+            if held:
+                yield block(at, held)
+
+        yield from chunks(rows(), schema, size=4)
 
     return run
 
 
-def _slots(n: int, p: StoreParams):
+def _numbered(batches: Iterator[pa.RecordBatch], n: int, p: StoreParams) -> Iterator[tuple[dict, np.ndarray]]:
+    """Each block with the slots of its sequences."""
+    perm = Feistel(n, p.key, p.rounds)
+    for b in batches:
+        for k in range(b.num_rows):
+            block = {c: b.column(c)[k] for c in b.schema.names}
+            first = block["first"].as_py()
+            yield block, perm.slot(np.arange(first, first + len(block["n_ids"].values))).astype(np.int64)
+
+
+def _manifest(n: int, p: StoreParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        perm = Feistel(n, p.key, p.rounds)
-        for b in batches:
-            at = b.schema.get_field_index("index")
-            slot = perm.slot(b.column(at).to_numpy()).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(slot)], names=[*b.schema.names, "slot"])
+        for block, slot in _numbered(batches, n, p):
+            yield pa.RecordBatch.from_arrays([pa.array(slot), *(block[c].values for c in ("doc_id", "part", "n_ids"))],
+                                             names=["slot", "doc_id", "part", "n_ids"])
+
+    return run
+
+
+def _records(n: int, p: StoreParams, first: int, last: int):
+    """``(slot, n_ids, ids)`` of the sequences whose slots are from ``first`` up to, not including, ``last``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for block, slot in _numbered(batches, n, p):
+            mine = np.flatnonzero((slot >= first) & (slot < last))
+            if not len(mine):
+                continue
+            n_ids = block["n_ids"].values.to_numpy()
+            ends = np.concatenate(([0], np.cumsum(n_ids, dtype=np.int64) * p.dtype.itemsize))
+            raw = memoryview(codec.decompress(block["ids"].as_buffer(), decompressed_size=int(ends[-1])))
+            ids = pa.array([raw[ends[k]:ends[k + 1]].tobytes() for k in mine], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(slot[mine]), pa.array(n_ids[mine]), ids], names=["slot", "n_ids", "ids"])
 
     return run
 
@@ -166,32 +218,41 @@ def write(docs: DataFrame, folder: str, path: str | None = None, p: StoreParams
     """
     path = path or bpe.default_vocabulary()
     spark = docs.sparkSession
-    seqs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(_sequences(path, p), "doc_id long, part int, n_ids int, ids binary")
-    seqs = cut(seqs.withColumn("own", F.monotonically_increasing_id()))
-    task, at = F.shiftright("own", 33), F.col("own").bitwiseAND((1 << 33) - 1)
-    counts = sorted((r["task"], r["n"]) for r in seqs.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).collect())
+    blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks(path, p), BLOCK))
+    counts = sorted((r["task"], r["n"]) for r in blocks.groupBy("task").agg(F.sum(F.size("n_ids")).alias("n")).collect())
     total, first = 0, []
     for t, n in counts:
         first.append((t, total))
         total += n
-    before = spark.createDataFrame(first, "task long, before long")
-    shards = max(1, -(-total // p.shard_rows))
-    slotted = (seqs.withColumn("task", task).join(F.broadcast(before), "task")  # one row per task
-               .withColumn("index", F.col("before") + at).drop("task", "before", "own")
-               .mapInArrow(_slots(max(total, 1), p), "doc_id long, part int, n_ids int, ids binary, index long, slot long"))
+    before = spark.createDataFrame(first, "task int, before long")
+    blocks = blocks.join(F.broadcast(before), "task").withColumn("first", F.col("before") + F.col("at"))  # one row per task
     root, made = folder.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path(folder)
     store = made.getFileSystem(spark._jsc.hadoopConfiguration())
     store.mkdirs(made)
     if any(f.getPath().getName().startswith("shard-") for f in store.listStatus(made)):
         raise ValueError(f"{folder} holds shards already, and a shorter run would leave some of them; name a new folder")
-    tasks = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    shard = F.floor(F.col("slot") / p.shard_rows)
-    # slots are even by construction, so the ranges are computed, not sampled: task = shard * tasks / shards
-    out = (slotted.withColumn("bin", F.floor(shard * tasks / shards).cast("int"))
-           .repartitionByRange(tasks, "bin").sortWithinPartitions("slot")
-           .mapInArrow(_write_shards(root, p), "shard long, file string, records long, sha256 string"))
-    return slotted.select("slot", "doc_id", "part", "n_ids"), cut(out)
+    shards, most = -(-total // p.shard_rows), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rounds = max(1, min(shards, p.rounds_out))
+    done = [_round(blocks, root, total, p, shards * r // rounds, shards * (r + 1) // rounds, most) for r in range(rounds)]
+    manifest = blocks.select("first", "doc_id", "part", "n_ids").mapInArrow(_manifest(max(total, 1), p), "slot long, doc_id long, part int, n_ids int")
+    return manifest, functools.reduce(DataFrame.unionByName, done)
+
+
+def _round(blocks: DataFrame, root: str, total: int, p: StoreParams, first: int, last: int, most: int) -> DataFrame:
+    """Write the shards from ``first`` up to, not including, ``last``; the shuffle's files go with the round."""
+    spark = blocks.sparkSession
+    tasks = max(1, min(last - first, most))
+    # slots are even by construction, so the ranges are computed, not sampled
+    task = F.floor((F.floor(F.col("slot") / p.shard_rows) - first) * tasks / max(1, last - first)).cast("int")
+    was = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")  # read as a DataFrame is made
+    try:
+        return cut(blocks.select("first", "n_ids", "ids")
+                   .mapInArrow(_records(max(total, 1), p, first * p.shard_rows, last * p.shard_rows), "slot long, n_ids int, ids binary")
+                   .repartitionById(tasks, task).sortWithinPartitions("slot")
+                   .mapInArrow(_write_shards(root, p), SHARD))
+    finally:
+        spark.conf.unset(CLEAN) if was is None else spark.conf.set(CLEAN, was)
 
 
 def read(spark: SparkSession, folder: str, p: StoreParams = StoreParams(), first: int = 0, last: int | None = None) -> DataFrame:
@@ -226,7 +287,7 @@ def op5_token_shards(spark, sf_dir: str) -> DataFrame:
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     manifest, _ = write(table(spark, sf_dir, "documents", "doc_id", "text"), folder, p=p)
     back = read(spark, folder, p).select(
-        "slot", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+        "slot", F.sha2(F.btrim(F.to_json("ids"), F.lit("[]")), 256).alias("ids_sha256"))
     return manifest.join(back, "slot").select(
         "slot", "doc_id", "part", F.col("n_ids").cast("long").alias("n_ids"),
         F.floor(F.col("slot") / p.shard_rows).alias("shard"),

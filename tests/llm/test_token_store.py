@@ -1,10 +1,14 @@
+import random
+import time
+from pathlib import Path
+
 import numpy as np
 import pytest
 
 from panelcast.llm import bpe
 from panelcast.llm import token_store as T
 from tests.llm.brute import sha
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, prose
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 1000, 4097])
@@ -69,3 +73,40 @@ def test_a_folder_with_shards_is_refused(spark, frame, tmp_path):
     _store(spark, frame, tmp_path, [(i, "some words of a text", 0) for i in range(30)], p)
     with pytest.raises(ValueError, match="holds shards already"):
         _store(spark, frame, tmp_path, [(1, "short", 0)], p)
+
+
+def test_beside_the_shards_lie_compressed_ids_and_no_shuffle(spark, frame, tmp_path, monkeypatch):
+    kept, cut = [], T.cut
+    monkeypatch.setattr(T, "cut", lambda df: kept.append(cut(df)) or kept[-1])
+
+    def shuffled():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(f.stat().st_size for d in disk.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data"))
+
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 2_000), 0) for i in range(120)]
+    df = frame(rows, "doc_id long, text string, slot long").cache()
+    assert df.count() == 120
+    before, p = shuffled(), T.StoreParams(seq_len=64, shard_rows=32)
+    manifest, shards = T.write(df, f"file://{tmp_path}/shards", p=p)
+    ids = 2 * sum(r["n_ids"] for r in manifest.collect())
+    for _ in range(40):  # they are removed in the background
+        if (left := shuffled() - before) < ids / 10:
+            break
+        time.sleep(0.25)
+    assert left < ids / 10
+    assert sum(len(r["ids"]) for r in kept[0].collect()) < 0.9 * ids
+    assert [r["shard"] for r in shards.orderBy("shard").collect()] == list(range(-(-manifest.count() // 32)))
+    df.unpersist()
+
+
+def test_blocks_within_a_task_are_numbered_on(spark, frame, tmp_path):
+    p = T.StoreParams(seq_len=8, shard_rows=5, block_bytes=40, rounds_out=3)
+    rows = [(i, "some words of a text " * (1 + i % 9), 0) for i in range(50)]
+    folder, manifest, shards = _store(spark, frame, tmp_path, rows, p)
+    assert sorted(r["slot"] for r in manifest) == list(range(len(manifest))) and sum(s[2] for s in shards) == len(manifest)
+    own, texts = bpe.load(bpe.default_vocabulary()), {i: t for i, t, _ in rows}
+    back = {r["slot"]: r["ids"] for r in T.read(spark, folder, p).collect()}
+    for r in manifest:
+        ids = [*own.ids([texts[r["doc_id"]]])[0], p.end_token]
+        assert back[r["slot"]] == ids[8 * r["part"]:8 * r["part"] + 8]
