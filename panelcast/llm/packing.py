@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -48,6 +49,24 @@ class PackParams:
     pool_rows: int = 4_096      # remainders that a task holds: 16 MB at most
 
 
+LOOK = r"\s+(?!\S)|\s+"  # how the usual pattern ends
+
+
+@dataclass(frozen=True)
+class Known:
+    """What the libraries were asked for a vocabulary: the driver asks once and sends it along, so that no task has to."""
+
+    lost: tuple[str, ...]   # tokens that their own bytes do not give
+    white: str              # white space
+    odd: str                # characters that the two libraries treat differently
+
+
+def _every() -> str:
+    """All characters but letters in every version of Unicode that a library could follow: ideographs, syllables (and surrogates after them)."""
+    known = [(0x3400, 0x4DB6), (0x4E00, 0x9FA6), (0xAC00, 0xE000), (0x20000, 0x2A6D7)]
+    return "".join(map(chr, chain.from_iterable(map(range, [0, *(b for _, b in known)], [*(a for a, _ in known), 0x110000]))))
+
+
 class FastIds:
     """``ids(texts)`` as the tokenizers library gives them with ``add_special_tokens=False``.
 
@@ -59,18 +78,18 @@ class FastIds:
 
     The two libraries may follow different Unicode versions.  Every letter, number and space is shown to both
     once; texts with a character that they treat differently, or with a special token, go to the library.
+
+    The usual pattern looks ahead only to leave the last white space of a run of two or more to what follows it. A
+    text is cut at those places beforehand (few texts have any), so that a pattern without that look splits the rest alike.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: Known | None = None):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
         import public_tokenizers
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letter = _byte_letters()
@@ -78,20 +97,41 @@ class FastIds:
         special = {t["content"] for t in spec["added_tokens"]}
         merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
         order = [vocab[m] for m in merged]
-        self.fast = order == sorted(set(order)) and self._plain(spec)
+        self.fast = order == sorted(set(order)) and self._plain(spec) and public_tokenizers.PATTERN.endswith(LOOK)
         self.always = set(special)
         if not self.fast:
             return
-        own = {w for w in vocab if w not in special and [t.id for t in self.library.model.tokenize(w)] == [vocab[w]]}
-        ranks = {bytes(letter[c] for c in w): vocab[w] for w in own}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        # letters in every version of Unicode that a library could follow: ideographs, syllables (and surrogates after them)
-        known = [(0x3400, 0x4DB6), (0x4E00, 0x9FA6), (0xAC00, 0xE000), (0x20000, 0x2A6D7)]
-        every = "".join(map(chr, chain.from_iterable(map(range, [0, *(b for _, b in known)], [*(a for a, _ in known), 0x110000]))))
-        probes = [(c, f"a{c}a 1{c}1 !{c}! {c}") for c in regex.findall(r"[\p{L}\p{N}\s]", every)]
-        there = self.library.encode_batch([t for _, t in probes], add_special_tokens=False)
-        odd = [c for (c, t), e in zip(probes, there, strict=True) if e.ids != self.encoding.encode_ordinary(t)]
-        self.always |= set(odd)
+        lost = known.lost if known else [w for w, i in vocab.items() if w not in special and [t.id for t in self.library.model.tokenize(w)] != [i]]
+        ranks = {bytes(letter[c] for c in w): vocab[w] for w in vocab.keys() - special - set(lost)}
+        pattern = public_tokenizers.PATTERN.removesuffix(LOOK) + r"\s+"
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        every = "" if known else _every()
+        white = known.white if known else "".join(regex.findall(r"\p{White_Space}", every))
+        some, other = ("".join(re.escape(c) for c in white if c != x) for x in ("", " "))
+        self._pair = re.compile(f"[{other}](?:(?=[{some}])|(?<=[{some}][{other}]))").search  # beside two blanks
+        self._runs = re.compile(f"([{some}]+)(?=[{some}][^{some}])").split
+        self.known = known or Known(tuple(lost), white, self._odd(every))
+        self.always |= set(self.known.odd)
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
+    def _odd(self, every: str) -> str:
+        """The characters that the two libraries treat differently."""
+        import regex
+
+        out, asked = [], regex.findall(r"[\p{L}\p{N}\s]", every)
+        for k in range(0, len(asked), 4_096):
+            probes = [f"a{c}a 1{c}1 !{c}! {c}" for c in asked[k:k + 4_096]]
+            there = self.library.encode_batch(probes, add_special_tokens=False)
+            out += [c for c, t, e in zip(asked[k:], probes, there) if e.ids != self._split(t)]
+        return "".join(out)
 
     @staticmethod
     def _plain(spec: dict) -> bool:
@@ -103,20 +143,36 @@ class FastIds:
 
     @functools.cached_property
     def _needs_library(self):
-        import re
-
         return re.compile("|".join(map(re.escape, sorted(self.always)))).search if self.always else lambda t: None
 
     def ids(self, text: str) -> list[int]:
         if not self.fast or self._needs_library(text):
             return self.library.encode(text, add_special_tokens=False).ids
-        return self.encoding.encode_ordinary(text)
+        return self._split(text)
+
+    def _split(self, text: str) -> list[int]:
+        if "  " not in text and not self._pair(text):
+            return self.encoding.encode_ordinary(text)
+        return list(chain.from_iterable(map(self.encoding.encode_ordinary, self._runs(text))))
+
+    def closed(self, text: str, end: int, dtype) -> np.ndarray:
+        """The ids of ``text`` and the end token."""
+        ids = self.ids(text)
+        ids.append(end)
+        return np.fromiter(ids, dtype, len(ids))
 
 
 @functools.lru_cache(maxsize=2)
-def load(path: str) -> FastIds:
+def load(path: str, known: Known | None = None) -> FastIds:
     """One vocabulary per Python worker."""
-    return FastIds(path)
+    return FastIds(path, known)
+
+
+@functools.lru_cache(maxsize=2)
+def known(path: str) -> Known | None:
+    """For the driver, which keeps no vocabulary; None where the library encodes."""
+    found = FastIds(path)
+    return found.known if found.fast else None
 
 
 def closest_fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -234,18 +290,19 @@ PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 def pack(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text", p: PackParams = PackParams()) -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, and its ids as unsigned 32-bit little-endian numbers."""
     path = path or default_vocabulary()
+    asked = known(path)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                         ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tenant("packing", load.cache_clear)
-        encode = load(path).ids
+        closed = load(path, asked).closed
         first = TaskContext.get().partitionId() << 40
 
         def encoded():
             for b in batches:
                 for i, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                    ids = np.array([*encode(t.as_py() or ""), p.end_token], dtype="<u4")
+                    ids = closed(t.as_py() or "", p.end_token, "<u4")
                     yield (i, len(ids)), ids
 
         def rows():

@@ -28,7 +28,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -104,18 +104,19 @@ SHARD = "shard long, file string, records long, sha256 string"
 
 def _blocks(path: str, p: StoreParams):
     """The sequences of a task in their order, as blocks with their ids compressed; ``at`` is the number of the block's first one in its task."""
+    known = packing.known(path)
     schema = pa.schema([("task", pa.int32()), ("at", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("part", pa.list_(pa.int32())),
                         ("n_ids", pa.list_(pa.int32())), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tenant("packing", packing.load.cache_clear)
-        encode = packing.load(path).ids
+        closed = packing.load(path, known).closed
         codec, task = pa.Codec("zstd", 2), TaskContext.get().partitionId()
 
         def sequences():
             for b in batches:
                 for i, t in zip(b.column("doc_id").to_pylist(), text_bytes(b, "text"), strict=True):
-                    ids = np.array([*encode(t.decode()), p.end_token], dtype=p.dtype)
+                    ids = closed(t.decode(), p.end_token, p.dtype)
                     for part, at in enumerate(range(0, len(ids), p.seq_len)):
                         yield i, part, ids[at:at + p.seq_len]
 
@@ -255,29 +256,55 @@ def _round(blocks: DataFrame, root: str, total: int, p: StoreParams, first: int,
         spark.conf.unset(CLEAN) if was is None else spark.conf.set(CLEAN, was)
 
 
-def read(spark: SparkSession, folder: str, p: StoreParams = StoreParams(), first: int = 0, last: int | None = None) -> DataFrame:
-    """``(slot, n_ids, ids)`` of the slots from ``first`` up to, not including, ``last``."""
+@functools.lru_cache(maxsize=1)
+def _decimals() -> np.ndarray:
+    """The two-byte numbers as text with a comma, in six bytes each."""
+    return np.array([b"%d," % k for k in range(1 << 16)], dtype="S6")
+
+
+def _digest(ids: np.ndarray) -> str:
+    """SHA-256 of the decimal ids joined by commas."""
+    if ids.dtype.itemsize > 2:
+        return hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest()
+    return hashlib.sha256(_decimals()[ids].tobytes().translate(None, b"\0")[:-1]).hexdigest()
+
+
+READ = {"slot": "long", "n_ids": "int", "ids": "array<int>", "ids_sha256": "string"}
+
+
+def read(spark: SparkSession, folder: str, p: StoreParams = StoreParams(), first: int = 0, last: int | None = None,
+         columns: Sequence[str] = ("slot", "n_ids", "ids")) -> DataFrame:
+    """``columns`` of the slots from ``first`` up to, not including, ``last``.
+
+    ``ids_sha256`` is of the decimal ids joined by commas, made where the ids are read so that they need not leave the task.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(folder) \
         .select(F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long").alias("shard"), "content")
     files = files.where(F.col("shard") >= first // p.shard_rows)
     if last is not None:
         files = files.where(F.col("shard") * p.shard_rows < last)
-    schema = pa.schema([("slot", pa.int64()), ("n_ids", pa.int32()), ("ids", pa.list_(pa.int32()))])
+    step = max(1, min(2_000, (16 << 20) // p.stride))
+    made = {
+        "slot": lambda slot, n, ids: pa.array(slot),
+        "n_ids": lambda slot, n, ids: pa.array(n.astype(np.int32)),
+        "ids": lambda slot, n, ids: pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32),
+                                                             ids[np.arange(p.seq_len) < n[:, None]].astype(np.int32)),
+        "ids_sha256": lambda slot, n, ids: pa.array([_digest(x[:k]) for x, k in zip(ids, n.tolist(), strict=True)], pa.string()),
+    }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(b: pa.RecordBatch):
-            for shard, blob in zip(b.column("shard").to_pylist(), b.column("content"), strict=True):
-                raw = memoryview(blob.as_py())
-                for k in range(len(raw) // p.stride):
-                    slot = shard * p.shard_rows + k
-                    if slot >= first and (last is None or slot < last):
-                        n = int.from_bytes(raw[k * p.stride:k * p.stride + 4], "little")
-                        yield slot, n, np.frombuffer(raw, p.dtype, n, k * p.stride + 4).astype(np.int32)
-
         for b in batches:
-            yield from chunks(rows(b), schema, size=2_000)
+            for shard, blob in zip(b.column("shard").to_pylist(), b.column("content"), strict=True):
+                raw = np.frombuffer(blob.as_buffer(), np.uint8).reshape(-1, p.stride)
+                begin = shard * p.shard_rows
+                end = len(raw) if last is None else min(len(raw), last - begin)
+                for at in range(max(0, first - begin), end, step):
+                    part = raw[at:min(at + step, end)]
+                    n, ids = part[:, :4].copy().view("<u4").ravel().astype(np.int64), part[:, 4:].copy().view(p.dtype)
+                    slot = np.arange(begin + at, begin + at + len(part))
+                    yield pa.RecordBatch.from_arrays([made[c](slot, n, ids) for c in columns], names=list(columns))
 
-    return files.mapInArrow(run, "slot long, n_ids int, ids array<int>")
+    return files.mapInArrow(run, ", ".join(f"{c} {READ[c]}" for c in columns))
 
 
 def op5_token_shards(spark, sf_dir: str) -> DataFrame:
@@ -286,8 +313,7 @@ def op5_token_shards(spark, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-shards-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     manifest, _ = write(table(spark, sf_dir, "documents", "doc_id", "text"), folder, p=p)
-    back = read(spark, folder, p).select(
-        "slot", F.sha2(F.btrim(F.to_json("ids"), F.lit("[]")), 256).alias("ids_sha256"))
+    back = read(spark, folder, p, columns=("slot", "ids_sha256"))
     return manifest.join(back, "slot").select(
         "slot", "doc_id", "part", F.col("n_ids").cast("long").alias("n_ids"),
         F.floor(F.col("slot") / p.shard_rows).alias("shard"),

@@ -29,6 +29,20 @@ def test_fast_ids_equal_the_library(library):
         assert fast.ids(t) == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_runs_of_white_space_need_no_pattern_that_looks_ahead(library):
+    import regex
+
+    fast, rng = P.load(P.default_vocabulary()), random.Random(8)
+    assert "(?!" not in fast.encoding._pat_str
+    white = regex.findall(r"\s", "".join(map(chr, range(0x3001))))
+    texts = [f"a{x}{y}b{y}{x}{y}1{x}!{y}" for x in white for y in white] + [f"{x}\x1c{y}a\x1f{x}\u180e{y}" for x in white for y in white]
+    texts += ["".join(rng.choice([" ", " ", "\n", "\t", "\r", "\xa0", "\u2003", "it's", "word", "7", "!", "é", "\x1d", "字"]) for _ in range(40)) for _ in range(3000)]
+    texts += ["def f(x):\n    return  x  \n\n\n  # done \n", "   ", " \n \n", "  a", "a  ", "\n\na"]
+    for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert fast.ids(t) == e.ids, repr(t)
+        assert fast.closed(t, 0, "<u4").tolist() == [*e.ids, 0]
+
+
 def test_a_vocabulary_of_another_form_goes_to_the_library(tmp_path, library):
     import json
 

@@ -110,3 +110,18 @@ def test_blocks_within_a_task_are_numbered_on(spark, frame, tmp_path):
     for r in manifest:
         ids = [*own.ids([texts[r["doc_id"]]])[0], p.end_token]
         assert back[r["slot"]] == ids[8 * r["part"]:8 * r["part"] + 8]
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_digests_are_made_where_the_ids_are_read(spark, frame, tmp_path, wide):
+    p = T.StoreParams(seq_len=8, shard_rows=5, wide=wide)
+    rows = [(i, f"document {i}, " * (i % 7) + "\u0000\n\n  x", 0) for i in range(40)] + [(99, None, 0)]
+    folder, manifest, _ = _store(spark, frame, tmp_path, rows, p)
+    every = T.read(spark, folder, p).collect()
+    want = {r["slot"]: sha(",".join(map(str, r["ids"]))) for r in every}
+    got = T.read(spark, folder, p, columns=("ids_sha256", "slot"))
+    assert got.columns == ["ids_sha256", "slot"] and {r["slot"]: r["ids_sha256"] for r in got.collect()} == want
+    assert {r["slot"]: r["n_ids"] for r in every} == {r["slot"]: r["n_ids"] for r in manifest} and all(len(r["ids"]) == r["n_ids"] for r in every)
+    some = T.read(spark, folder, p, first=7, last=18, columns=("slot", "n_ids", "ids_sha256")).collect()
+    assert {r["slot"]: r["ids_sha256"] for r in some} == {s: want[s] for s in range(7, 18)}
+    assert T._digest(np.array([0, 7, 65535, 10], dtype="<u2")) == sha("0,7,65535,10")
