@@ -53,11 +53,11 @@ class Moments:
         return Moments(n, self.nulls + o.nulls, self.mean + d * (o.n / n), self.cross + o.cross + np.outer(d, d) * (self.n * o.n / n))
 
 
-def coordinate_descent(gram: np.ndarray, xy: np.ndarray, penalty: float, mix: float, start: np.ndarray | None = None,
+def coordinate_descent(gram: np.ndarray, xy: np.ndarray, absolute: float, square: float, start: np.ndarray | None = None,
                        tolerance: float = 1e-12, sweeps: int = 20_000) -> np.ndarray:
-    """argmin of b'Gb/2 - b'c + penalty (mix |b|_1 + (1 - mix) |b|^2 / 2), G and c per row."""
+    """argmin of b'Gb/2 - b'c + absolute |b|_1 + square |b|^2 / 2, G and c per row."""
     b = np.zeros(len(xy)) if start is None else start.copy()
-    down = np.diag(gram) + penalty * (1 - mix)
+    down = np.diag(gram) + square
     rest = xy - gram @ b
     for _ in range(sweeps):
         most = 0.0
@@ -65,7 +65,7 @@ def coordinate_descent(gram: np.ndarray, xy: np.ndarray, penalty: float, mix: fl
             if down[j] <= 0:
                 continue
             r = rest[j] + gram[j, j] * b[j]
-            new = np.sign(r) * max(abs(r) - penalty * mix, 0.0) / down[j]
+            new = np.sign(r) * max(abs(r) - absolute, 0.0) / down[j]
             if new != b[j]:
                 rest -= gram[:, j] * (new - b[j])
                 most = max(most, abs(new - b[j]))
@@ -76,14 +76,18 @@ def coordinate_descent(gram: np.ndarray, xy: np.ndarray, penalty: float, mix: fl
 
 
 def path(m: Moments, cols: np.ndarray, penalties: Sequence[float], mix: float) -> list[tuple[float, np.ndarray]]:
-    """(intercept, coefficients of ``cols``) for every penalty, on columns standardised with the moments' own statistics."""
+    """(intercept, coefficients of ``cols``) for every penalty, on columns standardised with the moments' own statistics.
+
+    As in Spark's ``LinearRegression`` the square part of a penalty is in units of the label's population std.
+    """
     sd = np.sqrt(np.diag(m.cross)[cols] / m.n)
     sd = np.where(sd > 0, sd, 1.0)
     gram = m.cross[np.ix_(cols, cols)] / np.outer(sd, sd) / m.n
     xy = m.cross[cols, -1] / sd / m.n
+    unit = float(np.sqrt(m.cross[-1, -1] / m.n)) or 1.0
     out, b = {}, None
     for lam in sorted(set(penalties), reverse=True):  # each penalty starts from the next larger one's solution
-        b = coordinate_descent(gram, xy, lam, mix, b)
+        b = coordinate_descent(gram, xy, lam * mix, lam * (1 - mix) / unit, b)
         raw = b / sd
         out[lam] = m.mean[-1] - raw @ m.mean[cols], raw
     return [out[lam] for lam in penalties]
