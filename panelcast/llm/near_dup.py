@@ -149,17 +149,19 @@ def _regions(p: ForestParams):
 
 
 def _labels(p: ForestParams):
-    """Per class and listed tree the whole sorted label: the first values in full, one byte of each later one."""
-    schema = pa.schema([("region", pa.int64()), ("label", pa.binary()), ("id", pa.int64())])
+    """Per class and listed tree the whole sorted label: the first values in full, one byte of each later one;
+    ``crowded`` where the region is among the ``hot`` ones."""
+    schema = pa.schema([("region", pa.int64()), ("label", pa.binary()), ("id", pa.int64()), ("crowded", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = _orders(p)
 
         def rows(b: pa.RecordBatch):
-            for i, sig, trees in zip(*(b.column(c).to_pylist() for c in ("id", "sig", "trees")), strict=True):
+            for i, sig, trees, hot in zip(*(b.column(c).to_pylist() for c in ("id", "sig", "trees", "hot")), strict=True):
                 low = (np.frombuffer(sig, dtype=np.uint32) & np.uint32(255)).astype(np.uint8)
                 for t, head in zip(trees, _heads(sig, order, trees, p.depth), strict=True):
-                    yield _region(head), head + low[order[t, p.depth:]].tobytes(), i
+                    region = _region(head)
+                    yield region, head + low[order[t, p.depth:]].tobytes(), i, region in hot
 
         for b in batches:
             yield from chunks(rows(b), schema)
@@ -445,18 +447,19 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
     classes = cut(linked.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
 
     region = cut(classes.select("id", "sig").mapInArrow(_regions(p), "region long, tree int, id long"))
-    sizes = region.groupBy("region").count()
-    shared = sizes.where("count > 1").select("region")
-    crowded = cut(sizes.where(F.col("count") > p.region_rows).select("region"))
-    member = region.join(shared, "region").groupBy("id").agg(F.collect_list("tree").alias("trees"))
-    forest = cut(classes.select("id", "sig").join(member, "id").mapInArrow(_labels(p), "region long, label binary, id long"))
-    # a region is whole in one task; one of more than region_rows classes is dealt out by range and cut, and what the cuts part is searched below
-    some, cutting = forest, not crowded.isEmpty()
-    if cutting:
-        some = forest.join(crowded, "region", "left_anti")
+    shared = region.groupBy("region").count().where("count > 1")
+    member = region.join(shared, "region").groupBy("id").agg(
+        F.collect_list("tree").alias("trees"), F.collect_list(F.when(F.col("count") > p.region_rows, F.col("region"))).alias("hot"))
+    forest = cut(classes.select("id", "sig").join(member, "id").mapInArrow(_labels(p), "region long, label binary, id long, crowded boolean"))
+    # A region is whole in one task; one of more than region_rows classes is dealt out by range and cut, and what the cuts
+    # part is searched below.  No join may stand between the forest and the repartition: after one by region Spark leaves the
+    # repartition out, and once AQE broadcasts the join's small side it reads the other locally, which parts the regions.
+    crowded = forest.where("crowded")
+    cutting = not crowded.isEmpty()
+    some = forest.where("NOT crowded") if cutting else forest
     stars = some.repartition(slices, "region").select("label", "id").sortWithinPartitions("label", "id").mapInArrow(_near_stars(p), "a long, b long")
     if cutting:
-        stars = stars.unionByName(forest.join(crowded, "region", "left_semi").select("label", "id").repartitionByRange(slices, "label", "id")
+        stars = stars.unionByName(crowded.select("label", "id").repartitionByRange(slices, "label", "id")
                                   .sortWithinPartitions("label", "id").mapInArrow(_near_stars(p), "a long, b long"))
     cluster = components(stars).withColumnRenamed("component", "cluster")
     cluster = cut(cluster.join(classes.groupBy("id").agg(F.max("n").alias("n")), "id"))
@@ -469,7 +472,7 @@ def near_components(docs: DataFrame, p: ForestParams = ForestParams(), doc_id: s
     comp = components(links)
     rest = [] if oversized is None else [oversized.select("id")]
     if cutting:
-        rest.append(forest.join(crowded, "region", "left_semi").select("id"))
+        rest.append(crowded.select("id"))
     if rest:
         rest = cut(reduce(DataFrame.unionByName, rest).distinct())
         comp = components(_plain(links.unionByName(_rest_links(docs, rest, _plain(comp), p))))

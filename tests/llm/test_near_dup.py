@@ -99,3 +99,30 @@ def test_clusters_beyond_the_piece_bound_equal_brute_force(spark, frame):
     df = frame(rows, "doc_id long, text string")
     p = N.ForestParams(piece_shingles=60, near_pct=0, depth=1, salt_rows=2, common_shingles=5)
     assert {i: c[1] for i, c in _got(df, p).items()} == comp
+
+
+def test_a_crowded_region_parts_no_other_region(spark, frame):
+    """One group is larger than a region may be; the pairs elsewhere are found as without it, in tables of many partitions."""
+    rng = random.Random(13)
+    texts = []
+    base = prose(rng, 120).split()
+    for k in range(30):
+        w = list(base)
+        w[4 * k:4 * k + 1] = [f"changed{k}"]
+        texts.append(" ".join(w))
+    for _ in range(60):
+        w = prose(rng, 120).split()
+        texts += [" ".join(w), " ".join(w[:60] + ["changed"] + w[61:])]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = list(zip(ids, texts, strict=True))
+    comp = brute.near_components(rows, 5)
+    assert len(set(comp.values())) == 61
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # else so few rows are one partition
+    was = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        got = _got(frame(rows, "doc_id long, text string", 8), N.ForestParams(region_rows=10))
+    finally:
+        spark.conf.set(name, was)
+    assert {i: c[1] for i, c in got.items()} == comp
